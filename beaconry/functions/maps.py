@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from beaconry.functions.text import let
+
 EMPTY = "CAST(map() AS MAP<STRING,STRING>)"
 
 
@@ -14,8 +16,10 @@ def empty_map() -> Column:
 def overlay(base: Column, over: Column) -> Column:
     """Both maps, the second winning per key. A NULL map counts as empty."""
     base = F.coalesce(base, empty_map())
-    over = F.coalesce(over, empty_map())
-    return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(over, k)), over)
+    return let(
+        F.coalesce(over, empty_map()),
+        lambda o: F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(o, k)), o),
+    )
 
 
 def without_nulls(m: Column) -> Column:

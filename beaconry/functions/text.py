@@ -21,9 +21,13 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
+# The characters of SPACE, for the functions that take a set of characters.
+SPACE_CHARS = "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trimmed(c: Column) -> Column:
     """Strip every leading and trailing whitespace character of :data:`SPACE`."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def non_blank(c: Column) -> Column:

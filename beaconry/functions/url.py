@@ -4,17 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from beaconry.functions.text import let
+
 # Schemes with a default port, which is left blank.
 DEFAULT_PORTS = {"http": 80, "https": 443, "ws": 80, "wss": 443, "ftp": 21}
 
-_SPECIAL = (
-    r"(?i)^(https?|wss?|ftp):[/\\]*(?:[^/\\?#]*@)?"
-    r"(\[[0-9a-f:.]+\]|[^/\\?#:@\[\]\s<>^|%]+)(?::([0-9]*))?(?:[/\\?#][\s\S]*)?\z"
-)
-_OTHER = r"(?i)^([a-z][a-z0-9+.\-]*):(?://(?:[^/?#]*@)?([^/?#:@]*)(?::([0-9]*))?)?[\s\S]*\z"
-_SCHEME = r"(?i)^[a-z]+://"
-
-
 def inbound_path(url: Column) -> Column:
     """Text before ``?``; an empty URL is ``/`` but ``?x`` stays empty."""
     return F.when(F.coalesce(url, F.lit("")) == "", F.lit("/")).otherwise(F.substring_index(url, "?", 1))
@@ -24,46 +18,73 @@ def outbound_path(path: Column) -> Column:
     return inbound_path(path)
 
 
-def _parsed(origin: Column) -> tuple[Column, Column, Column, Column]:
-    special = origin.rlike(_SPECIAL)
-    port = F.regexp_extract(origin, _SPECIAL, 3)
-    # A port above 65535 makes the text no URL at all.
-    in_range = (F.length(port) <= 5) & (F.when(F.length(port) <= 5, F.concat(F.lit("0"), port).cast("int")) <= 65535)
-    special_ok = special & in_range
-    other = origin.rlike(_OTHER) & ~origin.rlike(r"(?i)^(https?|wss?|ftp):")
-    stripped = F.regexp_replace(origin, _SCHEME, "")
-    host_port = F.substring_index(stripped, "/", 1)
-    return special_ok, other, port, host_port
+def _split_authority(authority: Column) -> Column:
+    """Struct of host and port text of an authority, credentials left out."""
+
+    def parts(hp: Column) -> Column:
+        bracket = hp.startswith("[")
+        return F.struct(
+            F.when(bracket, F.concat(F.substring_index(hp, "]", 1), F.lit("]")))
+            .otherwise(F.substring_index(hp, ":", 1)).alias("host"),
+            F.when(bracket, F.when(F.contains(hp, F.lit("]:")), F.substring_index(hp, "]:", -1)).otherwise(F.lit("")))
+            .when(F.contains(hp, F.lit(":")), F.substring_index(hp, ":", -1))
+            .otherwise(F.lit("")).alias("port"),
+        )
+
+    return let(F.substring_index(authority, "@", -1), parts)
+
+
+def parse_origin(origin: Column) -> Column:
+    """Struct of host and port of an origin URL.
+
+    Web schemes: lower-case host, the default port blank. Other schemes: the authority as written.
+    Text that is no URL: scheme stripped, cut at ``/`` and split at ``:``.
+    """
+    ports = F.create_map(*[F.lit(x) for kv in DEFAULT_PORTS.items() for x in kv])
+    pair = lambda h, p: F.struct(h.alias("host"), p.alias("port"))
+
+    def by_hand(o: Column) -> Column:
+        return let(
+            F.substring_index(F.regexp_replace(o, r"(?i)^[a-z]+://", ""), "/", 1),
+            lambda hp: pair(F.substring_index(hp, ":", 1), F.coalesce(F.get(F.split(hp, ":"), F.lit(1)), F.lit(""))),
+        )
+
+    def web(o: Column, default: Column) -> Column:
+        rest = F.regexp_extract(o, r"^[a-zA-Z]+:[/\\]*([^/\\?#]*)", 1)
+
+        def read(a: Column) -> Column:
+            host, port = a["host"], a["port"]
+            number = F.when(port.rlike(r"^[0-9]{1,5}\z"), port.cast("int"))
+            valid = host.rlike(r"^(?:\[[0-9a-fA-F:.]+\]|[^\s<>^|%:@\[\]]+)\z") & ((port == "") | (number <= 65535))
+            shown = F.when((port == "") | (number == default), F.lit("")).otherwise(number.cast("string"))
+            return F.when(valid, pair(F.lower(host), shown)).otherwise(by_hand(o))
+
+        return let(_split_authority(rest), read)
+
+    def other(o: Column) -> Column:
+        return F.when(
+            o.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"), _split_authority(F.regexp_extract(o, r"^[^:]*://([^/?#]*)", 1))
+        ).otherwise(pair(F.lit(""), F.lit("")))
+
+    def any_origin(o: Column) -> Column:
+        return let(
+            F.try_element_at(ports, F.lower(F.substring_index(o, ":", 1))),
+            lambda default: F.when(default.isNotNull() & F.contains(o, F.lit(":")), web(o, default))
+            .when(o.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), other(o))
+            .otherwise(by_hand(o)),
+        )
+
+    return let(F.coalesce(origin, F.lit("")), any_origin)
 
 
 def origin_host(origin: Column) -> Column:
-    """Host of an origin URL, ``''`` when there is none; text that is no URL is cut by hand."""
-    origin = F.coalesce(origin, F.lit(""))
-    special, other, _, host_port = _parsed(origin)
-    return (
-        F.when(origin == "", F.lit(""))
-        .when(special, F.lower(F.regexp_extract(origin, _SPECIAL, 2)))
-        .when(other, F.regexp_extract(origin, _OTHER, 2))
-        .otherwise(F.substring_index(host_port, ":", 1))
-    )
+    """Host of an origin URL, ``''`` when there is none."""
+    return parse_origin(origin)["host"]
 
 
 def origin_port(origin: Column) -> Column:
     """Explicit non-default port of an origin URL, else ``''``."""
-    origin = F.coalesce(origin, F.lit(""))
-    special, other, port, host_port = _parsed(origin)
-    number = F.when(port != "", F.substring(port, 1, 5).cast("int"))
-    scheme = F.lower(F.regexp_extract(origin, _SPECIAL, 1))
-    default = F.lit(None).cast("int")
-    for name, value in DEFAULT_PORTS.items():
-        default = F.when(scheme == name, F.lit(value)).otherwise(default)
-    shown = F.when(number.isNull() | (number == default), F.lit("")).otherwise(number.cast("string"))
-    return (
-        F.when(origin == "", F.lit(""))
-        .when(special, shown)
-        .when(other, F.regexp_extract(origin, _OTHER, 3))
-        .otherwise(F.coalesce(F.get(F.split(host_port, ":"), F.lit(1)), F.lit("")))
-    )
+    return parse_origin(origin)["port"]
 
 
 def request_target(url: Column) -> Column:

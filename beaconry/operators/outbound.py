@@ -26,14 +26,14 @@ def call_context(creates: DataFrame) -> DataFrame:
 
 def call_target(creates: DataFrame) -> DataFrame:
     """Host, port, path and method of call creations."""
-    return creates.withColumns(
+    return creates.withColumn("_origin", url.parse_origin(F.col("origin"))).withColumns(
         {
-            "host": url.origin_host(F.col("origin")),
-            "port": url.origin_port(F.col("origin")),
+            "host": F.col("_origin.host"),
+            "port": F.col("_origin.port"),
             "path": url.outbound_path(F.col("path")),
             "method": F.upper(F.coalesce(F.nullif(F.col("method"), F.lit("")), F.lit("GET"))),
         }
-    )
+    ).drop("_origin")
 
 
 def propagated_headers(creates: DataFrame, headers: str = "headers", settings: Settings = Settings()) -> DataFrame:
@@ -74,7 +74,7 @@ def pair_outbound_calls(
     heard = exclude_ingest_host(ready, ingest_host).where(F.col("kind").isin("headers", "error") | (create & F.col("sampled")))
     events = with_previous(
         heard.select("call_key", *order, "kind", "call", "status_code"),
-        ["call_key"], list(order), F.struct("kind", "call"), "_before", group_rows,
+        ["call_key"], list(order), F.struct("kind", "call"), "_before", group_rows, probe=call_events,
     )
     code = F.when(F.col("kind") == "error", 0).otherwise(F.coalesce("status_code", F.lit(0)))
     return (

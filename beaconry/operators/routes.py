@@ -10,9 +10,9 @@ from beaconry.functions import url
 def url_parts(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Add ``host``, ``port`` and ``path`` (no query) of an absolute URL."""
     u = F.col(url_col)
-    return df.withColumns(
-        {"host": url.origin_host(u), "port": url.origin_port(u), "path": url.inbound_path(url.request_target(u))}
-    )
+    return df.withColumn("_origin", url.parse_origin(u)).withColumns(
+        {"host": F.col("_origin.host"), "port": F.col("_origin.port"), "path": url.inbound_path(url.request_target(u))}
+    ).drop("_origin")
 
 
 def route_stats(http: DataFrame, template: bool = False) -> DataFrame:

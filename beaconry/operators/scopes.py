@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beaconry.functions.maps import overlay
+from beaconry.functions.text import let
 from beaconry.operators.errors import MAX_BREADCRUMBS
 from beaconry.operators.skew import newest
 
@@ -17,51 +18,75 @@ def overlay_maps(df: DataFrame, base: str, over: str, out: str) -> DataFrame:
     return df.withColumn(out, overlay(F.col(base), F.col(over)))
 
 
-def _bag_entries(df: DataFrame, keys: list[str], bag: str, order: str) -> DataFrame:
-    """Last value per bag key."""
-    entries = df.select(*keys, order, F.explode(bag).alias("_name", "_value"))
-    last = entries.groupBy(*keys, "_name").agg(F.max_by("_value", order).alias("_value"))
-    return last.groupBy(*keys).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("_name", "_value")), _by_name)).alias(bag)
-    )
+def _by(*names: str):
+    """Comparator on struct fields; maps in the other fields cannot be compared by Spark itself."""
+
+    def compare(a: Column, b: Column) -> Column:
+        left, right = F.struct(*[a[n] for n in names]), F.struct(*[b[n] for n in names])
+        return F.when(left < right, -1).when(left > right, 1).otherwise(0)
 
+    return compare
 
-def _by_name(a: Column, b: Column) -> Column:
-    return F.when(a["_name"] < b["_name"], -1).when(a["_name"] > b["_name"], 1).otherwise(0)
+
+def _bag(entries: Column, bag: str) -> Column:
+    """One bag of the collected (bag, name, value) entries; NULL when it has none."""
+    own = F.filter(entries, lambda e: e["bag"] == bag)
+    field = "nested" if bag == "contexts" else "text"
+    return F.when(F.size(own) > 0, F.map_from_entries(F.transform(own, lambda e: F.struct(e["name"], e["value"][field]))))
 
 
 def merge_scopes(scopes: DataFrame, dedupe: bool = False) -> DataFrame:
     """Fold each scope stack by depth: last set user, fingerprint and level; maps overlaid; crumbs concatenated.
 
     Scopes are stored as the stack holds them, and a forked scope starts as a copy of its parent, so
-    inherited breadcrumbs show twice. That is kept; ``dedupe`` drops the repeats.
+    inherited breadcrumbs show twice. That is kept; ``dedupe`` drops the repeats. The entries of all
+    bags are reduced in one pass, to one row per (scope, bag, name) before anything is collected.
     """
     depth = F.col("depth")
-    single = scopes.groupBy("scope_key").agg(
-        *[F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), depth)).alias(c) for c in FIELDS]
-    )
-    out = single
-    for bag in BAGS:
-        out = out.join(_bag_entries(scopes, ["scope_key"], bag, "depth"), "scope_key", "left")
+    last = lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), depth)).alias(c)
+    single = [last(c) for c in FIELDS]
     if "breadcrumbs" in scopes.columns:
-        crumbs = scopes.where(F.size("breadcrumbs") > 0).groupBy("scope_key").agg(
-            F.transform(
-                F.array_sort(
-                    F.collect_list(F.struct("depth", "breadcrumbs")),
-                    lambda a, b: F.when(a["depth"] < b["depth"], -1).when(a["depth"] > b["depth"], 1).otherwise(0),
-                ),
-                lambda e: e["breadcrumbs"],
-            ).alias("_stack")
+        some = F.when(F.size("breadcrumbs") > 0, F.struct("depth", "breadcrumbs"))
+        stack = F.array_sort(F.collect_list(some), _by("depth"))
+        single.append(F.flatten(F.transform(stack, lambda e: e["breadcrumbs"])).alias("_crumbs"))
+    out = scopes.groupBy("scope_key").agg(*single)
+
+    none = F.lit(None)
+    kinds = {"tags": "string", "extras": "string", "contexts": "map<string,string>"}
+
+    def items(bag: str) -> Column:
+        nested = bag == "contexts"
+        return F.transform(
+            F.map_entries(F.coalesce(F.col(bag), F.expr(f"CAST(map() AS MAP<STRING,{kinds[bag]}>)"))),
+            lambda e: F.struct(
+                F.lit(bag).alias("bag"), e["key"].alias("name"),
+                F.struct(
+                    (none.cast("string") if nested else e["value"]).alias("text"),
+                    (e["value"] if nested else none.cast("map<string,string>")).alias("nested"),
+                ).alias("value"),
+            ),
         )
-        flat = F.flatten("_stack")
-        if dedupe:
-            # Crumbs hold maps, which Spark cannot compare; their JSON text can be.
-            text = F.transform(flat, lambda c: F.to_json(c))
-            flat = F.filter(flat, lambda c, i: F.array_position(text, F.to_json(c)) == i + 1)
-        out = out.join(crumbs.select("scope_key", flat.alias("breadcrumbs")), "scope_key", "left")
+
+    entries = scopes.select("scope_key", "depth", F.inline(F.concat(*[items(b) for b in BAGS])))
+    entries = entries.groupBy("scope_key", "bag", "name").agg(F.max_by("value", "depth").alias("value"))
+    bags = entries.groupBy("scope_key").agg(
+        F.array_sort(F.collect_list(F.struct("bag", "name", "value")), _by("bag", "name")).alias("_entries")
+    )
+    out = out.join(bags, "scope_key", "left").withColumns({b: _bag(F.col("_entries"), b) for b in BAGS}).drop("_entries")
+    if "breadcrumbs" in scopes.columns:
+        crumbs = F.when(F.size("_crumbs") > 0, _distinct("_crumbs") if dedupe else F.col("_crumbs"))
+        out = out.withColumn("breadcrumbs", crumbs).drop("_crumbs")
     return out
 
 
+def _distinct(name: str) -> Column:
+    """First of each equal crumb. Crumbs hold maps, which Spark cannot compare; their JSON text can be."""
+    return let(
+        F.transform(name, lambda c: F.to_json(c)),
+        lambda text: F.filter(name, lambda c, i: F.array_position(text, F.get(text, i)) == i + 1),
+    )
+
+
 def apply_scope_ops(ops: DataFrame, n: int = MAX_BREADCRUMBS) -> DataFrame:
     """Replay a scope mutation log into one scope row per key.
 
@@ -85,22 +110,25 @@ def apply_scope_ops(ops: DataFrame, n: int = MAX_BREADCRUMBS) -> DataFrame:
         live("set_level", "value").alias("level"),
         F.when(F.size(print_) > 0, print_).alias("fingerprint"),
     )
-    for name, bag, value in (("set_tag", "tags", "value"), ("set_extra", "extras", "value"), ("set_context", "contexts", "context")):
-        last = (
-            ops.where(op == name)
-            .groupBy("scope_key", "name")
-            .agg(F.max(F.col("seq")).alias("_seq"), F.max_by(F.struct(value), "seq").alias("_v"))
-        )
-        entries = last.groupBy("scope_key").agg(F.collect_list(F.struct("name", "_seq", F.col(f"_v.{value}").alias("v"))).alias("_e"))
-        out = out.join(entries, "scope_key", "left")
-        kept = F.filter("_e", lambda e: (e["_seq"] > F.col("_cleared")) & (e["v"].isNotNull() if bag == "contexts" else F.lit(True)))
-        out = out.withColumn(bag, F.map_from_entries(F.transform(kept, lambda e: F.struct(e["name"], e["v"])))).drop("_e")
+    bag_of = {"set_tag": "tags", "set_extra": "extras", "set_context": "contexts"}
+    last = (
+        ops.where(op.isin(list(bag_of)))
+        .groupBy("scope_key", "op", "name")
+        .agg(F.max(F.col("seq")).alias("seq"), F.max_by(F.struct(F.col("value").alias("text"), F.col("context").alias("nested")), "seq").alias("value"))
+    )
+    bag = F.lit(None).cast("string")
+    for key, value in bag_of.items():
+        bag = F.when(op == key, F.lit(value)).otherwise(bag)
+    entries = last.groupBy("scope_key").agg(F.collect_list(F.struct(bag.alias("bag"), "name", "seq", "value")).alias("_all"))
+    kept = F.filter(
+        "_all",
+        lambda e: (e["seq"] > F.col("_cleared")) & ((e["bag"] != "contexts") | e["value"]["nested"].isNotNull()),
+    )
+    out = out.join(entries, "scope_key", "left").withColumn("_entries", kept)
+    out = out.withColumns({b: _bag(F.col("_entries"), b) for b in BAGS}).drop("_all", "_entries")
     crumbs = newest(ops.where(op == "add_breadcrumb").select("scope_key", "seq", "crumb"), ["scope_key"], ["seq"], n)
     crumbs = crumbs.groupBy("scope_key").agg(
-        F.array_sort(
-            F.collect_list(F.struct("seq", "crumb")),
-            lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0),
-        ).alias("_ring")
+        F.array_sort(F.collect_list(F.struct("seq", "crumb")), _by("seq")).alias("_ring")
     )
     out = out.join(crumbs, "scope_key", "left")
     kept = F.filter("_ring", lambda e: e["seq"] > F.col("_cleared"))

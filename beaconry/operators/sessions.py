@@ -64,6 +64,26 @@ def fold_sessions(session_events: DataFrame) -> DataFrame:
     )
 
 
+def compact_session_events(session_events: DataFrame) -> DataFrame:
+    """At most nine events per session that fold to the same result as all of them.
+
+    Kept are the first start and the first event of each other kind before and after it. Compacting
+    the parts of a log one by one and folding the union gives the fold of the whole log, as long as
+    each part holds later events than the parts before.
+    """
+    kind = F.col("kind")
+    starts = session_events.groupBy("session_id").agg(F.min(F.when(kind == "start", F.col("seq"))).alias("_from"))
+    marked = salted_match(session_events, starts, ["session_id"], ["seq"])
+    before = F.coalesce(F.col("seq") < F.col("_from"), F.lit(True))
+    names = [c for c in session_events.columns if c not in ("session_id", "kind", "seq")]
+    return (
+        marked.groupBy("session_id", "kind", before.alias("_before"))
+        .agg(F.min(F.struct("seq", *names)).alias("_first"))
+        .select("session_id", "kind", "_first.*")
+        .select(*session_events.columns)
+    )
+
+
 def build_session_rows(session_events: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """Start and end rows; sessions without a release emit nothing."""
     folded = fold_sessions(session_events).where(F.coalesce("release", F.lit("")) != "")

@@ -55,10 +55,14 @@ def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: Column, out: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: Column, out: str,
+    group_rows: int = GROUP_ROWS, probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the inclusive running sum of ``amount`` per key. ``order`` must be a total order."""
-    if not has_large_group(df, keys, group_rows):
+    """Add the inclusive running sum of ``amount`` per key. ``order`` must be a total order.
+
+    ``probe`` is a cheaper table with at least as many rows per key, for the size question.
+    """
+    if not has_large_group(df if probe is None else probe, keys, group_rows):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(amount).over(w))
     parts = _slices(df.withColumn("_amount", amount), keys, order)
@@ -87,10 +91,11 @@ def numbered(
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
+    group_rows: int = GROUP_ROWS, probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``value`` of the row before, within the key. ``value`` must not be NULL."""
-    if not has_large_group(df, keys, group_rows):
+    """Add ``value`` of the row before, within the key. ``value`` must not be NULL; ``probe`` as above."""
+    if not has_large_group(df if probe is None else probe, keys, group_rows):
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
     parts = _slices(df.withColumn("_value", value), keys, order)
     inside = Window.partitionBy("_slice", *keys).orderBy(*order)

@@ -8,14 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from beaconry.functions import privacy
-from beaconry.functions.text import unit_interval
 from beaconry.operators import (
     batching, correlate, database, delivery, errors, logs, outbound, redact, releases, requests, retention, routes,
     sampling, scopes, sessions,
 )
 from beaconry.plans import derive
 from beaconry.plans.derive import NOW_MS, RATE, SETTINGS, raw, table
-from beaconry.schemas import DB, HTTP_REQUESTS, PATHS
 from beaconry.sources import envelopes as env
 from beaconry.streaming import sinks, stateful
 
@@ -463,7 +461,6 @@ def build_client_spans(spark, d):
 @query
 def propagated_headers(spark, d):
     creates = outbound.call_context(raw(spark, d, "call_lines").where("kind = 'create'"))
-    odd = F.col("at_ms") % 3 == 0
     creates = creates.withColumn("headers", F.when(F.col("seq") % 20 == 0, F.create_map(F.lit("TraceParent"), F.lit("x"), F.lit("X-Acme-Request-Id"), F.lit("y"))))
     return outbound.propagated_headers(creates, settings=SETTINGS).select("call_key", "seq", "at_ms", "add_traceparent", "add_baggage", "add_trace_id", "add_request_id")
 
@@ -710,6 +707,14 @@ def stream_sessions(spark, d):
     return run_stream(stateful.stream_sessions(events), "update").drop("batch")
 
 
+@query
+def stream_compacted_sessions(spark, d):
+    root = shared_folder(spark)
+    events = derive.scalars(stream_of(spark, d, "events"), "session_events")
+    sinks.append_compacted_sessions(events, f"{root}/events", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return sessions.fold_sessions(spark.read.parquet(f"{root}/events").drop("batch"))
+
+
 @query
 def stream_fingerprint_stats(spark, d):
     queries = derive.nested(derive.scalars(stream_of(spark, d, "orders"), "raw_queries"), "raw_queries").withColumns(

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.operators.delivery import replay_remaining
 from beaconry.operators.sampling import non_persistable
+from beaconry.operators.sessions import compact_session_events
 from beaconry.schemas import TABLES
 from beaconry.settings import Settings
 from beaconry.sources.envelopes import flatten, stream_envelopes, write_envelopes
-from pyspark.sql import functions as F
 
 # Fixed value: flush interval.
 FLUSH = "2 seconds"
@@ -43,6 +43,21 @@ def write_tables(
     return _trigger(writer, available_now, every).start()
 
 
+def append_compacted_sessions(
+    session_events: DataFrame, table: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
+) -> StreamingQuery:
+    """Append each micro-batch's compacted session events to a table; ``fold_sessions`` of it is the state.
+
+    The high-volume form of the session stream: aggregations only, no per-session state.
+    """
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        compact_session_events(batch).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+
+    writer = session_events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(flush)
+    return _trigger(writer, available_now, every).start()
+
+
 def drain_stream(
     spark: SparkSession,
     folder: str,

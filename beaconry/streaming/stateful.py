@@ -7,6 +7,7 @@ within the delay are dropped by the watermark.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -72,38 +73,47 @@ _SESSION_OUT = (
 )
 
 
+_SESSION_NAMES = [c.split()[0] for c in _SESSION_OUT.split(", ")]
+_NOTHING = (None, None, None, None, None, 0, False)
+
+
 def _fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Advance one session by one micro-batch. The state is seven scalars."""
-    seq, start_ms, release, environment, user_id, rank, ended = (
-        state.get if state.exists else (None, None, None, None, None, 0, False)
-    )
-    events = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
+    """Advance one session by one micro-batch. The state is seven scalars.
+
+    Of the batch only sequence numbers and ranks are held, plus the earliest start and the ends.
+    """
+    seq, start_ms, release, environment, user_id, rank, ended = state.get if state.exists else _NOTHING
     if ended:
         return
+    begin, ends, ranked = None, [], []
+    for batch in batches:
+        for event in zip(*(batch[c].tolist() for c in _SESSION_READ)):
+            at, kind = event[0], event[1]
+            if kind == "start":
+                if seq is None and (begin is None or at < begin[0]):
+                    begin = event
+            elif kind == "end":
+                ends.append(event)
+            elif kind in KIND_RANK:
+                ranked.append((at, KIND_RANK[kind]))
     if seq is None:
-        starts = events[events["kind"] == "start"]
-        if starts.empty:
+        if begin is None:
             return
-        s = starts.iloc[0]
-        seq, start_ms = int(s["seq"]), int(s["at_ms"])
-        release, environment, user_id = s["release"], s["environment"], s["user_id"]
-    events = events[events["seq"] > seq]
-    ends = events[events["kind"] == "end"]
-    end = None if ends.empty else ends.iloc[0]
-    if end is not None:
-        events = events[events["seq"] < end["seq"]]
-    rank = max([rank, *events["kind"].map(KIND_RANK).dropna().astype(int)])
-    status = STATUSES[rank]
-    ended_ms = duration = None
+        seq, _, start_ms, _, release, environment, user_id = begin
+    end = min((e for e in ends if e[0] > seq), default=None, key=lambda e: e[0])
+    limit = math.inf if end is None else end[0]
+    rank = max([rank, *(r for at, r in ranked if seq < at < limit)])
+    status, ended_ms, duration = STATUSES[rank], None, None
     if end is not None:
-        ended_ms = int(end["at_ms"])
-        duration = max(0, ended_ms - start_ms)
-        if isinstance(end["final_status"], str):
-            status = end["final_status"]
+        ended_ms, duration = end[2], max(0, end[2] - start_ms)
+        status = end[3] if isinstance(end[3], str) else status
     state.update((seq, start_ms, release, environment, user_id, rank, end is not None))
     row = (key[0], release, environment, user_id, start_ms, ended_ms, duration, status, end is not None)
-    out = pd.DataFrame([row], columns=[c.split()[0] for c in _SESSION_OUT.split(", ")])
-    yield out.astype({"ended_ms": "Int64", "duration_ms": "Int64"})
+    yield pd.DataFrame({n: pd.Series([v], dtype=t) for n, v, t in zip(_SESSION_NAMES, row, _SESSION_TYPES)})
+
+
+_SESSION_READ = ["seq", "kind", "at_ms", "final_status", "release", "environment", "user_id"]
+_SESSION_TYPES = ["object"] * 4 + ["Int64"] * 3 + ["object", "bool"]
 
 
 def stream_sessions(session_events: DataFrame) -> DataFrame:
@@ -111,7 +121,8 @@ def stream_sessions(session_events: DataFrame) -> DataFrame:
 
     Within a session the micro-batches must follow the event order; inside one, any order will do.
     """
-    return session_events.groupBy("session_id").applyInPandasWithState(
+    events = session_events.select("session_id", *_SESSION_READ)
+    return events.groupBy("session_id").applyInPandasWithState(
         _fold, _SESSION_OUT, _SESSION_STATE, "update", GroupStateTimeout.NoTimeout
     )
 
