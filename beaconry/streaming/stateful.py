@@ -40,7 +40,10 @@ def stream_http_rows(
 
 
 def stream_paired_calls(call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes") -> DataFrame:
-    """Finished calls from a stream of call events with one creation per call key."""
+    """Finished calls from a stream of call events with one creation per call key.
+
+    Of several completions of one call the stream keeps the one that arrives first.
+    """
     creates = exclude_ingest_host(call_target(call_context(call_events.where(F.col("kind") == "create"))), ingest_host)
     left = (
         creates.where("sampled")
@@ -59,10 +62,11 @@ def stream_paired_calls(call_events: DataFrame, ingest_host: str = "", delay: st
     code = F.when(F.col("_kind") == "error", 0).otherwise(F.coalesce("_code", F.lit(0)))
     return (
         left.join(right, (F.col("call_key") == F.col("_key")) & near)
+        .drop("_end")
         .dropDuplicatesWithinWatermark(["call_key"])
         .withColumn("status_code", code.cast("int"))
         .withColumn("status", F.when((F.col("_kind") == "error") | (code >= 500), "error").otherwise("ok"))
-        .drop("_key", "_kind", "_code", "_at", "_end")
+        .drop("_key", "_kind", "_code", "_at")
     )
 
 
