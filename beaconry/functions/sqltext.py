@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from beaconry.functions.text import AFTER_WORD, BEFORE_WORD, SPACE, let, trimmed
+from beaconry.functions.text import AFTER_WORD, BEFORE_DIGIT, SPACE, let, trimmed
 
 # The masking steps in the order they apply, as (pattern, replacement, needle). The
 # needle is a text every match contains; rows without it skip the pattern.
@@ -14,7 +14,7 @@ MASKS = [
     # The possessive form runs without recursion; the second form covers an odd number of quotes.
     (r"'[^']*+(?:''[^']*+)*+'|'[^']*(?:''[^']*)*'", "?", "'"),
     (r"\$[a-zA-Z0-9_]*\$[\s\S]*?\$[a-zA-Z0-9_]*\$", "?", "$"),
-    (BEFORE_WORD + r"\d+(?:\.\d+)?" + AFTER_WORD, "?", ""),
+    (BEFORE_DIGIT + r"\d+(?:\.\d+)?" + AFTER_WORD, "?", ""),
     # A single plain space already is what it would become.
     (f"{SPACE}{{2,}}|[{SPACE}&&[^ ]]", " ", ""),
 ]

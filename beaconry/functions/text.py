@@ -13,6 +13,8 @@ SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\
 # that starts (ends) with a word character the edge is plainly BEFORE_WORD (AFTER_WORD).
 EDGE = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 BEFORE_WORD = r"(?<!\w)"
+# The same ahead of a digit, with the cheap test first: most positions of a text hold no digit.
+BEFORE_DIGIT = r"(?=[0-9])(?<!\w)"
 AFTER_WORD = r"(?!\w)"
 
 

@@ -85,9 +85,7 @@ def delivery_stats(settled: DataFrame, drops: DataFrame) -> DataFrame:
         lost = F.count_if((F.col("outcome") == "dropped") & F.coalesce(F.col("saturated"), F.lit(False)))
     else:
         lost = F.lit(0).cast("bigint")
-    sent = settled.agg(F.count_if(F.col("outcome") == "spooled").alias("persisted"), lost.alias("saturated_drops"))
-    queued = drops.agg(F.sum("queued").alias("queued"), F.sum("dropped").alias("overflow_drops"))
-    # Two one-row tables.
-    return sent.join(F.broadcast(queued), F.lit(True)).select(
-        (F.col("overflow_drops") + F.col("saturated_drops")).alias("dropped"), "queued", "persisted"
-    )
+    none = F.lit(0).cast("bigint")
+    sent = settled.agg(lost.alias("dropped"), none.alias("queued"), F.count_if(F.col("outcome") == "spooled").alias("persisted"))
+    held = drops.agg(F.sum("dropped").alias("dropped"), F.sum("queued").alias("queued"), none.alias("persisted"))
+    return sent.unionByName(held).agg(*[F.coalesce(F.sum(c), none).alias(c) for c in ("dropped", "queued", "persisted")])

@@ -160,25 +160,23 @@ def attach_breadcrumbs(
     counted = running_total(
         both.withColumn("_after", F.coalesce("_error", F.lit(""))), ["scope_key"], ["seq", "_after"], isa, "_k", group_rows
     )
+    # Each crumb goes to its own block and, as history, to the next one: at most 2 n crumbs a block.
+    block = F.floor((F.col("_k") - 1) / n)
     blocks = (
         counted.where(F.col("_crumb").isNotNull())
-        .groupBy("scope_key", F.floor((F.col("_k") - 1) / n).alias("_block"))
-        .agg(F.array_sort(F.collect_list(F.struct("_k", "_crumb"))).alias("_list"))
+        .select("scope_key", "_k", "_crumb", F.explode(F.array(block, block + 1)).alias("_block"))
+        .groupBy("scope_key", "_block")
+        .agg(F.collect_list(F.struct("_k", "_crumb")).alias("_list"))
     )
-    last = F.floor((F.col("_k") - 1) / n)
     found = (
         counted.where(F.col("_error").isNotNull() & (F.col("_k") > 0))
-        .select("scope_key", "_error", "_k", last.alias("_block"), (last - 1).alias("_previous"))
+        .select("scope_key", "_error", "_k", block.alias("_block"))
         .join(blocks, ["scope_key", "_block"])
-        .join(
-            blocks.select("scope_key", F.col("_block").alias("_previous"), F.col("_list").alias("_older")),
-            ["scope_key", "_previous"], "left",
-        )
     )
-    older = F.coalesce(F.col("_older"), F.filter("_list", lambda _: F.lit(False)))
     k = F.col("_k")
-    kept = F.filter(F.concat(older, F.col("_list")), lambda e: (e["_k"] <= k) & (e["_k"] > k - n))
-    found = found.select(F.col("_error"), F.transform(kept, lambda e: e["_crumb"]).alias("breadcrumbs"))
+    kept = F.filter("_list", lambda e: (e["_k"] <= k) & (e["_k"] > k - n))
+    ordered = F.array_sort(kept, lambda a, b: (a["_k"] - b["_k"]).cast("int"))
+    found = found.select(F.col("_error"), F.transform(ordered, lambda e: e["_crumb"]).alias("breadcrumbs"))
     return errors.join(found, errors[error_id].cast("string") == found["_error"], "left").drop("_error")
 
 

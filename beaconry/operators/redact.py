@@ -84,7 +84,7 @@ def scrub_corpus(df: DataFrame, text_col: str, send_default_pii: bool = False) -
     hits = []
     for name, replace, count in privacy.scrub_steps(send_default_pii):
         out = out.withColumn(f"{name}_hits", F.when(skip, F.lit(0)).otherwise(count(F.col("_text"))))
-        out = out.withColumn("_text", F.when(skip, F.col("_text")).otherwise(replace(F.col("_text"))))
+        out = out.withColumn("_text", F.when(F.col(f"{name}_hits") > 0, replace(F.col("_text"))).otherwise(F.col("_text")))
         hits.append(f"{name}_hits")
     return (
         out.withColumn("changed", sum((F.col(h) for h in hits), F.lit(0)) > 0)

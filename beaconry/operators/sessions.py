@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from beaconry.operators.skew import salted_match
+from beaconry.operators.skew import GROUP_ROWS, match_one
 from beaconry.settings import Settings
 
 # Statuses by rank, and the event kinds that lead to them.
@@ -20,7 +20,7 @@ def status_name(rank: Column) -> Column:
     return F.get(F.array(*map(F.lit, STATUSES)), rank.cast("int"))
 
 
-def fold_sessions(session_events: DataFrame) -> DataFrame:
+def fold_sessions(session_events: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Final state per session: first start, first end after it, worst status strictly between.
 
     The earliest event of each kind after the start says whether that kind fell before the end, so
@@ -33,7 +33,8 @@ def fold_sessions(session_events: DataFrame) -> DataFrame:
         .groupBy("session_id")
         .agg(F.min(F.struct("seq", "at_ms", "release", "environment", "user_id", "platform")).alias("start"))
     )
-    later = salted_match(session_events.where(kind != "start"), starts.select("session_id", F.col("start.seq").alias("_from")), ["session_id"], ["seq"])
+    begun = starts.select("session_id", F.col("start.seq").alias("_from"))
+    later = match_one(session_events.where(kind != "start"), begun, ["session_id"], ["seq"], group_rows)
     after = (
         later.where(F.col("seq") > F.col("_from"))
         .groupBy("session_id")
@@ -73,7 +74,9 @@ def compact_session_events(session_events: DataFrame) -> DataFrame:
     """
     kind = F.col("kind")
     starts = session_events.groupBy("session_id").agg(F.min(F.when(kind == "start", F.col("seq"))).alias("_from"))
-    marked = salted_match(session_events, starts, ["session_id"], ["seq"])
+    # Always salted: parts get unioned, and Spark 4.1 cannot zip a union of parts that all come out
+    # partitioned by session but with different partition counts.
+    marked = match_one(session_events, starts, ["session_id"], ["seq"], group_rows=0)
     before = F.coalesce(F.col("seq") < F.col("_from"), F.lit(True))
     names = [c for c in session_events.columns if c not in ("session_id", "kind", "seq")]
     return (
@@ -108,18 +111,19 @@ def crash_free_rates(
     per_user = rows.groupBy(*by, "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(crashed).alias("c")
     )
-    if totals:
-        # A user seen in several groups counts once in each total, so every total regroups by user.
-        out = None
-        for depth in range(len(by), -1, -1):
-            kept = list(by[:depth])
-            level = per_user.groupBy(*kept, "user_id").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-            level = level.groupBy(*kept).agg(*_rates())
-            for name in by[depth:]:
-                level = level.withColumn(name, F.lit(None).cast(rows.schema[name].dataType))
-            out = level if out is None else out.unionByName(level)
-        return _shares(out)
-    return _shares(per_user.groupBy(*by).agg(*_rates()))
+    if not totals:
+        return _shares(per_user.groupBy(*by).agg(*_rates()))
+    # A user seen in several groups counts once in each total, so every level regroups by user.
+    levels = F.array(
+        *[
+            F.struct(F.lit(depth).alias("_level"), *[(F.col(n) if i < depth else F.lit(None).cast(rows.schema[n].dataType)).alias(n) for i, n in enumerate(by)])
+            for depth in range(len(by) + 1)
+        ]
+    )
+    spread = per_user.select(F.inline(levels), "user_id", "n", "c")
+    keys = ["_level", *by]
+    once = spread.groupBy(*keys, "user_id").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+    return _shares(once.groupBy(*keys).agg(*_rates()).drop("_level"))
 
 
 def _rates() -> list[Column]:

@@ -162,34 +162,40 @@ def newest_within(
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join to a table with one row per key, rows without a key never meeting in one task.
 
-    Rows with a NULL key get a key of their own from their content. A large non-NULL key is on the
-    left only, so the runtime skew join can split it.
+    A NULL in the first key is replaced, for the shuffle only, by a text from the row's content; the
+    join condition still asks for real keys. A large real key is on the left only, so the runtime
+    skew join can split it.
     """
+    first, names = keys[0], {k: f"_right_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    content = F.xxhash64(*[c for c in left.columns if _hashable(left, c)])
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    spread = F.when(keyed, F.lit(0)).otherwise(F.xxhash64(*[c for c in left.columns if _hashable(left, c)]))
-    names = {k: f"_right_{k}" for k in keys}
-    right = right.withColumnsRenamed(names).withColumn("_right_spread", F.lit(0).cast("bigint"))
-    on = F.col("_spread") == F.col("_right_spread")
-    for k, v in names.items():
-        on = on & (F.coalesce(F.col(k).cast("string"), F.lit("")) == F.col(v).cast("string"))
-    return (
-        left.withColumn("_spread", spread.cast("bigint")).join(right, on, "left").drop("_spread", "_right_spread", *names.values())
-    )
+    spread = F.when(keyed, F.col(first).cast("string")).otherwise(F.concat(F.lit("\x00"), content.cast("string")))
+    on = keyed & (F.col("_key") == F.col(names[first]).cast("string"))
+    for k in keys[1:]:
+        on = on & (F.col(k) == F.col(names[k]))
+    return left.withColumn("_key", spread).join(right, on, "left").drop("_key", *names.values())
 
 
 def _hashable(df: DataFrame, name: str) -> bool:
     return "map" not in df.schema[name].dataType.simpleString() and "variant" not in df.schema[name].dataType.simpleString()
 
 
-def salted_match(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str], salts: int = 16
+def match_one(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
+    group_rows: int = GROUP_ROWS, salts: int = SALTS,
 ) -> DataFrame:
     """Inner join of many rows per key to one row per key, ahead of an aggregation on the key.
 
-    The runtime skew join steps back when the next operator needs the same partitioning, so the
-    small side is repeated per salt instead.
+    Join and aggregation then share one shuffle. The runtime skew join steps back in that case, so
+    when a key is large the small side is repeated per salt and the large side joins by salt.
+    ``group_rows=0`` always salts.
     """
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    if group_rows and not has_large_group(left, keys, group_rows):
+        # The shuffle join and aggregation share, named so that no partitioning of the input is taken over.
+        return left.repartition(*keys).join(right, list(keys))
+    each = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    right = right.withColumn("_salt", F.explode(each))
     return left.withColumn("_salt", _salt(spread_by, salts)).join(right, [*keys, "_salt"]).drop("_salt")

@@ -71,10 +71,11 @@ def test_transitions(spark):
     assert got == {"crashed": ("crashed", 500), "errored": ("errored", 20), "early": ("ok", 10), "worse": ("crashed", 40), "twice": ("ok", 10)}
 
 
-def test_random_histories(spark, histories):
+@pytest.mark.parametrize("group_rows", [2, 10**9])
+def test_random_histories(spark, histories, group_rows):
     rows = [e for h in histories.values() for e in h]
     random.Random(1).shuffle(rows)
-    assert outcome(fold_sessions(frame(spark, rows).repartition(5))) == want(histories)
+    assert outcome(fold_sessions(frame(spark, rows).repartition(5), group_rows)) == want(histories)
 
 
 def test_compacted_parts_fold_alike(spark, histories):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconry.operators import batching, errors, outbound
-from beaconry.operators.skew import lookup, newest, newest_within, numbered, running_total, salted_match, with_previous
+from beaconry.operators.skew import lookup, match_one, newest, newest_within, numbered, running_total, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -85,10 +85,11 @@ def test_lookup_keeps_every_left_row(spark):
     assert {(r.i, r.v) for r in lookup(left, right, ["k"]).collect()} == {(1, None), (2, "A"), (3, "A"), (4, None), (5, None), (6, None)}
 
 
-def test_salted_match(spark, rows):
+@pytest.mark.parametrize("group_rows", [10, 10**9])
+def test_match_one(spark, rows, group_rows):
     left = spark.createDataFrame(rows, "k string, seq int, v int")
     right = spark.createDataFrame([("hot", 1), ("a", 2)], "k string, w int")
-    assert salted_match(left, right, ["k"], ["seq"]).count() == sum(r[0] in ("hot", "a") for r in rows)
+    assert match_one(left, right, ["k"], ["seq"], group_rows).count() == sum(r[0] in ("hot", "a") for r in rows)
 
 
 @pytest.mark.parametrize("group_rows", [5, 10**9])
