@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beaconry.functions.text import unit_interval
@@ -86,16 +86,16 @@ def before_send(df: DataFrame, hook: Callable[[dict], dict | None]) -> DataFrame
     Hooks that can be written with column functions belong in ``df.transform`` instead.
     """
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 try:
                     out = hook(dict(row))
                 except Exception:
                     out = row
                 if out is not None:
                     rows.append(out)
-            yield pd.DataFrame(rows, columns=batch.columns)
+            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
 
-    return df.mapInPandas(apply, df.schema)
+    return df.mapInArrow(apply, df.schema)

@@ -27,20 +27,16 @@ def fold_sessions(session_events: DataFrame, group_rows: int = GROUP_ROWS) -> Da
     no per-session list is kept and partial results merge.
     """
     first = lambda cond, *what: F.min(F.when(cond, F.struct("seq", *what)))
-    kind = F.col("kind")
-    starts = (
-        session_events.where(kind == "start")
-        .groupBy("session_id")
-        .agg(F.min(F.struct("seq", "at_ms", "release", "environment", "user_id", "platform")).alias("start"))
-    )
-    begun = starts.select("session_id", F.col("start.seq").alias("_from"))
-    later = match_one(session_events.where(kind != "start"), begun, ["session_id"], ["seq"], group_rows)
-    after = (
-        later.where(F.col("seq") > F.col("_from"))
+    kind, seq, begin = F.col("kind"), F.col("seq"), F.col("_from")
+    begun = session_events.where(kind == "start").groupBy("session_id").agg(F.min("seq").alias("_from"))
+    events = match_one(session_events, begun, ["session_id"], ["seq"], group_rows)
+    folded = (
+        events.where(seq >= begin)
         .groupBy("session_id")
         .agg(
-            first(kind == "end", "at_ms", "final_status").alias("end"),
-            *[F.min(F.when(kind == k, F.col("seq"))).alias(f"first_{k}") for k in KIND_RANK],
+            first(seq == begin, "at_ms", "release", "environment", "user_id", "platform").alias("start"),
+            first((kind == "end") & (seq > begin), "at_ms", "final_status").alias("end"),
+            *[F.min(F.when((kind == k) & (seq > begin), seq)).alias(f"first_{k}") for k in KIND_RANK],
         )
     )
     end = F.col("end")
@@ -51,7 +47,7 @@ def fold_sessions(session_events: DataFrame, group_rows: int = GROUP_ROWS) -> Da
             for k, r in KIND_RANK.items()
         ],
     )
-    return starts.join(after, "session_id", "left").select(
+    return folded.select(
         "session_id",
         F.col("start.release").alias("release"),
         F.col("start.environment").alias("environment"),

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from beaconry.functions.clock import DAY_MS
 from beaconry.operators.delivery import replay_remaining
 from beaconry.operators.sampling import non_persistable
 from beaconry.operators.sessions import compact_session_events
@@ -26,16 +27,18 @@ def _trigger(writer, available_now: bool, every: str):
 def write_tables(
     envelopes: DataFrame, root: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
 ) -> StreamingQuery:
-    """Flush a stream of envelopes to one parquet table per record kind.
+    """Flush a stream of envelopes to one parquet table per record kind, by micro-batch and UTC day of ``ts``.
 
     Each micro-batch overwrites its own ``batch`` folder, so a repeated batch leaves no duplicates.
     """
+    day = F.date_from_unix_date(F.floor(F.col("ts") / DAY_MS).cast("int"))
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
             for table in TABLES:
-                flatten(batch, table).write.mode("overwrite").parquet(f"{root}/{table}/batch={batch_id}")
+                rows = flatten(batch, table, ("ts",)).withColumn("day", day).drop("ts")
+                rows.write.mode("overwrite").partitionBy("day").parquet(f"{root}/{table}/batch={batch_id}")
         finally:
             batch.unpersist()
 

@@ -158,6 +158,9 @@ def test_registrations(spark):
 
 def test_hook(spark):
     def hook(row):
+        if row["v"] is None:
+            row["s"] = "was null"
+            return row
         if row["v"] == 1:
             return None
         if row["v"] == 2:
@@ -165,8 +168,8 @@ def test_hook(spark):
         row["v"] += 10
         return row
 
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, s string")
-    assert {tuple(r) for r in sampling.before_send(df, hook).collect()} == {(2, "b"), (13, "c")}
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "v int, s string")
+    assert {tuple(r) for r in sampling.before_send(df, hook).collect()} == {(2, "b"), (13, "c"), (None, "was null")}
 
 
 def test_span_roles(spark):
