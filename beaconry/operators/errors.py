@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from beaconry.functions import url
+from beaconry.functions.clock import iso_millis
 from beaconry.functions.maps import overlay
 from beaconry.functions.privacy import Extras, redact_typed
 from beaconry.operators.requests import scope_metadata, sdk_tags, with_scope
@@ -134,10 +135,16 @@ def request_breadcrumbs(ctx: DataFrame) -> DataFrame:
             F.lit("method"), method, F.lit("path"), path,
             F.lit("host"), url.request_host(F.col("headers"), F.col("hostname")), F.lit("requestId"), F.col("request_id"),
         ).alias("data"),
+        iso_millis(F.col("started_ms")).alias("timestamp"),
         "started_ms",
     )
 
 
+def stamp_breadcrumbs(crumbs: DataFrame, at_ms: str = "at_ms") -> DataFrame:
+    """Fill the timestamp of crumbs recorded without one."""
+    return crumbs.withColumn("timestamp", F.coalesce("timestamp", iso_millis(F.col(at_ms))))
+
+
 def attach_breadcrumbs(
     errors: DataFrame, crumbs: DataFrame, n: int = MAX_BREADCRUMBS, error_id: str = "error_id", group_rows: int = GROUP_ROWS
 ) -> DataFrame:

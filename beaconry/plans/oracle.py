@@ -304,7 +304,7 @@ STATEMENTS["attach_breadcrumbs"] = """WITH c AS (SELECT user_id, event_id, event
   SELECT e.event_id AS error_id, CASE WHEN e.k = 0 THEN NULL ELSE least(e.k, 50) END::INT AS n, md5(string_agg(c.m, ',' ORDER BY c.n)) AS crumbs_md5
   FROM e LEFT JOIN c ON c.user_id = e.user_id AND c.n <= e.k AND c.n > e.k - 50 GROUP BY e.event_id, e.k"""
 STATEMENTS["request_breadcrumbs"] = f"""WITH {CTX} SELECT request_key AS scope_key, 'http' AS type, 'http.server' AS category, upper(method) || ' ' || path AS message, 'info' AS level,
-  'host=' || host || ';method=' || upper(method) || ';path=' || path || ';requestId=' || request_id AS data, started_ms FROM ctx"""
+  'host=' || host || ';method=' || upper(method) || ';path=' || path || ';requestId=' || request_id AS data, strftime(make_timestamp(started_ms * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS timestamp, started_ms FROM ctx"""
 
 # --- logs, releases, sessions ---------------------------------------------------------------------
 
@@ -364,6 +364,8 @@ STATEMENTS["write_envelopes"] = f"""WITH {ENV} SELECT path, CASE path WHEN '/ing
 STATEMENTS["route_envelopes"] = f"WITH {ENV} SELECT envelope_id, CASE WHEN path = '/elsewhere' THEN 'unknown' ELSE path END AS route FROM e"
 _req = f"""WITH {ENV}, x AS (SELECT envelope_id, CASE WHEN path = '/ingest/v1/http-requests' THEN unnest(json_extract(payload, '$.requests[*]')) END AS r FROM e WHERE path = '/ingest/v1/http-requests')
   SELECT KEYS r->>'method' AS method, r->>'path' AS path, (r->>'statusCode')::INT AS status_code, r->>'traceId' AS trace_id FROM x"""
+STATEMENTS["build_envelopes"] = f"""WITH {HTTP} SELECT request_key, 'inbound' AS direction, method, path, status_code, strftime(make_timestamp(started_ms * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS timestamp,
+  trace_id, parent_span_id, user_id, '{SDK}' AS metadata FROM http"""
 STATEMENTS["flatten_requests"] = _req.replace("KEYS", "envelope_id,")
 STATEMENTS["write_tables"] = _req.replace("KEYS", "")
 STATEMENTS["flatten_others"] = f"""WITH {ENV}

@@ -555,6 +555,14 @@ def route_envelopes(spark, d):
     return out
 
 
+@query
+def build_envelopes(spark, d):
+    """Request rows to envelopes and back."""
+    sent = env.build_envelopes(http(spark, d), "http_requests", ("request_key",))
+    back = env.flatten(sent, "http_requests", ("request_key",))
+    return back.select("request_key", "direction", "method", "path", "status_code", "timestamp", "trace_id", "parent_span_id", "user_id", kv("metadata").alias("metadata"))
+
+
 @query
 def flatten_requests(spark, d):
     return env.flatten(raw(spark, d, "envelopes"), "http_requests", ("envelope_id",)).select("envelope_id", "method", "path", "status_code", "trace_id")

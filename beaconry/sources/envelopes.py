@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from beaconry.functions.clock import iso_millis
 from beaconry.functions.privacy import camel
 from beaconry.operators.redact import redact_json
 from beaconry.schemas import PATHS, ROW_ARRAYS, TABLES, record, wire
@@ -69,6 +70,21 @@ def route_envelopes(envelopes: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def build_envelopes(rows: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One envelope per record, as it is queued: wire names, ISO times, NULL fields left out.
+
+    The inverse of :func:`flatten`; columns outside the record contract are dropped unless kept.
+    """
+    fields = [f for f in record(table).fields if f.name in rows.columns]
+    times = {f.name for f in rows.schema.fields if f.dataType.typeName() == "timestamp"}
+    value = lambda n: iso_millis(F.unix_millis(n)) if n in times else F.col(n)
+    body = F.to_json(F.struct(*[value(f.name).alias(camel(f.name)) for f in fields]))
+    path = TABLES[table]
+    if path in ROW_ARRAYS:
+        body = F.concat(F.lit(f'{{"{ROW_ARRAYS[path]}":['), body, F.lit("]}"))
+    return rows.select(*keep, F.lit(path).alias("path"), body.alias("payload"))
+
+
 def flatten(envelopes: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of one table. Batched payloads are exploded, the others are one row each."""
     path = TABLES[table]

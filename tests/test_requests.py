@@ -91,7 +91,9 @@ def test_errors_with_scope(spark):
     other = errors.apply_scope(rows.withColumn("scope_key", F.lit(None).cast("string")), merged, S).collect()
     assert len(other) == 2 and all(r.level == "error" and r.user_id is None for r in other)
     crumb = errors.request_breadcrumbs(ctx).first()
-    assert (crumb.message, crumb.category, crumb.data["host"]) == ("GET /orders/42", "http.server", "svc")
+    assert (crumb.message, crumb.category, crumb.data["host"], crumb.timestamp) == ("GET /orders/42", "http.server", "svc", "1970-01-01T00:00:01.000Z")
+    given = spark.createDataFrame([("t", 5), (None, 5)], "timestamp string, at_ms bigint")
+    assert [r.timestamp for r in errors.stamp_breadcrumbs(given).collect()] == ["t", "1970-01-01T00:00:00.005Z"]
 
 
 OPS = "scope_key string, seq bigint, op string, name string, value string, user struct<id:string,email:string>, fingerprint array<string>, context map<string,string>, crumb struct<message:string>"
