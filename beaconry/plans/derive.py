@@ -239,6 +239,12 @@ CALL_BASE = {
     **CALL_FIELDS,
 }
 INPUTS["call_lines"] = ("lineitem", CALL_BASE, None)
+# The same calls under a key that is used once.
+INPUTS["single_calls"] = (
+    "lineitem",
+    {**CALL_BASE, "call_key": LINE + " || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(floor(l_extendedprice * 100) AS BIGINT) AS STRING) || '-' || CAST({ms} AS STRING)"},
+    None,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -301,7 +307,7 @@ def nested(df: DataFrame, name: str) -> DataFrame:
             F.when(F.col("context_ref").isNotNull(), F.create_map(F.lit("v"), F.col("context_ref"))).alias("context"),
             F.struct(F.col("value").alias("message")).alias("crumb"),
         )
-    if name == "call_lines":
+    if name in ("call_lines", "single_calls"):
         fields = list(CALL_FIELDS)
         create = F.struct("seq", F.lit("create").alias("kind"), "at_ms", F.lit(None).cast("int").alias("status_code"))
         done = F.struct(

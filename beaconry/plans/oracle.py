@@ -200,7 +200,7 @@ _seq["ipv6"] = f"regexp_replace({_seq['ipv4']}, '{PATTERNS['ipv4']}', '{R}', 'g'
 _hits = {n: f"CASE WHEN over THEN 0 ELSE len(regexp_extract_all({_seq[n]}, '{PATTERNS[n]}')) END" for n in PATTERNS}
 _hits["ipv6"] = f"CASE WHEN over THEN 0 ELSE len(regexp_extract_all({_seq['ipv6']}, '{IPV6_FULL}')) END"
 STATEMENTS["scrub_corpus_documents"] = f"""WITH {scrub_ctes('documents', 'doc_id', 'text')} SELECT doc_id, md5(out) AS text_md5, out <> text AS changed,
-  CASE WHEN over THEN 0 ELSE len(cards) END AS card_hits, {', '.join(f'{v} AS {k}_hits' for k, v in _hits.items())} FROM scrubbed"""
+  (CASE WHEN over THEN 0 ELSE len(cards) END)::INT AS card_hits, {', '.join(f'({v})::INT AS {k}_hits' for k, v in _hits.items())} FROM scrubbed"""
 STATEMENTS["stream_scrubbed_documents"] = f"WITH {scrub_ctes('documents', 'doc_id', 'text')} SELECT doc_id, md5(out) AS text_md5 FROM scrubbed"
 STATEMENTS["scrub_text_conversations"] = f"WITH {scrub_ctes('conversations', 'conv_id, turn', 'text')} SELECT conv_id, turn, md5(out) AS text_md5 FROM scrubbed"
 STATEMENTS["scrub_text_pages_opted_in"] = f"WITH {scrub_ctes('pages', 'page_id', 'html', True)} SELECT page_id, md5(out) AS html_md5 FROM scrubbed"
@@ -237,7 +237,7 @@ STATEMENTS["before_send"] = f"""WITH {cte('envelopes', 'e')} SELECT envelope_id,
 
 # --- outbound -------------------------------------------------------------------------------------
 
-CALLS = f"""{cte('call_lines', 'cl')},
+_CALLS = """CL,
   cv AS (SELECT *, call_key || ':' || at_ms AS ck,
      CASE l_host WHEN 0 THEN 'ingest.example.com' WHEN 1 THEN 'svc.internal' WHEN 2 THEN 'api.example.com' WHEN 3 THEN '' WHEN 4 THEN '10.0.0.1' ELSE '1.2.3.4' END AS host,
      CASE l_host WHEN 1 THEN '8080' WHEN 4 THEN '9000' WHEN 5 THEN '9000' ELSE '' END AS port,
@@ -253,12 +253,15 @@ CALLS = f"""{cte('call_lines', 'cl')},
      CASE WHEN f.kind = 'error' THEN 0 ELSE coalesce(f.status_code, 0) END AS status_code,
      CASE WHEN f.kind = 'error' OR f.status_code >= 500 THEN 'error' ELSE 'ok' END AS status
      FROM done c JOIN done f ON f.call_key = c.call_key AND f.n = c.n + 1 WHERE c.kind = 'create' AND f.kind <> 'create')"""
+CALLS = _CALLS.replace("CL,", cte("call_lines", "cl") + ",", 1)
 STATEMENTS["pair_outbound_calls"] = f"WITH {CALLS} SELECT * FROM paired"
 STATEMENTS["build_outbound_rows"] = f"""WITH {CALLS} SELECT call_key, 'outbound' AS direction, method, CASE WHEN host = '' THEN 'unknown' ELSE host END AS host, path, status_code, ended_ms - started_ms AS duration_ms,
   started_ms AS timestamp, trace_id, span_id, parent_span_id, request_id, '{S.environment}' AS environment, '{S.release}' AS release, '{S.service}' AS service, '' AS request_headers, '{SDK}' AS metadata FROM paired"""
 STATEMENTS["build_client_spans"] = f"""WITH {CALLS} SELECT trace_id, span_id, parent_span_id, 'http.client' AS operation, method || ' ' || host || path AS description, status, ended_ms - started_ms AS duration_ms,
   started_ms AS start_time_millis, ended_ms AS end_time_millis, '{S.service}' AS service, '{S.environment}' AS environment, '{S.release}' AS release,
   'component=undici;http.host=' || host || ';method=' || method || ';statusCode=' || status_code AS tags, '{{"host":"' || host || '","port":"' || port || '","path":"' || path || '"}}' AS data FROM paired"""
+STATEMENTS["stream_paired_calls"] = f"""WITH {_CALLS.replace("CL,", cte("single_calls", "cl") + ",", 1)}
+  SELECT call_key, status_code, status, host, port, path, method, trace_id, request_id, started_ms, ended_ms FROM paired"""
 STATEMENTS["propagated_headers"] = f"""WITH {cte('call_lines', 'cl')}, c AS (SELECT *, md5('call:' || call_key || ':' || at_ms) AS g, seq % 20 = 0 AS carried FROM cl),
   x AS (SELECT *, coalesce(trace_id, g) AS t, CASE WHEN trace_id IS NULL THEN g ELSE request_id END AS r, substr(g, 1, 16) AS s FROM c)
   SELECT call_key, seq, at_ms, CASE WHEN NOT carried THEN '00-' || t || '-' || s || CASE WHEN coalesce(sampled, true) THEN '-01' ELSE '-00' END END AS add_traceparent,

@@ -709,6 +709,13 @@ def stream_http_rows(spark, d):
     return run_stream(rows.select("request_key", "method", "host", "path", "status_code", "duration_ms", "trace_id", "span_id"))
 
 
+@query
+def stream_paired_calls(spark, d):
+    events = derive.nested(derive.scalars(stream_of(spark, d, "lineitem"), "single_calls"), "single_calls")
+    out = run_stream(stateful.stream_paired_calls(events, INGEST_HOST, "1 hour"))
+    return out.select("call_key", "status_code", "status", "host", "port", "path", "method", "trace_id", "request_id", "started_ms", "ended_ms")
+
+
 @query
 def stream_sessions(spark, d):
     events = derive.scalars(stream_of(spark, d, "events"), "session_events")
