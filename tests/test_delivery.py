@@ -4,9 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from beaconry.operators import delivery, outbound, releases, requests, retention, sampling
+from beaconry.operators import delivery, outbound, releases, retention, sampling
 from beaconry.plans import derive
-from beaconry.schemas import raw
 from beaconry.settings import Settings
 from beaconry.sources import envelopes as env
 from beaconry.streaming import sinks, stateful

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from beaconry.operators.sessions import (
     build_session_rows, compact_session_events, crash_free_rates, fold_sessions, reconcile_sessions,
