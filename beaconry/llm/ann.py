@@ -15,7 +15,7 @@ LEAF = 64
 # About so many vectors of a shard, queries of a block.
 SHARD_ROWS, BLOCK_ROWS = 16_384, 1_024
 # The part of the k-th distance that a lower bound may reach before its subtree is passed over; 1 is exact.
-FACTOR = 0.25
+FACTOR = 0.5
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from beaconry.llm.words import text_slices
 
 # Bytes of a text that are compressed at once, each time from the dictionary alone, so that a long text keeps its effect.
-BLOCK = 2048
-DICTIONARY = 1 << 16
+BLOCK = 1024
+DICTIONARY = 1 << 17
 LEVEL = 3
+FEATURES = 6
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,8 +45,9 @@ class CompressionClassifier:
 
     @staticmethod
     def features(texts: list[str | None], good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> np.ndarray:
-        """Per text: 1, the normalised size difference, the share of its bytes that the good dictionary leaves."""
-        out = np.zeros((len(texts), 3))
+        """Per text: 1, the normalised size difference, the share of its bytes that the good dictionary leaves, and
+        their squares and product: repeated text shrinks to nothing under both, noise under neither."""
+        out = np.zeros((len(texts), FEATURES))
         for i, text in enumerate(texts):
             data = (text or "").encode("utf-8", "replace")
             g = b = 0
@@ -53,14 +55,15 @@ class CompressionClassifier:
                 block = data[start : start + BLOCK]
                 g += len(good.compress(block))
                 b += len(bad.compress(block))
-            out[i] = (1.0, (b - g) / max(g, b, 1), g / max(len(data), 1))
+            gap, left = (b - g) / max(g, b, 1), g / max(len(data), 1)
+            out[i] = (1.0, gap, left, gap * gap, left * left, gap * left)
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights, -500, 500)))
 
 
-def _calibrated(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1.0) -> np.ndarray:
+def _calibrated(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 0.1) -> np.ndarray:
     """Logistic regression by Newton steps; the classes weigh as in all labels, of which ``share`` are good."""
     weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     scale = np.array([1.0, *np.maximum(x[:, 1:].std(axis=0), 1e-6)])
@@ -75,7 +78,7 @@ def _calibrated(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1.0)
     return w / scale
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 1000, longest: int = 1 << 15) -> CompressionClassifier:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int = 1 << 15) -> CompressionClassifier:
     """Fit on a bounded sample of labelled documents.
 
     ``sample`` labelled documents of each class at most, those with the smallest hash of their id, of at most
@@ -98,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1000, longest: int = 1
     texts: dict[int, list[bytes]] = {0: [], 1: []}
     for row in sorted(rows.select("doc_id", "text", "quality").distinct().collect(), key=lambda r: (r.doc_id, r.text)):
         texts[int(row.quality)].append(row.text.encode("utf-8", "replace"))
-    empty = CompressionClassifier(b"x" * 16, b"x" * 16, np.array([np.log(max(share, 1e-3) / max(1 - share, 1e-3)), 0, 0]), True)
+    empty = CompressionClassifier(b"x" * 16, b"x" * 16, np.array([np.log(max(share, 1e-3) / max(1 - share, 1e-3)), *[0.0] * (FEATURES - 1)]), True)
     if not texts[0] or not texts[1]:
         return empty
     halves = {c: (t[::2], t[1::2] or t) for c, t in texts.items()}
@@ -110,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1000, longest: int = 1
         # Each text gives an equal part of the dictionary.
         part = lambda ts: b"".join(t[: max(8, DICTIONARY // len(ts))] for t in ts)[:DICTIONARY].ljust(16)
         trained, raw = [part(halves[c][0]) for c in (1, 0)], True
-    model = CompressionClassifier(trained[0], trained[1], np.zeros(3), raw)
+    model = CompressionClassifier(trained[0], trained[1], np.zeros(FEATURES), raw)
     y = np.repeat([1, 0], [len(halves[1][1]), len(halves[0][1])])
     x = model.features([t.decode() for c in (1, 0) for t in halves[c][1]], *model.compressors())
     model.weights = _calibrated(x, y, share)
