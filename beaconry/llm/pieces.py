@@ -139,23 +139,25 @@ class PieceCodec:
         self.tokenizer = rebuild(self.model)
         self.apart = self.model.apart()
         self.odd = re.compile(r"\s | \s|^\s|\s$").search
-        self.cache = WordCache(self.whole)
-        self.words = WordCache(self.text_of, " ")
+        self.cache = WordCache(self.word)
+        self.words = WordCache(lambda ids: self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False), " ")
         self.starts = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, word: str) -> bytes:
+        if MARK in word or self.model.charsmap or self.model.trim:
+            return self.whole([word])[0]
+        return ids_bytes([t.id for t in self.tokenizer.model.tokenize(MARK + word)])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, little-endian unsigned 32-bit. Words apart where white space is single spaces."""
         if not self.apart:
             return self.whole(texts)
-        odd = [i for i, text in enumerate(texts) if not text or self.odd(text)]
-        words = [text.split(" ") for text in texts]
-        for i in odd:
-            words[i] = []
-        found = self.cache.joined(words)
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
+        found = [None if not text or self.odd(text) else self.cache.joined(text.split(" ")) for text in texts]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
             found[i] = ids
         return found
 
@@ -166,12 +168,12 @@ class PieceCodec:
         """Texts of whole id lists. Words apart: each begins with a marker, which decodes to the space before it."""
         if not self.apart:
             return self.text_of(ids)
-        words = []
+        out = []
         for blob in ids:
             cuts = 4 * np.flatnonzero(self.starts[np.frombuffer(blob, "<u4")])
             edges = [0, *(c for c in cuts.tolist() if c), len(blob)]
-            words.append([blob[a:b] for a, b in zip(edges, edges[1:], strict=False)])
-        return self.words.joined(words)
+            out.append(self.words.joined([blob[a:b] for a, b in zip(edges, edges[1:], strict=False)]))
+        return out
 
 
 _codecs: dict[tuple[str, int], PieceCodec] = {}

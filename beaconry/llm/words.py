@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 
-# Words that one worker remembers, about 250 bytes each.
-CACHE_WORDS = 700_000
+# Words that one worker remembers, about 200 bytes each.
+CACHE_WORDS = 1_400_000
+# Fixed value: the pattern by which byte-level pre-tokenizers cut a text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+FIRST = "\0"
 # Texts that are handled at once; bounds the memory of a worker beside its Arrow batch.
 TEXTS_AT_ONCE = 512
 
@@ -22,36 +29,42 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, TEXTS_AT_ONCE)
 
 
-class WordCache:
-    """Values of words; ``work`` gives those of unknown words. Restarts with the words at hand when it is full."""
+class WordCache(dict):
+    """Values of words; ``work`` gives that of an unknown one. Restarts when it is full."""
 
-    def __init__(self, work: Callable[[list], Iterable], joint: bytes | str = b"", most: int = CACHE_WORDS):
+    def __init__(self, work: Callable, joint: bytes | str = b"", most: int = CACHE_WORDS):
+        super().__init__()
         self.work, self.joint, self.most = work, joint, most
-        self.known: dict = {}
 
-    def joined(self, texts: list[list]) -> list:
-        """For each list of words the values one after the other, with ``joint`` between them."""
-        words: set = set()
-        for text in texts:
-            words.update(text)
-        if len(self.known) + len(words) > self.most:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        new = list(words.difference(self.known))
-        self.known.update(zip(new, self.work(new), strict=True))
-        value = self.known.__getitem__
-        return [self.joint.join(map(value, text)) for text in texts]
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = self.work(word)
+        return value
+
+    def joined(self, words: list):
+        """The values of words one after the other, with ``joint`` between them."""
+        return self.joint.join(map(self.__getitem__, words))
 
 
 def ids_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
 class WordEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers, equal to the library's own.
 
-    Words can be encoded apart where the pre-tokenizer always splits before a space (``byte_level``) or drops
-    white space (``dropped_space``). A text in which white space meets a space, or that holds a character which
-    Python and the library class differently as white space, goes through the library as a whole.
+    Words can be encoded apart where the pre-tokenizer always splits before a space, or drops white space
+    (``dropped_space``). An unknown word is cut by the pre-tokenizer's pattern, and the library's model encodes each
+    piece. A text in which white space meets a space, or that holds a character which Python and the library class
+    differently as white space, goes through the library as a whole.
     """
 
     def __init__(self, path: str, dropped_space: bool):
@@ -59,26 +72,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.normalizer, self.letters = self.tokenizer.model, self.tokenizer.normalizer, byte_letters()
         self.dropped_space = dropped_space
         self.odd = re.compile(r"[\x1c-\x1f]" if dropped_space else r"[\x1c-\x1f]|\s ").search
-        self.cache = WordCache(self.encoded)
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
+        with open(path) as file:
+            steps = json.load(file)["pre_tokenizer"]
+        own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]
+        self.cut = regex.compile(own[0] if own else BYTE_LEVEL).findall
+        self.marked = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}]+)").fullmatch
+        self.cache = WordCache(self.word)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
         return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        odd = [i for i, text in enumerate(texts) if self.odd(text)]
+    def word(self, word: str) -> bytes:
+        """The ids of a word. Letters and the marks behind them are pieces of their own, which many words share."""
         if self.dropped_space:
-            words = [text.split() for text in texts]
-        else:
-            # A word takes the space before it along; the first has none.
-            words = [[first, *(f" {w}" for w in rest)] for first, *rest in (text.split(" ") for text in texts)]
-        for i in odd:
-            words[i] = []
-        found = self.cache.joined(words)
-        for i, ids in zip(odd, self.encoded([texts[i] for i in odd]), strict=True):
-            found[i] = ids
-        return found
+            if not word.isascii():
+                return self.pieces(self.normalizer.normalize_str(word))
+            if word != (low := word.lower()):
+                return self.cache[low]
+            if (parts := self.marked(word)) and parts[1]:
+                return self.cache[parts[1]] + self.cache[parts[2]]
+            return self.pieces(word)
+        # A word takes the space before it along; the first of a text has a sign instead.
+        if word[:1] == FIRST:
+            return self.pieces(word[1:])
+        if (parts := self.marked(word)) and parts[1]:
+            return self.cache[parts[1]] + self.cache[FIRST + parts[2]]
+        return self.pieces(" " + word)
+
+    def pieces(self, text: str) -> bytes:
+        letters, ids = self.letters, []
+        for piece in self.cut(text):
+            if not (piece.isascii() and piece.isalpha()):
+                piece = "".join([letters[b] for b in piece.encode("utf-8", "replace")])
+            ids += [t.id for t in self.model.tokenize(piece)]
+        return ids_bytes(ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for text in texts:
+            if self.odd(text):
+                out += self.whole([text])
+            elif self.dropped_space:
+                out.append(self.cache.joined(text.split()))
+            else:
+                words = text.split(" ")
+                words[0] = FIRST + words[0]
+                out.append(self.cache.joined(words))
+        return out
 
 
 _encoders: dict[tuple[str, bool], WordEncoder] = {}
@@ -95,9 +138,8 @@ def word_encoder(path: str, dropped_space: bool) -> WordEncoder:
 _word = re.compile(r"\w+").findall
 
 
-def _word_hashes(tokens: list[str]) -> Iterator[bytes]:
-    for token in tokens:
-        yield b"".join(xxhash.xxh64_intdigest(w).to_bytes(8, "little") for w in _word(token.lower()))
+def _word_hashes(token: str) -> bytes:
+    return b"".join([xxhash.xxh64_intdigest(w).to_bytes(8, "little") for w in _word(token.lower())])
 
 
 _hashes = WordCache(_word_hashes)
@@ -117,7 +159,7 @@ def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
     Words are runs of letters, digits and underscores, lower-cased. A text of fewer words is one shingle; one
     without words has none.
     """
-    blobs = _hashes.joined([(text or "").split() for text in texts])
+    blobs = [_hashes.joined((text or "").split()) for text in texts]
     words = np.frombuffer(b"".join(blobs), dtype="<u8")
     # Every run of n words of the batch; those that cross from one text into the next are never looked at.
     runs = np.zeros(max(0, len(words) - n + 1), dtype=np.uint64)

@@ -160,9 +160,9 @@ def test_words_apart_encode_as_the_whole(name, dropped):
     rng = random.Random(3)
     marks = ["a", "Bc", " ", "  ", "\n", "\t", "'s", "don't", "12", ".", "é", "́", "\x1c", "　", "<|endoftext|>", "日本", "ß", "İ", "\r\n", "!?"]
     texts = ["", " ", "\n", *("".join(rng.choices(marks, k=rng.randint(1, 30))) for _ in range(3_000))]
-    assert encoder.encode(texts) == encoder.encoded(texts)
+    assert encoder.encode(texts) == encoder.whole(texts)
     encoder.cache.most = 50
-    assert encoder.encode(texts) == encoder.encoded(texts)
+    assert encoder.encode(texts) == encoder.whole(texts)
 
 
 def test_token_files(spark, docs, empty, tmp_path):
@@ -176,7 +176,7 @@ def test_token_files(spark, docs, empty, tmp_path):
     assert [r.doc_id for r in rows] == sorted([d for d, _ in ROWS], key=lambda d: (d is not None, d or 0))
     start = 0
     for r in rows:
-        ids = plain.encoded([known[r.doc_id] or ""])[0] + (2).to_bytes(4, "little")
+        ids = plain.whole([known[r.doc_id] or ""])[0] + (2).to_bytes(4, "little")
         assert bytes(r.ids) == ids and r.start == start and r.n_tokens == len(ids) // 4
         start += r.n_tokens
     shard = tokenfile.open_shard(files[-1].folder, files[-1].file)
