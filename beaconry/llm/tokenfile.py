@@ -33,11 +33,12 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
         planes, ranks = [], []
         for level in range(bits - 1, -1, -1):
-            ones = (values >> values.dtype.type(level)) & values.dtype.type(1) != 0
+            ones = values & values.dtype.type(1 << level) != 0
             plane = np.packbits(ones)
             planes.append(plane)
             ranks.append(cls._ranks(plane))
-            values = np.concatenate([values[~ones], values[ones]])
+            # Taking by positions is several times quicker than by a mask.
+            values = np.concatenate([values[np.flatnonzero(~ones)], values[np.flatnonzero(ones)]])
         return cls(len(values), planes, ranks)
 
     @staticmethod
@@ -114,12 +115,12 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All tokens in order: undo the parting from the last plane upwards."""
-        values = np.zeros(self.n, dtype=np.uint32)
+        values = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             zeros, above = self._zeros(level), np.empty_like(values)
-            above[~ones] = values[:zeros]
-            above[ones] = values[zeros:] | np.uint32(1 << (len(self.planes) - 1 - level))
+            above[np.flatnonzero(~ones)] = values[:zeros]
+            above[np.flatnonzero(ones)] = values[zeros:] | values.dtype.type(1 << (len(self.planes) - 1 - level))
             values = above
         return values
 
@@ -232,7 +233,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         "ids": [ids[e - n : e].tobytes() for e, n in zip(ends[span], lengths[span], strict=True)],
                     })
 
-    spread = manifest.repartition("file").select("folder", "file", "start")
+    # A given number: the manifest is small, and the runtime would join its partitions to one.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = manifest.select("folder", "file", "start").repartition(tasks, "file")
     return spread.mapInPandas(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
