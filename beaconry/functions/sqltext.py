@@ -11,8 +11,8 @@ from beaconry.functions.text import AFTER_WORD, BEFORE_DIGIT, SPACE, let, trimme
 MASKS = [
     (r"/\*[\s\S]*?\*/", " ", "/*"),
     (r"--[^\n]*", " ", "--"),
-    # The possessive form runs without recursion; the second form covers an odd number of quotes.
-    (r"'[^']*+(?:''[^']*+)*+'|'[^']*(?:''[^']*)*'", "?", "'"),
+    # Possessive forms run without recursion. The second closes an unclosed text at its last doubled quote.
+    (r"'[^']*+(?:''[^']*+)*+'|'(?:[^']*+''(?=[^']*+''))*+[^']*+'", "?", "'"),
     (r"\$[a-zA-Z0-9_]*\$[\s\S]*?\$[a-zA-Z0-9_]*\$", "?", "$"),
     (BEFORE_DIGIT + r"\d+(?:\.\d+)?" + AFTER_WORD, "?", ""),
     # A single plain space already is what it would become.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Callable, Iterator
 
@@ -81,17 +82,28 @@ def drop_expired(df: DataFrame, now_ms: int | Column, max_age_ms: int = MAX_AGE_
 
 
 def before_send(df: DataFrame, hook: Callable[[dict], dict | None]) -> DataFrame:
-    """User hook over envelopes, as Arrow batches. None drops the row, an exception keeps it.
+    """User hook over envelopes, as Arrow batches. None drops the row; an exception, or a result that
+    does not have the row's types, keeps the original.
 
     Hooks that can be written with column functions belong in ``df.transform`` instead.
     """
 
+    def fits(row: dict, schema: pa.Schema) -> bool:
+        try:
+            pa.RecordBatch.from_pylist([row], schema=schema)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return False
+        return True
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
                 try:
-                    out = hook(dict(row))
+                    # The hook may change what it gets, also deep inside; a failed one leaves the row as it was.
+                    out = hook(copy.deepcopy(row))
+                    if out is not None and not fits(out, batch.schema):
+                        out = row
                 except Exception:
                     out = row
                 if out is not None:
