@@ -139,8 +139,8 @@ class PieceCodec:
         self.tokenizer = rebuild(self.model)
         self.apart = self.model.apart()
         self.odd = re.compile(r"\s | \s|^\s|\s$").search
-        self.cache = WordCache(self.word)
-        self.words = WordCache(lambda ids: self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False), " ")
+        self.cache = WordCache(self.word, self)
+        self.words = WordCache(lambda ids: self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False), self, " ")
         self.starts = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
 
     def whole(self, texts: list[str]) -> list[bytes]:

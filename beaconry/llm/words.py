@@ -14,7 +14,7 @@ import regex
 import xxhash
 
 # Words that one worker remembers, about 200 bytes each.
-CACHE_WORDS = 1_400_000
+CACHE_WORDS = 1_000_000
 # Fixed value: the pattern by which byte-level pre-tokenizers cut a text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FIRST = "\0"
@@ -30,11 +30,18 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class WordCache(dict):
-    """Values of words; ``work`` gives that of an unknown one. Restarts when it is full."""
+    """Values of words; ``work`` gives that of an unknown one. Restarts when it is full.
 
-    def __init__(self, work: Callable, joint: bytes | str = b"", most: int = CACHE_WORDS):
+    A worker outlives its tasks, so caches of an earlier stage are emptied when those of another ``owner`` are used.
+    """
+
+    made: list[WordCache] = []
+    owner_at_work: object = None
+
+    def __init__(self, work: Callable, owner: object, joint: bytes | str = b"", most: int = CACHE_WORDS):
         super().__init__()
-        self.work, self.joint, self.most = work, joint, most
+        self.work, self.owner, self.joint, self.most = work, owner, joint, most
+        WordCache.made.append(self)
 
     def __missing__(self, word):
         if len(self) >= self.most:
@@ -44,6 +51,11 @@ class WordCache(dict):
 
     def joined(self, words: list):
         """The values of words one after the other, with ``joint`` between them."""
+        if WordCache.owner_at_work is not self.owner:
+            WordCache.owner_at_work = self.owner
+            for cache in WordCache.made:
+                if cache.owner is not self.owner:
+                    cache.clear()
         return self.joint.join(map(self.__getitem__, words))
 
 
@@ -80,7 +92,7 @@ class WordEncoder:
         own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]
         self.cut = regex.compile(own[0] if own else BYTE_LEVEL).findall
         self.marked = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}]+)").fullmatch
-        self.cache = WordCache(self.word)
+        self.cache = WordCache(self.word, self)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -142,7 +154,7 @@ def _word_hashes(token: str) -> bytes:
     return b"".join([xxhash.xxh64_intdigest(w).to_bytes(8, "little") for w in _word(token.lower())])
 
 
-_hashes = WordCache(_word_hashes)
+_hashes = WordCache(_word_hashes, "shingles")
 _ODD = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1) for k in range(64)]
 
 
