@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from beaconry.operators.skew import GROUP_ROWS, numbered
+from beaconry.operators.skew import WIDTH, numbered
 from beaconry.schemas import DB, ROW_ARRAYS, record, wire_struct
 
 # Envelopes per delivery batch, query rows per first-level batch, its timer.
@@ -26,16 +26,16 @@ def pack_batches(
     queue_key: Sequence[str] = ("queue_key",),
     order: Sequence[str] = ("seq",),
     max_batch: int = MAX_BATCH,
-    group_rows: int = GROUP_ROWS,
+    width: int = WIDTH,
 ) -> DataFrame:
     """Merge each run of ``max_batch`` envelopes of a queue and path into one payload, in order.
 
-    Paths without a row array (errors, logs, ...) are passed on one by one. A merged query payload
+    Paths without a row array (errors, logs, ...) are passed on one by one, their place in ``order`` as ``batch``. A merged query payload
     without rows is skipped; merged request and span payloads are sent even when empty.
     """
     keys = [*queue_key, "path"]
     merged = rows.where(F.col("path").isin(list(ROW_ARRAYS)))
-    place = numbered(merged, keys, order, "_place", group_rows)
+    place = numbered(merged, keys, order, "_place", width)
     items = F.lit(None).cast("array<string>")
     for path, field in ROW_ARRAYS.items():
         items = F.when(F.col("path") == path, _raw_rows("payload", field)).otherwise(items)
@@ -55,8 +55,8 @@ def pack_batches(
             F.concat(F.lit('{"'), field, F.lit('":['), F.array_join("_rows", ","), F.lit("]}")).alias("payload"),
         )
     )
-    singles = numbered(rows.where(~F.col("path").isin(list(ROW_ARRAYS))), keys, order, "_place", group_rows).select(
-        *keys, (F.col("_place") - 1).alias("batch"), F.lit(1).cast("bigint").alias("envelopes"), F.lit(1).alias("rows"), "payload"
+    singles = rows.where(~F.col("path").isin(list(ROW_ARRAYS))).select(
+        *keys, F.col(order[0]).cast("bigint").alias("batch"), F.lit(1).cast("bigint").alias("envelopes"), F.lit(1).alias("rows"), "payload"
     )
     return packed.unionByName(singles)
 
@@ -67,7 +67,7 @@ def pack_db_batches(
     order: Sequence[str] = ("timestamp_millis",),
     n: int = DB_BATCH,
     every_ms: int = DB_EVERY_MS,
-    group_rows: int = GROUP_ROWS,
+    width: int = WIDTH,
 ) -> DataFrame:
     """First-level query batches: full at ``n`` rows or at the timer, whichever comes first.
 
@@ -80,7 +80,7 @@ def pack_db_batches(
     keys = [*queue_key, "window_ms"]
     fields = record("db_queries")
     body = F.to_json(wire_struct(type(fields)([f for f in fields.fields if f.name in rows.columns])))
-    placed = numbered(windowed.withColumn("_json", body), keys, order, "_place", group_rows)
+    placed = numbered(windowed.withColumn("_json", body), keys, order, "_place", width)
     return (
         placed.groupBy(*keys, F.floor((F.col("_place") - 1) / n).alias("flush"))
         .agg(F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list(F.struct("_place", "_json"))).alias("_list"))

@@ -18,13 +18,13 @@ def trace_db_time(spans: DataFrame, db_queries: DataFrame) -> DataFrame:
         .groupBy("trace_id", "span_id")
         .agg(F.count(F.lit(1)).alias("db_calls"), F.sum("duration_ms").alias("db_ms"))
     )
-    return lookup(spans, per_span, ["trace_id", "span_id"]).withColumns(
+    return lookup(spans, per_span, ["trace_id", "span_id"], ["span_id"], blank=True).withColumns(
         {"db_calls": F.coalesce("db_calls", F.lit(0)), "db_ms": F.coalesce("db_ms", F.lit(0))}
     )
 
 
 def trace_logs(requests: DataFrame, logs: DataFrame) -> DataFrame:
-    """Log lines, worst severities and first message of each request, by request id within its trace."""
+    """Log lines and their errors and warnings of each request, by request id within its trace."""
     per_request = (
         logs.where(_present("trace_id").isNotNull() & _present("request_id").isNotNull())
         .groupBy("trace_id", "request_id")
@@ -34,7 +34,7 @@ def trace_logs(requests: DataFrame, logs: DataFrame) -> DataFrame:
             F.count_if(F.col("level") == "warn").alias("warn_lines"),
         )
     )
-    return lookup(requests, per_request, ["trace_id", "request_id"]).withColumns(
+    return lookup(requests, per_request, ["trace_id", "request_id"], ["span_id", "request_id"], blank=True).withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("log_lines", "error_lines", "warn_lines")}
     )
 
@@ -75,7 +75,7 @@ def span_parents(spans: DataFrame) -> DataFrame:
         .when(F.col("parent_operation").isNull(), F.lit("orphan"))
         .otherwise(F.lit("child"))
     )
-    return lookup(keyed, parents, ["trace_id", "_parent"]).withColumn("role", role).drop("_parent")
+    return lookup(keyed, parents, ["trace_id", "_parent"], ["trace_id", "span_id"], blank=True).withColumn("role", role).drop("_parent")
 
 
 def failed_request_context(requests: DataFrame, errors: DataFrame, failed: bool = True) -> DataFrame:

@@ -38,7 +38,7 @@ def build_db_rows(
     rows = raw_queries.where(kept)
     if contexts is not None:
         ids = contexts.select("request_key", F.col("trace_id").alias("_t"), F.col("span_id").alias("_s"))
-        rows = lookup(rows, ids, ["request_key"]).withColumns({"trace_id": F.col("_t"), "span_id": F.col("_s")})
+        rows = lookup(rows, ids, ["request_key"], ["started_ms", "sql"]).withColumns({"trace_id": F.col("_t"), "span_id": F.col("_s")})
     sql = F.col("sql")
     text = sqltext.normalized_sql(sql)
     if hashed:

@@ -9,7 +9,7 @@ from beaconry.functions.clock import iso_millis
 from beaconry.functions.maps import overlay
 from beaconry.functions.privacy import Extras, redact_typed
 from beaconry.operators.requests import scope_metadata, sdk_tags, with_scope
-from beaconry.operators.skew import GROUP_ROWS, lookup, running_total
+from beaconry.operators.skew import WIDTH, lookup, running_total
 from beaconry.settings import Settings
 
 # Fixed value: breadcrumbs kept per scope.
@@ -50,7 +50,7 @@ def build_error_rows(ctx: DataFrame, errors: DataFrame, settings: Settings = Set
         ctx.select("request_key", "method", "url", "trace_id", "span_id", "parent_span_id", "request_id"), "request_key"
     )
     if sessions is not None:
-        rows = lookup(rows, sessions.select("request_key", "session_id"), ["request_key"])
+        rows = lookup(rows, sessions.select("request_key", "session_id"), ["request_key"], ["seq"])
     else:
         rows = rows.withColumn("session_id", F.lit(None).cast("string"))
     return rows.select(
@@ -146,7 +146,7 @@ def stamp_breadcrumbs(crumbs: DataFrame, at_ms: str = "at_ms") -> DataFrame:
 
 
 def attach_breadcrumbs(
-    errors: DataFrame, crumbs: DataFrame, n: int = MAX_BREADCRUMBS, error_id: str = "error_id", group_rows: int = GROUP_ROWS
+    errors: DataFrame, crumbs: DataFrame, n: int = MAX_BREADCRUMBS, error_id: str = "error_id", width: int = WIDTH
 ) -> DataFrame:
     """Add the newest ``n`` breadcrumbs recorded in the error's scope before it, oldest first.
 
@@ -165,7 +165,7 @@ def attach_breadcrumbs(
     isa = F.when(F.col("_crumb").isNotNull(), 1).otherwise(0).cast("bigint")
     # At equal seq a crumb comes before the error; the error id settles the rest of the order.
     counted = running_total(
-        both.withColumn("_after", F.coalesce("_error", F.lit(""))), ["scope_key"], ["seq", "_after"], isa, "_k", group_rows
+        both.withColumn("_after", F.coalesce("_error", F.lit(""))), ["scope_key"], ["seq", "_after"], isa, "_k", width
     )
     # Each crumb goes to its own block and, as history, to the next one: at most 2 n crumbs a block.
     block = F.floor((F.col("_k") - 1) / n)
@@ -187,7 +187,7 @@ def attach_breadcrumbs(
     return errors.join(found, errors[error_id].cast("string") == found["_error"], "left").drop("_error")
 
 
-def group_errors(errors: DataFrame, id_col: str | None = None) -> DataFrame:
+def group_errors(errors: DataFrame) -> DataFrame:
     """Error groups: by fingerprint where given, else by class and message with the numbers masked.
 
     Counts per (group, user, release) come first, so the distinct counts run on reduced rows.

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from beaconry.functions import trace, url
 from beaconry.operators.requests import sdk_tags
 from beaconry.operators.sampling import exclude_ingest_host
-from beaconry.operators.skew import GROUP_ROWS, with_previous
+from beaconry.operators.skew import WIDTH, with_next
 from beaconry.settings import Settings
 
 
@@ -52,37 +52,30 @@ def propagated_headers(creates: DataFrame, headers: str = "headers", settings: S
 
 
 def pair_outbound_calls(
-    call_events: DataFrame, ingest_host: str = "", order: tuple[str, ...] = ("at_ms", "seq"), group_rows: int = GROUP_ROWS
+    call_events: DataFrame, ingest_host: str = "", order: tuple[str, ...] = ("at_ms", "seq"), width: int = WIDTH
 ) -> DataFrame:
     """One row per finished call: a creation and the first completion after it.
 
     Within a call key a completion belongs to the event right before it if that is a creation: a
     second creation takes the place of an open one, a second completion finds nothing open.
     """
-    create = F.col("kind") == "create"
-    ready = call_target(call_context(call_events)).withColumn(
-        "call",
-        F.when(
-            create,
-            F.struct(
-                F.col("at_ms").alias("started_ms"), "trace_id", "parent_span_id", "request_id", "span_id",
-                "method", "host", "port", "path",
-            ),
-        ),
-    )
+    create, done = F.col("kind") == "create", F.col("kind").isin("headers", "error")
     # A creation that emits nothing (unsampled, own ingest host) leaves an open call open.
-    heard = exclude_ingest_host(ready, ingest_host).where(F.col("kind").isin("headers", "error") | (create & F.col("sampled")))
-    events = with_previous(
-        heard.select("call_key", *order, "kind", "call", "status_code"),
-        ["call_key"], list(order), F.struct("kind", "call"), "_before", group_rows, probe=call_events,
-    )
-    code = F.when(F.col("kind") == "error", 0).otherwise(F.coalesce("status_code", F.lit(0)))
-    return (
-        events.where(F.col("kind").isin("headers", "error") & F.col("_before.call").isNotNull())
-        .select(
-            "call_key", "_before.call.*", F.col("at_ms").alias("ended_ms"), code.cast("int").alias("status_code"),
-            F.when((F.col("kind") == "error") | (code >= 500), F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-        )
+    heard = call_events.where(done | (create & F.coalesce("sampled", F.lit(True))))
+    if ingest_host:
+        heard = exclude_ingest_host(heard.withColumn("host", url.parse_origin(F.col("origin"))["host"]), ingest_host).drop("host")
+    ids = ["trace_id", "parent_span_id", "request_id", "sampled"]
+    names = list(dict.fromkeys(["call_key", *order, "at_ms", "kind", "origin", "path", "method", *ids, "status_code"]))
+    following = F.struct(F.col("kind"), F.col("at_ms"), F.col("status_code"))
+    events = with_next(heard.select(*names), ["call_key"], list(order), following, "_after", width)
+    ended = events.where(create & F.col("_after.kind").isin("headers", "error"))
+    calls = call_target(call_context(ended))
+    failed = F.col("_after.kind") == "error"
+    code = F.when(failed, 0).otherwise(F.coalesce("_after.status_code", F.lit(0)))
+    return calls.select(
+        "call_key", F.col("at_ms").alias("started_ms"), "trace_id", "parent_span_id", "request_id", "span_id",
+        "method", "host", "port", "path", F.col("_after.at_ms").alias("ended_ms"), code.cast("int").alias("status_code"),
+        F.when(failed | (code >= 500), F.lit("error")).otherwise(F.lit("ok")).alias("status"),
     )
 
 

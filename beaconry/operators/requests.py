@@ -119,13 +119,16 @@ def request_row(df: DataFrame, settings: Settings, capture_headers: bool, extra:
     )
 
 
-def with_scope(df: DataFrame, scopes: DataFrame, key: str) -> DataFrame:
-    """Attach the merged scope (one row per scope key) under underscored names."""
+def with_scope(df: DataFrame, scopes: DataFrame, key: str, present: bool = False) -> DataFrame:
+    """Attach the merged scope (one row per scope key) under underscored names.
+
+    ``present`` says that no key is NULL, as after an inner join on it, whose partitioning is then used again.
+    """
     side = scopes.select(
         F.col("scope_key").alias(key),
         *[F.col(c).alias(f"_{c}") for c in scopes.columns if c != "scope_key"],
     )
-    return lookup(df, side, [key])
+    return df.join(side, key, "left") if present else lookup(df, side, [key])
 
 
 def build_http_rows(
@@ -139,7 +142,7 @@ def build_http_rows(
     """Request rows of the sampled starts (with context) that have an end."""
     joined = ctx.where("sampled").join(ends, "request_key")
     if scopes is not None:
-        joined = with_scope(joined, scopes, "request_key")
+        joined = with_scope(joined, scopes, "request_key", present=True)
     return request_row(joined, settings, capture_headers, extra, scopes is not None)
 
 

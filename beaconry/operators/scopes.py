@@ -42,6 +42,8 @@ def merge_scopes(scopes: DataFrame, dedupe: bool = False) -> DataFrame:
     inherited breadcrumbs show twice. That is kept; ``dedupe`` drops the repeats. The entries of all
     bags are reduced in one pass, to one row per (scope, bag, name) before anything is collected.
     """
+    # The aggregations and the join below share this shuffle.
+    scopes = scopes.repartition("scope_key")
     depth = F.col("depth")
     last = lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), depth)).alias(c)
     single = [last(c) for c in FIELDS]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from beaconry.operators.skew import GROUP_ROWS, match_one
+from beaconry.functions.clock import DAY_MS
+from beaconry.operators.skew import match_one
 from beaconry.settings import Settings
 
 # Statuses by rank, and the event kinds that lead to them.
@@ -20,7 +21,7 @@ def status_name(rank: Column) -> Column:
     return F.get(F.array(*map(F.lit, STATUSES)), rank.cast("int"))
 
 
-def fold_sessions(session_events: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def fold_sessions(session_events: DataFrame) -> DataFrame:
     """Final state per session: first start, first end after it, worst status strictly between.
 
     The earliest event of each kind after the start says whether that kind fell before the end, so
@@ -29,7 +30,7 @@ def fold_sessions(session_events: DataFrame, group_rows: int = GROUP_ROWS) -> Da
     first = lambda cond, *what: F.min(F.when(cond, F.struct("seq", *what)))
     kind, seq, begin = F.col("kind"), F.col("seq"), F.col("_from")
     begun = session_events.where(kind == "start").groupBy("session_id").agg(F.min("seq").alias("_from"))
-    events = match_one(session_events, begun, ["session_id"], ["seq"], group_rows)
+    events = match_one(session_events, begun, ["session_id"], ["seq"])
     folded = (
         events.where(seq >= begin)
         .groupBy("session_id")
@@ -70,9 +71,7 @@ def compact_session_events(session_events: DataFrame) -> DataFrame:
     """
     kind = F.col("kind")
     starts = session_events.groupBy("session_id").agg(F.min(F.when(kind == "start", F.col("seq"))).alias("_from"))
-    # Always salted: parts get unioned, and Spark 4.1 cannot zip a union of parts that all come out
-    # partitioned by session but with different partition counts.
-    marked = match_one(session_events, starts, ["session_id"], ["seq"], group_rows=0)
+    marked = match_one(session_events, starts, ["session_id"], ["seq"])
     before = F.coalesce(F.col("seq") < F.col("_from"), F.lit(True))
     names = [c for c in session_events.columns if c not in ("session_id", "kind", "seq")]
     return (
@@ -96,14 +95,38 @@ def build_session_rows(session_events: DataFrame, settings: Settings = Settings(
 
 def crash_free_rates(
     session_ends: DataFrame, session_starts: DataFrame, by: tuple[str, ...] = ("release", "environment"), totals: bool = False
+) -> DataFrame:
+    """:func:`session_rates` of start and end rows that were delivered apart."""
+    rows = session_starts.join(session_ends.select("session_id", "status"), "session_id", "left")
+    return session_rates(rows, by, totals)
+
+
+def session_rates(
+    sessions: DataFrame, by: tuple[str, ...] = ("release", "environment"), totals: bool = False, users_error: float = 0.0
 ) -> DataFrame:
     """Sessions, crashed sessions and users and their crash-free shares per group.
 
-    Sessions are first counted per (group, user), which makes the distinct users plain counts. With
-    ``totals`` the groups are rolled up too.
+    ``sessions`` has a status per session, NULL while it is open; the folded table will do as it is. ``day`` in
+    ``by`` is the UTC day of ``started_ms``. Sessions are first counted per (group, user), which makes the distinct
+    users plain counts. With ``totals`` the groups are rolled up too. With ``users_error`` above 0 users are
+    estimated within that relative error, with no row per user; there are no totals then.
     """
-    rows = session_starts.join(session_ends.select("session_id", "status"), "session_id", "left")
+    rows = sessions
+    if "day" in by and "day" not in rows.columns:
+        rows = rows.withColumn("day", F.date_from_unix_date(F.floor(F.col("started_ms") / DAY_MS).cast("int")))
+    if "ended" in rows.columns:
+        rows = rows.withColumn("status", F.when(F.col("ended"), F.col("status")))
     crashed = F.coalesce(F.col("status") == "crashed", F.lit(False))
+    if users_error > 0:
+        if totals:
+            raise ValueError("estimated users have no totals")
+        estimate = lambda c: F.approx_count_distinct(c, users_error)
+        return _shares(
+            rows.groupBy(*by).agg(
+                F.count(F.lit(1)).alias("sessions"), F.count_if(crashed).alias("crashed_sessions"),
+                estimate("user_id").alias("users"), estimate(F.when(crashed, F.col("user_id"))).alias("crashed_users"),
+            )
+        )
     per_user = rows.groupBy(*by, "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(crashed).alias("c")
     )

@@ -1,120 +1,91 @@
 """Ordered per-key work that stays spread out when one key holds a large share of the rows.
 
-A plain window sends a key to one task. Each helper first asks, with one map-side-combined count,
-whether any key is larger than ``group_rows``. If none is, the plain window is used. If one is, the
-rows are range-partitioned by (key, order) into balanced slices, the window runs inside each slice,
-and what a slice needs from earlier slices is added from a carry table. Rows are in total order, so
-only the first key of a slice can have started in an earlier one: the carry table has at most one
-row per slice, which is what makes broadcasting it safe.
+A plain window sends a key to one task. Here a key is cut into slices of its order: ``width`` units of the
+first order column where it is a number (a sequence number, a time), or its first four characters where it is
+a text. The window runs inside a slice, and what a slice needs from its neighbours comes as one extra row of the slice, from a table with one row per
+(key, slice). There is one plan for every size, and building it starts no job.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# Rows of one key that one task may sort.
-GROUP_ROWS = 2_000_000
+# Units of the first order column in a slice: rows for sequence numbers, milliseconds (17 minutes) for times.
+WIDTH = 1_000_000
 SALTS = 64
+# Salts of a join whose skew the runtime can split further.
+JOIN_SALTS = 4
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the cluster's shared folder; local sessions without one get a temporary folder."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(folder)
-    elif sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="beaconry-checkpoint-"))
-    return df.checkpoint(eager=True)
+def _sliced(df: DataFrame, order: Sequence[str], width: int) -> DataFrame:
+    if isinstance(df.schema[order[0]].dataType, T.StringType):
+        return df.withColumn("_slice", F.substring(order[0], 1, 4))
+    return df.withColumn("_slice", F.floor(F.col(order[0]) / F.lit(width)).cast("bigint"))
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], group_rows: int) -> bool:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return not counts.where(F.col("_n") > group_rows).isEmpty()
-
-
-def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Balanced slices in (key, order) order. Written once: slice numbers must not change on a re-run."""
-    return durable(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
-
-
-def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    names = {k: f"_carry_{k}" for k in ["_slice", *keys]}
-    carry = carry.withColumnsRenamed(names)
-    on = F.lit(True)
-    for k, v in names.items():
-        on = on & F.col(k).eqNullSafe(F.col(v))
-    return df.join(F.broadcast(carry), on, "left").drop(*names.values())
+def _with_extra(rows: DataFrame, extra: DataFrame, side: int) -> DataFrame:
+    """Rows (``_side`` 1) together with one extra row per slice, before (0) or after (2) the others."""
+    return rows.withColumn("_side", F.lit(1)).unionByName(
+        extra.withColumn("_side", F.lit(side)), allowMissingColumns=True
+    )
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: Column, out: str,
-    group_rows: int = GROUP_ROWS, probe: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: Column, out: str, width: int = WIDTH
 ) -> DataFrame:
-    """Add the inclusive running sum of ``amount`` per key. ``order`` must be a total order.
-
-    ``probe`` is a cheaper table with at least as many rows per key, for the size question.
-    """
-    if not has_large_group(df if probe is None else probe, keys, group_rows):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(amount).over(w))
-    parts = _slices(df.withColumn("_amount", amount), keys, order)
-    inside = Window.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Add the inclusive running sum of ``amount`` per key. ``order`` must be a total order."""
+    parts = _sliced(df.withColumn("_amount", amount), order, width)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy(*keys, "_slice").agg(F.sum("_amount").alias("_total"))
     carry = (
-        parts.groupBy("_slice", *keys)
-        .agg(F.sum("_amount").alias("_total"))
-        .withColumn("_carry", F.sum("_total").over(earlier))
-        .where(F.col("_carry").isNotNull())
-        .drop("_total")
+        totals.withColumn("_amount", F.sum("_total").over(earlier))
+        .where(F.col("_amount").isNotNull()).drop("_total")
     )
-    local = parts.withColumn(out, F.sum("_amount").over(inside))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_side", *order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        _with_carry(local, carry, keys)
-        .withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0)))
-        .drop("_carry", "_slice", "_amount")
+        _with_extra(parts, carry, 0).withColumn(out, F.sum("_amount").over(inside))
+        .where(F.col("_side") == 1).drop("_amount", "_slice", "_side")
     )
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: int = WIDTH) -> DataFrame:
     """Add the 1-based position of each row within its key."""
-    return running_total(df, keys, order, F.lit(1).cast("bigint"), out, group_rows)
+    return running_total(df, keys, order, F.lit(1).cast("bigint"), out, width)
 
 
-def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
-    group_rows: int = GROUP_ROWS, probe: DataFrame | None = None,
+def _beside(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, width: int, ahead: bool
 ) -> DataFrame:
-    """Add ``value`` of the row before, within the key. ``value`` must not be NULL; ``probe`` as above."""
-    if not has_large_group(df if probe is None else probe, keys, group_rows):
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    parts = _slices(df.withColumn("_value", value), keys, order)
-    inside = Window.partitionBy("_slice", *keys).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("_slice")
+    parts = _sliced(df.withColumn("_value", value), order, width)
+    pick, step, side = (F.min_by, F.lead, 2) if ahead else (F.max_by, F.lag, 0)
+    edge = parts.groupBy(*keys, "_slice").agg(pick("_value", F.struct(*order)).alias("_edge"))
     carry = (
-        parts.groupBy("_slice", *keys)
-        .agg(F.max_by("_value", F.struct(*order)).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(across))
-        .where(F.col("_carry").isNotNull())
-        .drop("_last")
+        edge.withColumn("_value", step("_edge").over(Window.partitionBy(*keys).orderBy("_slice")))
+        .where(F.col("_value").isNotNull()).drop("_edge")
     )
-    local = parts.withColumn(out, F.lag("_value").over(inside))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_side", *order)
     return (
-        _with_carry(local, carry, keys)
-        .withColumn(out, F.coalesce(out, "_carry"))
-        .drop("_carry", "_slice", "_value")
+        _with_extra(parts, carry, side).withColumn(out, step("_value").over(inside))
+        .where(F.col("_side") == 1).drop("_value", "_slice", "_side")
     )
 
 
+def with_previous(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, width: int = WIDTH
+) -> DataFrame:
+    """Add ``value`` of the row before, within the key. ``value`` must not be NULL."""
+    return _beside(df, keys, order, value, out, width, False)
+
+
+def with_next(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, width: int = WIDTH
+) -> DataFrame:
+    """Add ``value`` of the row after, within the key. ``value`` must not be NULL."""
+    return _beside(df, keys, order, value, out, width, True)
+
+
 def _salt(order: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*order), F.lit(salts))
 
@@ -159,19 +130,23 @@ def newest_within(
     )
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def lookup(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str] | None = None, blank: bool = False
+) -> DataFrame:
     """Left join to a table with one row per key, rows without a key never meeting in one task.
 
-    A NULL in the first key is replaced, for the shuffle only, by a text from the row's content; the
-    join condition still asks for real keys. A large real key is on the left only, so the runtime
-    skew join can split it.
+    A NULL in the first key is replaced, for the shuffle only, by a text from the row's content: of the columns
+    ``spread_by``, or of all. The join condition still asks for real keys; with ``blank`` an empty text is none.
+    A large real key is on the left only, so the runtime skew join can split it.
     """
     first, names = keys[0], {k: f"_right_{k}" for k in keys}
     right = right.withColumnsRenamed(names)
-    content = F.xxhash64(*[c for c in left.columns if _hashable(left, c)])
+    content = F.xxhash64(*(spread_by or [c for c in left.columns if _hashable(left, c)]))
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
+        if blank:
+            keyed = keyed & (F.col(k) != "")
     spread = F.when(keyed, F.col(first).cast("string")).otherwise(F.concat(F.lit("\x00"), content.cast("string")))
     on = keyed & (F.col("_key") == F.col(names[first]).cast("string"))
     for k in keys[1:]:
@@ -184,18 +159,13 @@ def _hashable(df: DataFrame, name: str) -> bool:
 
 
 def match_one(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-    group_rows: int = GROUP_ROWS, salts: int = SALTS,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str], salts: int = JOIN_SALTS
 ) -> DataFrame:
     """Inner join of many rows per key to one row per key, ahead of an aggregation on the key.
 
-    Join and aggregation then share one shuffle. The runtime skew join steps back in that case, so
-    when a key is large the small side is repeated per salt and the large side joins by salt.
-    ``group_rows=0`` always salts.
+    The small side is repeated per salt and the large side joins by salt. As the aggregation then needs an
+    exchange of its own, behind its map-side combine, the runtime skew join may split a salt further.
     """
-    if group_rows and not has_large_group(left, keys, group_rows):
-        # The shuffle join and aggregation share, named so that no partitioning of the input is taken over.
-        return left.repartition(*keys).join(right, list(keys))
     each = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     right = right.withColumn("_salt", F.explode(each))
     return left.withColumn("_salt", _salt(spread_by, salts)).join(right, [*keys, "_salt"]).drop("_salt")

@@ -248,11 +248,11 @@ _CALLS = """CL,
        CASE WHEN trace_id IS NULL THEN md5('call:' || ck) ELSE request_id END AS request_id, substr(md5('call:' || ck), 1, 16) AS span_id, cmethod AS method, host, port, cpath AS path, NULL::INT AS status_code
        FROM cv WHERE coalesce(sampled, true) AND host <> 'ingest.example.com'
      UNION ALL SELECT call_key, at_ms + took_ms, seq + 1, outcome, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, status_code FROM cv WHERE outcome IS NOT NULL AND host <> 'ingest.example.com'),
-  done AS (SELECT *, row_number() OVER w AS n FROM heard WINDOW w AS (PARTITION BY call_key ORDER BY at_ms, seq)),
-  paired AS (SELECT c.call_key, c.started_ms, c.trace_id, c.parent_span_id, c.request_id, c.span_id, c.method, c.host, c.port, c.path, f.at_ms AS ended_ms,
-     CASE WHEN f.kind = 'error' THEN 0 ELSE coalesce(f.status_code, 0) END AS status_code,
-     CASE WHEN f.kind = 'error' OR f.status_code >= 500 THEN 'error' ELSE 'ok' END AS status
-     FROM done c JOIN done f ON f.call_key = c.call_key AND f.n = c.n + 1 WHERE c.kind = 'create' AND f.kind <> 'create')"""
+  done AS (SELECT *, lead({'kind': kind, 'at_ms': at_ms, 'status_code': status_code}) OVER (PARTITION BY call_key ORDER BY at_ms, seq) AS f FROM heard),
+  paired AS (SELECT c.call_key, c.started_ms, c.trace_id, c.parent_span_id, c.request_id, c.span_id, c.method, c.host, c.port, c.path, c.f.at_ms AS ended_ms,
+     CASE WHEN c.f.kind = 'error' THEN 0 ELSE coalesce(c.f.status_code, 0) END AS status_code,
+     CASE WHEN c.f.kind = 'error' OR c.f.status_code >= 500 THEN 'error' ELSE 'ok' END AS status
+     FROM done c WHERE c.kind = 'create' AND c.f.kind <> 'create')"""
 CALLS = _CALLS.replace("CL,", cte("call_lines", "cl") + ",", 1)
 STATEMENTS["pair_outbound_calls"] = f"WITH {CALLS} SELECT * FROM paired"
 STATEMENTS["build_outbound_rows"] = f"""WITH {CALLS} SELECT call_key, 'outbound' AS direction, method, CASE WHEN host = '' THEN 'unknown' ELSE host END AS host, path, status_code, ended_ms - started_ms AS duration_ms,
@@ -384,7 +384,7 @@ STATEMENTS["pack_batches"] = f"""WITH {ENV}, n AS (SELECT *, row_number() OVER (
     regexp_extract(payload, '^.."?(?:requests|spans|queries)":\\[(.*)\\].$', 1) AS body FROM n WHERE path IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')),
   g AS (SELECT spool, path, batch, field, count(*) AS envelopes, coalesce(string_agg(body, ',' ORDER BY k) FILTER (body <> ''), '') AS body FROM m GROUP BY ALL)
   SELECT spool AS queue_key, path, batch, envelopes, CASE WHEN body = '' THEN 0 ELSE length(body) - length(replace(body, '}}', '')) END::INT AS rows, md5('{{"' || field || '":[' || body || ']}}') AS payload_md5 FROM g WHERE path <> '/ingest/v1/db' OR body <> ''
-  UNION ALL SELECT spool, path, k, 1, 1, md5(payload) FROM n WHERE path NOT IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')"""
+  UNION ALL SELECT spool, path, seq, 1, 1, md5(payload) FROM n WHERE path NOT IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')"""
 STATEMENTS["pack_db_batches"] = f"""WITH {cte('raw_queries', 'q')}, r AS (SELECT coalesce("database", 'none') AS queue_key, (started_ms // 86400000) * 86400000 AS window_ms, started_ms AS t, md5(sql) AS s, ended_ms - started_ms AS d FROM q),
   n AS (SELECT *, (row_number() OVER (PARTITION BY queue_key, window_ms ORDER BY t, s, d) - 1) AS k FROM r)
   SELECT queue_key, window_ms, k // 3 AS flush, count(*) AS rows, '/ingest/v1/db' AS path,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconry.operators import batching, errors, outbound
-from beaconry.operators.skew import lookup, match_one, newest, newest_within, numbered, running_total, with_previous
+from beaconry.operators.skew import lookup, match_one, newest, newest_within, numbered, running_total, with_next, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -24,11 +24,11 @@ def _groups(rows):
     return out
 
 
-@pytest.mark.parametrize("group_rows", [10, 10**9])
-def test_running_total_and_number(spark, rows, group_rows):
+@pytest.mark.parametrize("width", [7, 10**9])
+def test_running_total_and_number(spark, rows, width):
     df = spark.createDataFrame(rows, "k string, seq int, v int").repartition(5)
-    total = running_total(df, ["k"], ["seq"], F.col("v"), "t", group_rows)
-    place = numbered(df, ["k"], ["seq"], "n", group_rows)
+    total = running_total(df, ["k"], ["seq"], F.col("v"), "t", width)
+    place = numbered(df, ["k"], ["seq"], "n", width)
     want_total, want_place = {}, {}
     for group in _groups(rows).values():
         run = 0
@@ -40,15 +40,18 @@ def test_running_total_and_number(spark, rows, group_rows):
     assert set(total.columns) == {"k", "seq", "v", "t"}
 
 
-@pytest.mark.parametrize("group_rows", [10, 10**9])
-def test_previous(spark, rows, group_rows):
+@pytest.mark.parametrize("width", [7, 10**9])
+def test_previous(spark, rows, width):
     df = spark.createDataFrame(rows, "k string, seq int, v int").repartition(5)
-    got = with_previous(df, ["k"], ["seq"], F.struct("seq", "v"), "p", group_rows)
+    got = with_previous(df, ["k"], ["seq"], F.struct("seq", "v"), "p", width)
     want = {}
     for group in _groups(rows).values():
         for before, r in zip([None, *group], group):
             want[r[1]] = before and (before[1], before[2])
     assert {r.seq: r.p and tuple(r.p) for r in got.collect()} == want
+    following = {b[0]: s for s, b in want.items() if b}
+    ahead = with_next(df, ["k"], ["seq"], F.col("seq"), "p", width)
+    assert {r.seq: r.p for r in ahead.collect()} == {r[1]: following.get(r[1]) for r in rows}
 
 
 @pytest.mark.parametrize("n", [1, 7, 2000])
@@ -85,20 +88,20 @@ def test_lookup_keeps_every_left_row(spark):
     assert {(r.i, r.v) for r in lookup(left, right, ["k"]).collect()} == {(1, None), (2, "A"), (3, "A"), (4, None), (5, None), (6, None)}
 
 
-@pytest.mark.parametrize("group_rows", [10, 10**9])
-def test_match_one(spark, rows, group_rows):
+@pytest.mark.parametrize("salts", [1, 5])
+def test_match_one(spark, rows, salts):
     left = spark.createDataFrame(rows, "k string, seq int, v int")
     right = spark.createDataFrame([("hot", 1), ("a", 2)], "k string, w int")
-    assert match_one(left, right, ["k"], ["seq"], group_rows).count() == sum(r[0] in ("hot", "a") for r in rows)
+    assert match_one(left, right, ["k"], ["seq"], salts).count() == sum(r[0] in ("hot", "a") for r in rows)
 
 
-@pytest.mark.parametrize("group_rows", [5, 10**9])
-def test_breadcrumbs(spark, group_rows):
+@pytest.mark.parametrize("width", [5, 10**9])
+def test_breadcrumbs(spark, width):
     rng = random.Random(11)
     events = [(rng.choice(["hot", "hot", "x"]), i, rng.random() < 0.15) for i in range(700)]
     crumbs = spark.createDataFrame([(k, i, f"m{i}") for k, i, e in events if not e], "scope_key string, seq bigint, message string")
     errs = spark.createDataFrame([(k, i, i) for k, i, e in events if e], "scope_key string, seq bigint, error_id bigint")
-    got = errors.attach_breadcrumbs(errs, crumbs, n=7, group_rows=group_rows)
+    got = errors.attach_breadcrumbs(errs, crumbs, n=7, width=width)
     want = {}
     for k, i, e in events:
         if e:
@@ -106,14 +109,14 @@ def test_breadcrumbs(spark, group_rows):
     assert {r.error_id: r.breadcrumbs and [c.message for c in r.breadcrumbs] for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("group_rows", [5, 10**9])
-def test_batches(spark, group_rows):
+@pytest.mark.parametrize("width", [5, 10**9])
+def test_batches(spark, width):
     rows = [("q", "/ingest/v1/db", i, '{"queries":[{"n":%d}]}' % i) for i in range(120)]
     rows += [("q", "/ingest/v1/db", 500 + i, '{"queries":[]}') for i in range(50)]
     rows += [("q", "/ingest/v1/spans", i, '{"nothing":1}') for i in range(60)]
     rows += [("q", "/ingest/v1/logs", i, '{"m":%d}' % i) for i in range(3)]
     df = spark.createDataFrame(rows, "queue_key string, path string, seq int, payload string")
-    got = {(r.path, r.batch): r for r in batching.pack_batches(df, group_rows=group_rows).collect()}
+    got = {(r.path, r.batch): r for r in batching.pack_batches(df, width=width).collect()}
     assert got["/ingest/v1/db", 0].payload == '{"queries":[' + ",".join('{"n":%d}' % i for i in range(50)) + "]}"
     assert got["/ingest/v1/db", 2].rows == 20 and ("/ingest/v1/db", 3) not in got
     assert [got["/ingest/v1/spans", b].payload for b in (0, 1)] == ['{"spans":[]}'] * 2
@@ -128,8 +131,8 @@ def _call(key, seq, kind, code=None, origin="http://downstream.svc:8080", at=Non
     return (key, seq, kind, origin, "/api/widgets?q=1", "post", code, seq if at is None else at, *ids)
 
 
-@pytest.mark.parametrize("group_rows", [2, 10**9])
-def test_calls(spark, group_rows):
+@pytest.mark.parametrize("width", [1, 10**9])
+def test_calls(spark, width):
     rows = [
         _call("ok", 1, "create"), _call("ok", 6, "headers", 201),
         _call("bad", 1, "create"), _call("bad", 2, "headers", 503),
@@ -141,7 +144,7 @@ def test_calls(spark, group_rows):
         # A key used again: the second creation replaces the open one, the second completion finds nothing.
         _call("again", 1, "create"), _call("again", 3, "create"), _call("again", 4, "headers", 200), _call("again", 5, "headers", 500),
     ]
-    paired = outbound.pair_outbound_calls(spark.createDataFrame(rows, CALL), "ingest.example.com", group_rows=group_rows)
+    paired = outbound.pair_outbound_calls(spark.createDataFrame(rows, CALL), "ingest.example.com", width=width)
     got = {r.call_key: r for r in paired.collect()}
     assert {k: (r.status_code, r.status) for k, r in got.items()} == {
         "ok": (201, "ok"), "bad": (503, "error"), "lost": (0, "error"), "orphan": (0, "ok"), "again": (200, "ok")
