@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -18,6 +19,7 @@ CACHE_WORDS = 1_000_000
 # Fixed value: the pattern by which byte-level pre-tokenizers cut a text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FIRST = "\0"
+MARKS = string.punctuation
 # Texts that are handled at once; bounds the memory of a worker beside its Arrow batch.
 TEXTS_AT_ONCE = 512
 
@@ -91,6 +93,8 @@ class WordEncoder:
             steps = json.load(file)["pre_tokenizer"]
         own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]
         self.cut = regex.compile(own[0] if own else BYTE_LEVEL).findall
+        # Under the byte-level pattern plain letters, and the space before them, are always one piece.
+        self.one_piece = not own and not dropped_space
         self.marked = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}]+)").fullmatch
         self.cache = WordCache(self.word, self)
 
@@ -107,6 +111,12 @@ class WordEncoder:
             if (parts := self.marked(word)) and parts[1]:
                 return self.cache[parts[1]] + self.cache[parts[2]]
             return self.pieces(word)
+        if self.one_piece and word.isascii():
+            if word.isalpha():
+                return ids_bytes([t.id for t in self.model.tokenize(self.letters[32] + word)])
+            head = word.rstrip(MARKS)
+            if head.isalpha() and head != word:
+                return self.cache[head] + self.cache[FIRST + word[len(head) :]]
         # A word takes the space before it along; the first of a text has a sign instead.
         if word[:1] == FIRST:
             return self.pieces(word[1:])
