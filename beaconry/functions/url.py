@@ -77,16 +77,6 @@ def parse_origin(origin: Column) -> Column:
     return let(F.coalesce(origin, F.lit("")), any_origin)
 
 
-def origin_host(origin: Column) -> Column:
-    """Host of an origin URL, ``''`` when there is none."""
-    return parse_origin(origin)["host"]
-
-
-def origin_port(origin: Column) -> Column:
-    """Explicit non-default port of an origin URL, else ``''``."""
-    return parse_origin(origin)["port"]
-
-
 def request_target(url: Column) -> Column:
     """What follows scheme and authority of an absolute URL."""
     return F.regexp_replace(url, r"(?i)^[a-z][a-z0-9+.\-]*://[^/?#]*", "")

@@ -10,6 +10,7 @@ R = "[REDACTED]"
 
 STATEMENTS: dict[str, str] = {}
 
+# White space, the masks and verbs of statement texts, and below the value patterns.
 SPACES = r"[\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
 
@@ -352,7 +353,11 @@ STATEMENTS["crash_free_rates"] = f"""WITH {SESSIONS}, x AS (SELECT *, ended AND
   SELECT release, environment, count(*) AS sessions, count(*) FILTER (crashed) AS crashed_sessions, count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (crashed) AS crashed_users,
   round(1 - count(*) FILTER (crashed) / count(*), 6) AS crash_free_sessions, CASE WHEN count(DISTINCT user_id) > 0 THEN round(1 - count(DISTINCT user_id) FILTER (crashed) / count(DISTINCT user_id), 6) END AS crash_free_users
   FROM x GROUP BY ROLLUP (release, environment)"""
-STATEMENTS["reconcile_sessions"] = f"""WITH {SESSIONS}, w AS (SELECT session_id, max(CASE WHEN seq % 3 = 0 THEN 3 ELSE 1 END) AS r FROM se WHERE seq % 4 = 0 GROUP BY 1)
+STATEMENTS["crash_free_rates_by_day"] = f"""WITH {SESSIONS}, x AS (SELECT *, ended AND status = 'crashed' AS crashed, strftime(make_timestamp(started_ms * 1000), '%Y-%m-%d') AS day FROM fold WHERE release <> '')
+  SELECT release, day, count(*) AS sessions, count(*) FILTER (crashed) AS crashed_sessions, count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (crashed) AS crashed_users,
+  round(1 - count(*) FILTER (crashed) / count(*), 6) AS crash_free_sessions, CASE WHEN count(DISTINCT user_id) > 0 THEN round(1 - count(DISTINCT user_id) FILTER (crashed) / count(DISTINCT user_id), 6) END AS crash_free_users
+  FROM x GROUP BY ALL"""
+STATEMENTS["reconcile_sessions"] = f"""WITH {SESSIONS}, w AS (SELECT session_id, max(CASE WHEN kind = 'crash' THEN 3 ELSE 1 END) AS r FROM se WHERE kind IN ('error', 'crash') GROUP BY 1)
   SELECT session_id, duration_ms, CASE greatest(CASE status WHEN 'ok' THEN 0 WHEN 'errored' THEN 1 WHEN 'abnormal' THEN 2 ELSE 3 END, coalesce(r, 0)) WHEN 0 THEN 'ok' WHEN 1 THEN 'errored' WHEN 2 THEN 'abnormal' ELSE 'crashed' END AS status
   FROM fold LEFT JOIN w USING (session_id) WHERE release <> '' AND ended"""
 
@@ -370,7 +375,6 @@ _req = f"""WITH {ENV}, x AS (SELECT envelope_id, CASE WHEN path = '/ingest/v1/ht
 STATEMENTS["build_envelopes"] = f"""WITH {HTTP} SELECT request_key, 'inbound' AS direction, method, path, status_code, strftime(make_timestamp(started_ms * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS timestamp,
   trace_id, parent_span_id, user_id, '{SDK}' AS metadata FROM http"""
 STATEMENTS["flatten_requests"] = _req.replace("KEYS", "envelope_id,")
-STATEMENTS["write_tables"] = _req.replace("KEYS", "")
 STATEMENTS["flatten_others"] = f"""WITH {ENV}
   SELECT envelope_id, 'spans' AS kind, r->>'traceId' AS v0, r->>'durationMs' AS v1 FROM (SELECT envelope_id, unnest(json_extract(payload, '$.spans[*]')) AS r FROM e WHERE path = '/ingest/v1/spans')
   UNION ALL SELECT envelope_id, 'db_queries', r->>'normalizedQuery', r->>'durationMs' FROM (SELECT envelope_id, unnest(json_extract(payload, '$.queries[*]')) AS r FROM e WHERE path = '/ingest/v1/db')
@@ -379,6 +383,11 @@ STATEMENTS["flatten_others"] = f"""WITH {ENV}
   UNION ALL SELECT envelope_id, 'session_starts', payload->>'sessionId', payload->>'release' FROM e WHERE path = '/ingest/v1/sessions/start'
   UNION ALL SELECT envelope_id, 'session_ends', payload->>'sessionId', payload->>'durationMs' FROM e WHERE path = '/ingest/v1/sessions/end'
   UNION ALL SELECT envelope_id, 'logs', payload->>'message', 'n=x;password=p' FROM e WHERE path = '/ingest/v1/logs'"""
+STATEMENTS["write_tables"] = f"""SELECT kind, v0, CASE WHEN kind <> 'logs' THEN v1 END AS v1 FROM ({STATEMENTS["flatten_others"]})
+  UNION ALL SELECT 'http_requests', method, trace_id FROM ({STATEMENTS["flatten_requests"]})
+  UNION ALL SELECT 'rejected', path, reason FROM (WITH {ENV} SELECT path, CASE WHEN path = '/elsewhere' THEN 'path'
+    WHEN path = '/ingest/v1/http-requests' AND json_extract(payload, '$.requests') IS NULL OR path = '/ingest/v1/spans' AND json_extract(payload, '$.spans') IS NULL
+      OR path = '/ingest/v1/db' AND json_extract(payload, '$.queries') IS NULL THEN 'rows' END AS reason FROM e) WHERE reason IS NOT NULL"""
 STATEMENTS["pack_batches"] = f"""WITH {ENV}, n AS (SELECT *, row_number() OVER (PARTITION BY spool, path ORDER BY seq) - 1 AS k FROM e),
   m AS (SELECT spool, path, k // 7 AS batch, k, CASE path WHEN '/ingest/v1/http-requests' THEN 'requests' WHEN '/ingest/v1/spans' THEN 'spans' ELSE 'queries' END AS field,
     regexp_extract(payload, '^.."?(?:requests|spans|queries)":\\[(.*)\\].$', 1) AS body FROM n WHERE path IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')),

@@ -500,16 +500,26 @@ def session_end_rows(spark, d):
 
 @query
 def crash_free_rates(spark, d):
-    starts, ends = sessions.build_session_rows(raw(spark, d, "session_events"), SETTINGS)
-    out = sessions.crash_free_rates(ends, starts, totals=True)
+    folded = sessions.fold_sessions(raw(spark, d, "session_events")).where(F.coalesce("release", F.lit("")) != "")
+    out = sessions.session_rates(folded, totals=True)
     return out.withColumns({c: F.round(c, 6) for c in ("crash_free_sessions", "crash_free_users")})
 
 
+@query
+def crash_free_rates_by_day(spark, d):
+    """Of start and end rows delivered apart, by the UTC day of the start."""
+    events = raw(spark, d, "session_events")
+    starts, ends = sessions.build_session_rows(events, SETTINGS)
+    days = sessions.fold_sessions(events).select("session_id", "started_ms")
+    out = sessions.crash_free_rates(ends, starts.join(days, "session_id"), by=("release", "day"))
+    return out.withColumns({c: F.round(c, 6) for c in ("crash_free_sessions", "crash_free_users")}).withColumn("day", F.col("day").cast("string"))
+
+
 @query
 def reconcile_sessions(spark, d):
     _, ends = sessions.build_session_rows(raw(spark, d, "session_events"), SETTINGS)
-    errs = raw(spark, d, "session_events").where(F.col("seq") % 4 == 0).select(
-        "session_id", F.when(F.col("seq") % 3 == 0, F.lit("fatal")).otherwise(F.lit("error")).alias("level")
+    errs = raw(spark, d, "session_events").where(F.col("kind").isin("error", "crash")).select(
+        "session_id", F.when(F.col("kind") == "crash", F.lit("fatal")).otherwise(F.lit("error")).alias("level")
     )
     return sessions.reconcile_sessions(ends, errs)
 
@@ -750,4 +760,14 @@ def write_tables(spark, d):
     root = shared_folder(spark)
     stream = derive.scalars(stream_of(spark, d, "events"), "envelopes")
     sinks.write_tables(stream, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{root}/tables/http_requests").select("method", "path", "status_code", "trace_id")
+    shown = {
+        "http_requests": ("method", "trace_id"), "spans": ("trace_id", "duration_ms"), "db_queries": ("normalized_query", "duration_ms"),
+        "errors": ("exception_class", "message"), "releases": ("version", "environment"), "session_starts": ("session_id", "release"),
+        "session_ends": ("session_id", "duration_ms"), "logs": ("message", None), "rejected": ("path", "reason"),
+    }
+    out = None
+    for name, columns in shown.items():
+        values = [(F.col(c) if c else F.lit(None)).cast("string").alias(f"v{i}") for i, c in enumerate(columns)]
+        one = spark.read.parquet(f"{root}/tables/{name}").select(F.lit(name).alias("kind"), *values)
+        out = one if out is None else out.unionByName(one)
+    return out

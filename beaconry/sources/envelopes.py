@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from beaconry.functions.clock import iso_millis
 from beaconry.functions.privacy import camel
@@ -70,6 +70,21 @@ def route_envelopes(envelopes: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def rejection(path: str = "path", payload: str = "payload") -> Column:
+    """Why an envelope has no rows in any table, NULL for one that is readable.
+
+    ``path``: nobody knows it; ``payload``: no JSON object; ``rows``: a batched path without its row array.
+    """
+    known = F.coalesce(F.col(path).isin(PATHS), F.lit(False))
+    tree = F.call_function("try_parse_json", F.col(payload))
+    is_object = F.coalesce(F.call_function("schema_of_variant", tree).startswith("OBJECT"), F.lit(False))
+    rows = F.lit(True)
+    for batched, field in ROW_ARRAYS.items():
+        held = F.from_json(payload, f"{field} ARRAY<STRING>")[field].isNotNull()
+        rows = F.when(F.col(path) == batched, held).otherwise(rows)
+    return F.when(~known, "path").when(~is_object, "payload").when(~rows, "rows")
+
+
 def build_envelopes(rows: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One envelope per record, as it is queued: wire names, ISO times, NULL fields left out.
 

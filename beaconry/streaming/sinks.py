@@ -14,7 +14,7 @@ from beaconry.operators.sampling import non_persistable
 from beaconry.operators.sessions import compact_session_events
 from beaconry.schemas import TABLES
 from beaconry.settings import Settings
-from beaconry.sources.envelopes import flatten, stream_envelopes, write_envelopes
+from beaconry.sources.envelopes import flatten, rejection, stream_envelopes, write_envelopes
 
 # Fixed value: flush interval.
 FLUSH = "2 seconds"
@@ -27,18 +27,26 @@ def _trigger(writer, available_now: bool, every: str):
 def write_tables(
     envelopes: DataFrame, root: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
 ) -> StreamingQuery:
-    """Flush a stream of envelopes to one parquet table per record kind, by micro-batch and UTC day of ``ts``.
+    """Flush a stream of envelopes to one parquet table per record kind, by UTC day of ``ts`` and micro-batch.
 
-    Each micro-batch overwrites its own ``batch`` folder, so a repeated batch leaves no duplicates.
+    Envelopes without rows to write (see :func:`~beaconry.sources.envelopes.rejection`) go, as they came and with
+    the ``reason``, to the table ``rejected``. A repeated micro-batch replaces its own ``day``/``batch`` folders,
+    so it leaves no duplicates, and a filter on the day lists that day's folders only.
     """
     day = F.date_from_unix_date(F.floor(F.col("ts") / DAY_MS).cast("int"))
 
+    def save(rows: DataFrame, table: str, batch_id: int) -> None:
+        placed = rows.withColumn("day", day).withColumn("batch", F.lit(batch_id))
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "batch").parquet(f"{root}/{table}")
+
     def flush(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.DISK_ONLY)
+        batch = batch.withColumn("reason", rejection()).persist(StorageLevel.DISK_ONLY)
         try:
+            good = batch.where(F.col("reason").isNull())
             for table in TABLES:
-                rows = flatten(batch, table, ("ts",)).withColumn("day", day).drop("ts")
-                rows.write.mode("overwrite").partitionBy("day").parquet(f"{root}/{table}/batch={batch_id}")
+                save(flatten(good, table, ("ts",)), table, batch_id)
+            save(batch.where(F.col("reason").isNotNull()).select("path", "payload", "ts", "reason"), "rejected", batch_id)
         finally:
             batch.unpersist()
 

@@ -1,8 +1,8 @@
 """Stateful streams: request joins, call pairing, session folding, statement statistics.
 
 Stateless operators (context, sampling, redaction, scrubbing, projections) run on streams as they
-are. Time columns are taken from the epoch-millisecond columns; rows whose partner does not come
-within the delay are dropped by the watermark.
+are. Time columns are taken from the epoch-millisecond columns; rows whose partner does not come in
+time are the output of operators of their own.
 """
 
 from __future__ import annotations
@@ -23,27 +23,43 @@ from beaconry.operators.sessions import KIND_RANK, STATUSES
 from beaconry.settings import Settings
 
 
-def stream_http_rows(
-    ctx: DataFrame, ends: DataFrame, settings: Settings = Settings(), delay: str = "10 minutes",
-    capture_headers: bool = False, extra: Extras = (),
-) -> DataFrame:
-    """Request rows from a stream of starts (with context) and a stream of ends."""
+def _requests(ctx: DataFrame, ends: DataFrame, delay: str, within: str | None, how: str) -> DataFrame:
     left = ctx.where("sampled").withColumn("_at", F.timestamp_millis("started_ms")).withWatermark("_at", delay)
     right = (
         ends.withColumn("_end", F.timestamp_millis("ended_ms")).withColumnRenamed("request_key", "_key")
         .withWatermark("_end", delay)
     )
-    # The end may carry an earlier clock than the start; the delay bounds both directions.
-    near = F.col("_end").between(F.col("_at") - F.expr(f"INTERVAL {delay}"), F.col("_at") + F.expr(f"INTERVAL {delay}"))
-    joined = left.join(right, (F.col("request_key") == F.col("_key")) & near)
-    return request_row(joined, settings, capture_headers, extra, False)
+    # The end may carry an earlier clock than the start; the bound holds in both directions.
+    bound = F.expr(f"INTERVAL {within or delay}")
+    near = F.col("_end").between(F.col("_at") - bound, F.col("_at") + bound)
+    return left.join(right, (F.col("request_key") == F.col("_key")) & near, how)
 
 
-def stream_paired_calls(call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes") -> DataFrame:
-    """Finished calls from a stream of call events with one creation per call key.
+def stream_http_rows(
+    ctx: DataFrame, ends: DataFrame, settings: Settings = Settings(), delay: str = "10 minutes",
+    capture_headers: bool = False, extra: Extras = (), within: str | None = None,
+) -> DataFrame:
+    """Request rows from a stream of starts (with context) and a stream of ends.
 
-    Of several completions of one call the stream keeps the one that arrives first.
+    ``delay`` is how late rows may arrive, ``within`` (default: the delay) how far apart start and end may be.
+    What finds no partner comes out of :func:`stream_unfinished_requests` and :func:`stream_stray_ends`.
     """
+    return request_row(_requests(ctx, ends, delay, within, "inner"), settings, capture_headers, extra, False)
+
+
+def stream_unfinished_requests(ctx: DataFrame, ends: DataFrame, delay: str = "10 minutes", within: str | None = None) -> DataFrame:
+    """The sampled starts that no end within the bound follows, once the watermark has passed it."""
+    joined = _requests(ctx, ends, delay, within, "left")
+    return joined.where(F.col("_key").isNull()).select(*ctx.columns)
+
+
+def stream_stray_ends(ctx: DataFrame, ends: DataFrame, delay: str = "10 minutes", within: str | None = None) -> DataFrame:
+    """The ends without a sampled start within the bound, once the watermark has passed it."""
+    joined = _requests(ctx, ends, delay, within, "right")
+    return joined.where(F.col("_at").isNull()).select(F.col("_key").alias("request_key"), *[c for c in ends.columns if c != "request_key"])
+
+
+def _calls(call_events: DataFrame, ingest_host: str, delay: str, within: str | None, how: str) -> DataFrame:
     creates = exclude_ingest_host(call_target(call_context(call_events.where(F.col("kind") == "create"))), ingest_host)
     left = (
         creates.where("sampled")
@@ -58,10 +74,21 @@ def stream_paired_calls(call_events: DataFrame, ingest_host: str = "", delay: st
         .select(F.col("call_key").alias("_key"), F.col("kind").alias("_kind"), F.col("status_code").alias("_code"), F.col("at_ms").alias("ended_ms"))
         .withColumn("_end", F.timestamp_millis("ended_ms")).withWatermark("_end", delay)
     )
-    near = (F.col("_end") >= F.col("_at")) & (F.col("_end") <= F.col("_at") + F.expr(f"INTERVAL {delay}"))
+    near = (F.col("_end") >= F.col("_at")) & (F.col("_end") <= F.col("_at") + F.expr(f"INTERVAL {within or delay}"))
+    return left.join(right, (F.col("call_key") == F.col("_key")) & near, how)
+
+
+def stream_paired_calls(
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None
+) -> DataFrame:
+    """Finished calls from a stream of call events with one creation per call key.
+
+    Of several completions of one call the stream keeps the one that arrives first. ``delay`` and ``within`` as in
+    :func:`stream_http_rows`; creations without a completion come out of :func:`stream_open_calls`.
+    """
     code = F.when(F.col("_kind") == "error", 0).otherwise(F.coalesce("_code", F.lit(0)))
     return (
-        left.join(right, (F.col("call_key") == F.col("_key")) & near)
+        _calls(call_events, ingest_host, delay, within, "inner")
         .drop("_end")
         .dropDuplicatesWithinWatermark(["call_key"])
         .withColumn("status_code", code.cast("int"))
@@ -70,6 +97,14 @@ def stream_paired_calls(call_events: DataFrame, ingest_host: str = "", delay: st
     )
 
 
+def stream_open_calls(
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None
+) -> DataFrame:
+    """The creations that no completion within the bound follows, once the watermark has passed it."""
+    joined = _calls(call_events, ingest_host, delay, within, "left")
+    return joined.where(F.col("_key").isNull()).drop("_key", "_kind", "_code", "_at", "_end", "ended_ms")
+
+
 _SESSION_STATE = "start_seq BIGINT, start_ms BIGINT, release STRING, environment STRING, user_id STRING, rank INT, ended BOOLEAN"
 _SESSION_OUT = (
     "session_id STRING, release STRING, environment STRING, user_id STRING, started_ms BIGINT, ended_ms BIGINT, "

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from beaconry import schemas
 from beaconry.operators import delivery, outbound, releases, retention, sampling
 from beaconry.plans import derive
 from beaconry.settings import Settings
@@ -95,13 +96,29 @@ def test_drain(spark, tmp_path):
 
 
 def test_tables(spark, tmp_path):
-    rows = [(ERR, '{"message":"m"}', 1), ("/ingest/v1/spans", '{"spans":[{"traceId":"a"},{"traceId":"b"}]}', 2), ("/x", "{}", 3)]
+    rows = [(ERR, '{"message":"m"}', 1), ("/ingest/v1/spans", '{"spans":[{"traceId":"a"},{"traceId":"b"}]}', 2), ("/x", "{}", 3), (ERR, "{ cut", 4), ("/ingest/v1/spans", "{}", None), (ERR, None, 5), (None, "[1]", 6)]
     spark.createDataFrame(rows, "path string, payload string, ts bigint").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("path string, payload string, ts bigint").parquet(str(tmp_path / "in"))
     sinks.write_tables(stream, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
     assert {r.trace_id for r in spark.read.parquet(str(tmp_path / "out/spans")).collect()} == {"a", "b"}
     assert spark.read.parquet(str(tmp_path / "out/errors")).first().message == "m"
-    assert env.route_envelopes(spark.read.parquet(str(tmp_path / "in")))["unknown"].count() == 1
+    assert env.route_envelopes(spark.read.parquet(str(tmp_path / "in")))["unknown"].count() == 2
+    rejected = spark.read.parquet(str(tmp_path / "out/rejected")).collect()
+    assert sorted((r.reason, str(r.path)) for r in rejected) == [("path", "/x"), ("path", "None"), ("payload", ERR), ("payload", ERR), ("rows", "/ingest/v1/spans")]
+    assert spark.read.parquet(str(tmp_path / "out/errors")).count() == 1
+
+
+def test_what_finds_no_partner(spark, tmp_path):
+    hour = 3_600_000
+    call = lambda key, kind, at: (key, kind, "http://h:80", "/p", "get", 200, at, "t", "p", "r", True)
+    rows = [call("done", "create", hour), call("done", "headers", hour + 5), call("open", "create", hour), call("late", "create", hour), call("late", "headers", 3 * hour)]
+    rows += [call("end", "create", 90 * hour), call("end", "headers", 90 * hour)]
+    spark.createDataFrame(rows, schemas.raw("call_events")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schemas.raw("call_events")).parquet(str(tmp_path / "in"))
+    still = run(stateful.stream_open_calls(stream, "", "10 minutes", "1 hour"), tmp_path, "open")
+    assert {r.call_key for r in still.collect()} == {"open", "late"}
+    wide = run(stateful.stream_paired_calls(stream, "", "10 minutes", "1 day"), tmp_path, "wide")
+    assert {r.call_key for r in wide.collect()} == {"done", "late", "end"}
 
 
 def run(stream, tmp_path, name):
