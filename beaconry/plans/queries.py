@@ -557,12 +557,7 @@ def write_envelopes(spark, d):
 
 @query
 def route_envelopes(spark, d):
-    parts = env.route_envelopes(raw(spark, d, "envelopes"))
-    out = None
-    for name, part in parts.items():
-        one = part.select("envelope_id", F.lit(name).alias("route"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return env.with_route(raw(spark, d, "envelopes")).select("envelope_id", "route")
 
 
 @query

@@ -63,6 +63,11 @@ def read_spool(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("payload STRING, ts BIGINT, path STRING").json(folder)
 
 
+def with_route(envelopes: DataFrame) -> DataFrame:
+    """Add ``route``, the path of an envelope or ``unknown``: all routes in one pass, as for ``partitionBy("route")``."""
+    return envelopes.withColumn("route", F.when(F.col("path").isin(PATHS), F.col("path")).otherwise("unknown"))
+
+
 def route_envelopes(envelopes: DataFrame) -> dict[str, DataFrame]:
     """Envelopes by path, plus the ones with a path nobody knows."""
     out = {path: envelopes.where(F.col("path") == path) for path in PATHS}
