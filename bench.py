@@ -41,6 +41,10 @@ HEADLINE = {
     "build_log_rows": "events",
     "url_parts": "pages",
     "stream_compacted_sessions": "events",
+    "redact_keys_json": "events",
+    "scrub_payload_json": "events",
+    "before_send": "events",
+    "stream_http_rows": "events",
 }
 
 
