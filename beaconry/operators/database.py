@@ -67,31 +67,36 @@ def rows_affected(driver: str, row_count: str = "row_count", affected: str = "af
     return F.coalesce(first, F.lit(-1)).cast("bigint")
 
 
-def query_fingerprint_stats(db_queries: DataFrame) -> DataFrame:
-    """Calls, errors, exact duration percentiles, rows and first/last seen per statement.
+def query_fingerprint_stats(db_queries: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Calls, errors, duration percentiles, rows and first/last seen per statement.
 
-    Counts per (statement, duration) come first, so that a hot statement reaches its final task as
-    one row per distinct millisecond value. The hash is taken once per statement; the text is part
-    of the key, since the hash has only 32 bits.
+    Percentiles are exact: counts per (statement, duration) come first, so that a hot statement reaches its final
+    task as one row per distinct millisecond value. With ``accuracy`` they are durations whose rank is off by at
+    most calls / accuracy, from sketches of bounded size, in one aggregation. The hash is taken once per
+    statement; the text is part of the key, since the hash has only 32 bits.
     """
     keys = ["normalized_query", "query_type", "database_type"]
-    counted = db_queries.groupBy(*keys, "duration_ms").agg(
-        F.count(F.lit(1)).alias("n"),
+    sums = [
+        F.count(F.lit(1)).alias("calls"),
         F.count_if(F.col("status") == "error").alias("errors"),
-        F.sum(F.greatest("rows_affected", F.lit(0))).alias("rows"),
+        F.sum(F.greatest("rows_affected", F.lit(0))).alias("rows_affected"),
         F.min("timestamp_millis").alias("first_seen"),
         F.max("timestamp_millis").alias("last_seen"),
-    )
-    stats = counted.groupBy(*keys).agg(
-        F.sum("n").alias("calls"),
-        F.sum("errors").alias("errors"),
-        F.percentile("duration_ms", [0.5, 0.95], F.col("n")).alias("p"),
-        F.max("duration_ms").alias("max_ms"),
-        F.sum(F.col("duration_ms") * F.col("n")).alias("total_ms"),
-        F.sum("rows").alias("rows_affected"),
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-    )
+    ]
+    if accuracy:
+        p = F.percentile_approx("duration_ms", [0.5, 0.95], accuracy).cast("array<double>")
+        longest, total = F.max("duration_ms"), F.sum("duration_ms")
+        stats = db_queries.groupBy(*keys).agg(*sums, p.alias("p"), longest.alias("max_ms"), total.alias("total_ms"))
+    else:
+        counted = db_queries.groupBy(*keys, "duration_ms").agg(*sums)
+        stats = counted.groupBy(*keys).agg(
+            F.percentile("duration_ms", [0.5, 0.95], F.col("calls")).alias("p"),
+            F.max("duration_ms").alias("max_ms"),
+            F.sum(F.col("duration_ms") * F.col("calls")).alias("total_ms"),
+            *[F.sum(c).alias(c) for c in ("calls", "errors", "rows_affected")],
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+        )
     return stats.select(
         sqltext.text_hash(F.col("normalized_query")).alias("query_hash"), *keys, "calls", "errors",
         F.get("p", F.lit(0)).alias("p50_ms"), F.get("p", F.lit(1)).alias("p95_ms"), "max_ms", "total_ms",

@@ -10,6 +10,9 @@ from beaconry.operators.sampling import exclude_ingest_host
 from beaconry.operators.skew import WIDTH, with_next
 from beaconry.settings import Settings
 
+COMPLETIONS = ["headers", "error"]
+CALL_FIELDS = ("at_ms", "kind", "origin", "path", "method", "trace_id", "parent_span_id", "request_id", "sampled", "status_code")
+
 
 def call_context(creates: DataFrame) -> DataFrame:
     """Trace fields of call creations: the caller's, or those of a trace of their own."""
@@ -59,20 +62,27 @@ def pair_outbound_calls(
     Within a call key a completion belongs to the event right before it if that is a creation: a
     second creation takes the place of an open one, a second completion finds nothing open.
     """
-    create, done = F.col("kind") == "create", F.col("kind").isin("headers", "error")
-    # A creation that emits nothing (unsampled, own ingest host) leaves an open call open.
+    heard = heard_events(call_events, ingest_host)
+    names = list(dict.fromkeys(["call_key", *order, *CALL_FIELDS]))
+    following = F.struct(F.col("kind"), F.col("at_ms"), F.col("status_code"))
+    events = with_next(heard.select(*names), ["call_key"], list(order), following, "_after", width)
+    return finished_calls(events.where((F.col("kind") == "create") & F.col("_after.kind").isin(COMPLETIONS)))
+
+
+def heard_events(call_events: DataFrame, ingest_host: str) -> DataFrame:
+    """Completions, and the creations that emit something; an unsampled or own-host creation leaves an open call open."""
+    create, done = F.col("kind") == "create", F.col("kind").isin(COMPLETIONS)
     heard = call_events.where(done | (create & F.coalesce("sampled", F.lit(True))))
     if ingest_host:
         heard = exclude_ingest_host(heard.withColumn("host", url.parse_origin(F.col("origin"))["host"]), ingest_host).drop("host")
-    ids = ["trace_id", "parent_span_id", "request_id", "sampled"]
-    names = list(dict.fromkeys(["call_key", *order, "at_ms", "kind", "origin", "path", "method", *ids, "status_code"]))
-    following = F.struct(F.col("kind"), F.col("at_ms"), F.col("status_code"))
-    events = with_next(heard.select(*names), ["call_key"], list(order), following, "_after", width)
-    ended = events.where(create & F.col("_after.kind").isin("headers", "error"))
-    calls = call_target(call_context(ended))
+    return heard
+
+
+def finished_calls(creates: DataFrame) -> DataFrame:
+    """Finished calls of creations with the struct ``_after``: kind, at_ms and status_code of their completion."""
     failed = F.col("_after.kind") == "error"
     code = F.when(failed, 0).otherwise(F.coalesce("_after.status_code", F.lit(0)))
-    return calls.select(
+    return call_target(call_context(creates)).select(
         "call_key", F.col("at_ms").alias("started_ms"), "trace_id", "parent_span_id", "request_id", "span_id",
         "method", "host", "port", "path", F.col("_after.at_ms").alias("ended_ms"), code.cast("int").alias("status_code"),
         F.when(failed | (code >= 500), F.lit("error")).otherwise(F.lit("ok")).alias("status"),

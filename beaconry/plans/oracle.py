@@ -188,6 +188,9 @@ STATEMENTS["query_fingerprint_stats"] = f"""WITH {DBROWS}, g AS (SELECT normaliz
   round(quantile_cont(duration_ms, 0.5), 4) AS p50_ms, round(quantile_cont(duration_ms, 0.95), 4) AS p95_ms, max(duration_ms) AS max_ms, sum(duration_ms)::BIGINT AS total_ms,
   sum(greatest(rows_affected, 0))::BIGINT AS rows_affected, min(timestamp_millis) AS first_seen, max(timestamp_millis) AS last_seen FROM db GROUP BY 1, 2, 3)
   SELECT {hashed('normalized_query')} AS query_hash, * FROM g"""
+STATEMENTS["rows_affected"] = """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 <> 0 THEN o_custkey % 2 END AS row_count,
+    CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 3 END AS affected, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 5 END AS length FROM orders)
+  SELECT o_orderkey, coalesce(row_count, -1)::BIGINT AS postgresql, coalesce(affected, length, -1)::BIGINT AS mysql, coalesce(affected, length, -1)::BIGINT AS sqlite FROM c"""
 STATEMENTS["stream_fingerprint_stats"] = f"""WITH {DBROWS}, g AS (SELECT (timestamp_millis // 604800000) * 604800000 AS window_ms, normalized_query, query_type, database_type,
   count(*) AS calls, count(*) FILTER (status = 'error') AS errors, max(duration_ms) AS max_ms, sum(duration_ms)::BIGINT AS total_ms FROM db GROUP BY 1, 2, 3, 4)
   SELECT window_ms, {hashed('normalized_query')} AS query_hash, database_type, calls, errors, max_ms, total_ms FROM g"""
@@ -263,6 +266,8 @@ STATEMENTS["build_client_spans"] = f"""WITH {CALLS} SELECT trace_id, span_id, pa
   'component=undici;http.host=' || host || ';method=' || method || ';statusCode=' || status_code AS tags, '{{"host":"' || host || '","port":"' || port || '","path":"' || path || '"}}' AS data FROM paired"""
 STATEMENTS["stream_paired_calls"] = f"""WITH {_CALLS.replace("CL,", cte("single_calls", "cl") + ",", 1)}
   SELECT call_key, status_code, status, host, port, path, method, trace_id, request_id, started_ms, ended_ms FROM paired"""
+STATEMENTS["stream_reused_calls"] = f"""WITH {CALLS} SELECT * FROM paired
+  WHERE ended_ms - started_ms <= 3600000 AND ended_ms < (SELECT max(at_ms) FROM heard) - 3600000"""
 STATEMENTS["propagated_headers"] = f"""WITH {cte('call_lines', 'cl')}, c AS (SELECT *, md5('call:' || call_key || ':' || at_ms) AS g, seq % 20 = 0 AS carried FROM cl),
   x AS (SELECT *, coalesce(trace_id, g) AS t, CASE WHEN trace_id IS NULL THEN g ELSE request_id END AS r, substr(g, 1, 16) AS s FROM c)
   SELECT call_key, seq, at_ms, CASE WHEN NOT carried THEN '00-' || t || '-' || s || CASE WHEN coalesce(sampled, true) THEN '-01' ELSE '-00' END END AS add_traceparent,
@@ -278,6 +283,10 @@ ERRORS = f"""{CTX}, {_err},
 _id = f"'{S.environment}' AS environment, '{S.release}' AS release, '{S.sdk_name}' AS sdk_name, '{S.sdk_version}' AS sdk_version, '{S.platform}' AS platform"
 STATEMENTS["build_error_rows"] = f"""WITH {ERRORS} SELECT request_key, exception_class, message, stack_trace, 'error' AS level, {_id}, trace_id, span_id, parent_span_id, request_id,
   'httpMethod=' || method || ';httpPath=' || path || ';{SDK};service={S.service}' AS metadata FROM errs"""
+STATEMENTS["build_error_rows_in_sessions"] = f"""WITH {ERRORS} SELECT request_key, seq, exception_class, trace_id,
+  CASE WHEN request_key::BIGINT % 3 <> 0 THEN 's-' || request_key END AS session_id FROM errs"""
+STATEMENTS["stamp_breadcrumbs"] = f"""WITH {cte('session_events', 'se')} SELECT seq, CASE WHEN seq % 3 = 0 THEN '2020-01-01T00:00:00.000Z'
+  ELSE strftime(make_timestamp(at_ms * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' END AS timestamp FROM se"""
 STATEMENTS["build_message_rows"] = f"""SELECT conv_id || '-' || turn AS scope_key, 'Message' AS exception_class, md5(text) AS message, 0 AS stack_trace, CASE WHEN role = 'user' THEN 'warning' ELSE 'info' END AS level, {_id},
   '{SDK};service={S.service}' AS metadata FROM conversations"""
 STATEMENTS["build_manual_rows"] = f"""WITH {_err} SELECT request_key AS scope_key, coalesce(error_name, 'Error') AS exception_class, error_message AS message, CASE WHEN error_stack IS NULL THEN 0 ELSE 2 END AS stack_trace,

@@ -122,6 +122,15 @@ def query_fingerprint_stats(spark, d):
     )
 
 
+@query
+def rows_affected(spark, d):
+    """The row counts that three driver families report for the same statement."""
+    o = table(spark, d, "orders")
+    some = lambda m: F.when(F.col("o_orderkey") % m != 0, F.col("o_custkey") % m)
+    counted = o.select("o_orderkey", some(2).alias("row_count"), some(3).alias("affected"), some(5).alias("length"))
+    return counted.select("o_orderkey", *[database.rows_affected(x).alias(x) for x in ("postgresql", "mysql", "sqlite")])
+
+
 # --- privacy --------------------------------------------------------------------------------------
 
 
@@ -343,6 +352,14 @@ def build_error_rows(spark, d):
     return error_rows(spark, d).withColumns({"metadata": kv("metadata"), "stack_trace": F.array_join("stack_trace", "|")}).drop("session_id", "seq")
 
 
+@query
+def build_error_rows_in_sessions(spark, d):
+    """Error rows with the session of their request, where it has one."""
+    known = raw(spark, d, "request_starts").where("CAST(request_key AS BIGINT) % 3 <> 0").select("request_key", F.concat(F.lit("s-"), "request_key").alias("session_id"))
+    rows = errors.build_error_rows(context(spark, d), raw(spark, d, "request_errors"), SETTINGS, known)
+    return rows.select("request_key", "seq", "exception_class", "trace_id", "session_id")
+
+
 @query
 def build_message_rows(spark, d):
     said = table(spark, d, "conversations").select(
@@ -428,6 +445,14 @@ def attach_breadcrumbs(spark, d):
     return out.select("error_id", F.size("breadcrumbs").alias("n"), F.md5(F.array_join(F.transform("breadcrumbs", lambda c: c["message"]), ",")).alias("crumbs_md5"))
 
 
+@query
+def stamp_breadcrumbs(spark, d):
+    """Every third crumb was recorded with a time of its own."""
+    e = derive.scalars(table(spark, d, "events"), "session_events")
+    crumbs = e.select("seq", "at_ms", F.when(F.col("seq") % 3 == 0, F.lit("2020-01-01T00:00:00.000Z")).alias("timestamp"))
+    return errors.stamp_breadcrumbs(crumbs).select("seq", "timestamp")
+
+
 @query
 def request_breadcrumbs(spark, d):
     return errors.request_breadcrumbs(context(spark, d)).withColumn("data", kv("data"))
@@ -721,6 +746,13 @@ def stream_paired_calls(spark, d):
     return out.select("call_key", "status_code", "status", "host", "port", "path", "method", "trace_id", "request_id", "started_ms", "ended_ms")
 
 
+@query
+def stream_reused_calls(spark, d):
+    """The calls that the watermark, an hour behind the newest event, has passed."""
+    events = derive.nested(derive.scalars(stream_of(spark, d, "lineitem"), "call_lines"), "call_lines")
+    return run_stream(stateful.stream_reused_calls(events, INGEST_HOST, "1 hour", 3_600_000))
+
+
 @query
 def stream_sessions(spark, d):
     events = derive.scalars(stream_of(spark, d, "events"), "session_events")

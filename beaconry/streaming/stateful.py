@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from beaconry.functions import sqltext
 from beaconry.functions.privacy import Extras
-from beaconry.operators.outbound import call_context, call_target
+from beaconry.operators.outbound import CALL_FIELDS, COMPLETIONS, call_context, call_target, finished_calls, heard_events
 from beaconry.operators.requests import request_row
 from beaconry.operators.sampling import exclude_ingest_host
 from beaconry.operators.sessions import KIND_RANK, STATUSES
@@ -105,6 +105,78 @@ def stream_open_calls(
     return joined.where(F.col("_key").isNull()).drop("_key", "_kind", "_code", "_at", "_end", "ended_ms")
 
 
+_CALL_KINDS = {"at_ms": "BIGINT", "sampled": "BOOLEAN", "status_code": "INT"}
+_CALL_TYPES = [_CALL_KINDS.get(c, "STRING") for c in CALL_FIELDS]
+_CALL_ROW = ", ".join(f"{c} {t}" for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True))
+_CALL_STATE = f"waiting ARRAY<STRUCT<rank: ARRAY<BIGINT>, {_CALL_ROW.replace(' ', ': ').replace(',:', ',')}>>"
+_CALL_OUT = f"call_key STRING, {_CALL_ROW}, after_kind STRING, after_at BIGINT, after_code INT"
+_PANDAS = {"BIGINT": "Int64", "INT": "Int32", "BOOLEAN": "boolean", "STRING": "object"}
+_AT, _KIND, _CODE = (1 + CALL_FIELDS.index(c) for c in ("at_ms", "kind", "status_code"))
+
+
+def _call_events(batch: pd.DataFrame) -> Iterator[tuple]:
+    """(rank, fields of the call event) as plain Python values."""
+    columns = [[[int(x) for x in rank] for rank in batch["rank"]]]
+    for name, kind in zip(CALL_FIELDS, _CALL_TYPES, strict=True):
+        plain = {"STRING": str, "BOOLEAN": bool}.get(kind, int)
+        columns.append([None if pd.isna(v) else plain(v) for v in batch[name]])
+    return zip(*columns, strict=True)
+
+
+def _pair_calls(within_ms: int):
+    """Pair the events of one call key that the watermark has passed.
+
+    The state holds the events not passed yet, and the last passed one while it is a creation that may still be ended.
+    """
+
+    def pair(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting = [tuple(e) for e in state.get[0]] if state.exists else []
+        for batch in batches:
+            waiting += _call_events(batch)
+        waiting.sort(key=lambda e: (e[_AT], e[0]))
+        mark = state.getCurrentWatermarkMs()
+        passed = [e for e in waiting if e[_AT] < mark]
+        rest = waiting[len(passed) :]
+        calls = [
+            (key[0], *a[1:], b[_KIND], b[_AT], b[_CODE])
+            for a, b in zip(passed, passed[1:])
+            if a[_KIND] == "create" and b[_KIND] in COMPLETIONS and b[_AT] - a[_AT] <= within_ms
+        ]
+        still = [e for e in passed[-1:] if e[_KIND] == "create" and e[_AT] + within_ms >= mark]
+        if still or rest:
+            state.update((still + rest,))
+            state.setTimeoutTimestamp(max(mark + 1, rest[0][_AT] if rest else still[0][_AT] + within_ms))
+        elif state.exists:
+            state.remove()
+        if calls:
+            kinds = ["STRING", *_CALL_TYPES, "STRING", "BIGINT", "INT"]
+            names = ["call_key", *CALL_FIELDS, "after_kind", "after_at", "after_code"]
+            yield pd.DataFrame({n: pd.Series(v, dtype=_PANDAS[t]) for n, v, t in zip(names, zip(*calls, strict=True), kinds, strict=True)})
+
+    return pair
+
+
+def stream_reused_calls(
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within_ms: int = 600_000, order: tuple[str, ...] = ("at_ms", "seq")
+) -> DataFrame:
+    """Finished calls from a stream whose call keys may come again, paired as the batch form pairs them.
+
+    Events wait until the watermark passes them (``delay`` is how late they may arrive) and are then taken in
+    event order, so the arrival order does not show. ``within_ms`` is how long a call may take; a completion
+    later than that ends nothing. ``order`` columns beside ``at_ms`` are whole numbers. The state of a key is what
+    arrived within the delay. :func:`stream_paired_calls` needs no Python where a key is created once.
+    """
+    rank = F.array(*[F.col(c).cast("bigint") for c in order if c != "at_ms"]).cast("array<bigint>")
+    heard = heard_events(call_events, ingest_host).where(F.col("at_ms").isNotNull())
+    events = heard.select("call_key", rank.alias("rank"), *[F.col(c).cast(t) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True)])
+    timed = events.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", delay)
+    calls = timed.groupBy("call_key").applyInPandasWithState(
+        _pair_calls(within_ms), _CALL_OUT, _CALL_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    after = F.struct(F.col("after_kind").alias("kind"), F.col("after_at").alias("at_ms"), F.col("after_code").alias("status_code"))
+    return finished_calls(calls.withColumn("_after", after))
+
+
 _SESSION_STATE = "start_seq BIGINT, start_ms BIGINT, release STRING, environment STRING, user_id STRING, rank INT, ended BOOLEAN"
 _SESSION_OUT = (
     "session_id STRING, release STRING, environment STRING, user_id STRING, started_ms BIGINT, ended_ms BIGINT, "

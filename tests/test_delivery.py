@@ -147,6 +147,27 @@ def test_streams_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, releases.register_releases(regs).collect()))
 
 
+def test_reused_calls(spark, tmp_path):
+    """Arrival in any order and over several micro-batches; what the watermark has passed is what the batch form says."""
+    hour = 3_600_000
+    call = lambda key, kind, at, code=None, sampled=None: (key, kind, "http://h:80", "/p", "get", code, at, None, None, None, sampled, at)
+    rows = [
+        call("a", "create", hour), call("a", "headers", hour + 5, 200), call("a", "create", hour + 9), call("a", "error", hour + 11), call("a", "headers", hour + 12, 503),
+        call("b", "create", hour), call("b", "create", hour + 3), call("b", "headers", hour + 4, 404), call("b", "create", hour + 6, None, False), call("b", "headers", hour + 7),
+        call("c", "create", hour), call("c", "headers", 9 * hour), call("d", "headers", hour), call(None, "create", hour), call(None, "headers", hour + 1, 200),
+        call("e", "create", 2 * hour), call("e", "headers", 2 * hour + 1),
+    ]
+    schema = f"{schemas.raw('call_events').simpleString()[7:-1]}, seq bigint".replace(":", " ")
+    spark.createDataFrame(rows[::-2], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame(rows[-2::-2], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.createDataFrame([call("z", "create", 99 * hour)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = run(stateful.stream_reused_calls(stream, "", "10 hours", hour), tmp_path, "reused")
+    want = outbound.pair_outbound_calls(spark.createDataFrame(rows, schema)).where(f"ended_ms - started_ms <= {hour}")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 5
+
+
 def test_propagation(spark):
     df = spark.createDataFrame([("t", "s", "r", True, {"TRACEPARENT": "x"}), ("t", "s", "r", False, None)], "trace_id string, span_id string, request_id string, sampled boolean, headers map<string,string>")
     got = outbound.propagated_headers(df, settings=Settings(vendor="acme")).collect()

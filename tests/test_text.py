@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconry.functions import clock, sqltext, text, url
-from beaconry.operators.database import build_db_rows, fingerprint_sql, rows_affected
+from beaconry.operators.database import build_db_rows, fingerprint_sql, query_fingerprint_stats, rows_affected
+from beaconry.operators.routes import route_stats
 from beaconry.schemas import raw
 
 CASES = [
@@ -111,3 +112,18 @@ def test_rows_affected(spark):
     df = spark.createDataFrame([(5, 6, 7), (None, None, 7), (None, None, None)], "row_count int, affected int, length int")
     got = df.select(*[rows_affected(d).alias(d) for d in ("postgresql", "mysql", "sqlite")]).collect()
     assert [tuple(r) for r in got] == [(5, 6, 6), (-1, 7, 7), (-1, -1, -1)]
+
+
+def test_approximate_percentiles(spark):
+    """Ranks are within n / accuracy; every other column is that of the exact form."""
+    took = [(i * 7919) % 1000 + 1 for i in range(1000)]
+    rows = [("q", "SELECT", "pg", ms, "error" if ms % 10 == 0 else "ok", 1, ms) for ms in took]
+    db = spark.createDataFrame(rows, "normalized_query string, query_type string, database_type string, duration_ms bigint, status string, rows_affected bigint, timestamp_millis bigint")
+    exact, near = query_fingerprint_stats(db).first().asDict(), query_fingerprint_stats(db, 100).first().asDict()
+    assert abs(near.pop("p50_ms") - 500) <= 10 and abs(near.pop("p95_ms") - 950) <= 10
+    assert (exact.pop("p50_ms"), exact.pop("p95_ms")) == (500.5, 950.05) and near == exact
+    http = spark.createDataFrame([("s", "GET", "/a/1", ms, 500 if ms > 900 else 200) for ms in took], "service string, method string, path string, duration_ms bigint, status_code int")
+    exact, near = route_stats(http, True).first().asDict(), route_stats(http, True, 100).first().asDict()
+    for name, rank in (("p50_ms", 500), ("p95_ms", 950), ("p99_ms", 990)):
+        assert abs(near.pop(name) - rank) <= 10 and abs(exact.pop(name) - rank) <= 1
+    assert near == exact and near["errors"] == 100
