@@ -73,8 +73,8 @@ def set_keys(sets: list[np.ndarray], texts: list[str | None]) -> np.ndarray:
 
 
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """doc, k1, k2 (the set's key), n (its size), tokens (sampled, null for an empty set) of each (doc, text)."""
-    schema = pa.schema([("doc", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+    """row, doc, k1, k2 (the set's key), n (its size), tokens (sampled, null for an empty set) of each (row, doc, text)."""
+    schema = pa.schema([("row", pa.int64()), ("doc", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
 
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -83,10 +83,10 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
             keys = set_keys(sets, texts)
             tokens = iter(sampled([s for s in sets if len(s)]))
             blobs = [next(tokens).tobytes() if len(s) else None for s in sets]
-            columns = [batch.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()), pa.array(blobs, pa.binary())]
+            columns = [batch.column("row"), batch.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.mapInArrow(described, "doc long, k1 long, k2 long, n long, tokens binary")
+    return docs.mapInArrow(described, "row long, doc long, k1 long, k2 long, n long, tokens binary")
 
 
 def _token(at: Column) -> Column:
@@ -333,6 +333,35 @@ def groups(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("x", "rep")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` and ``_row``: a number that is written with its row, unique and the same at every reading."""
+    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _keyed(numbered: DataFrame) -> DataFrame:
+    """(row, doc, text) of numbered rows; a null doc_id counts as -2^63."""
+    return numbered.select(F.col("_row").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), "text")
+
+
+def _linked_sets(docs: DataFrame, plan: ChosenPath) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The sets of (row, doc, text): ``known`` per row, ``reps`` per different set with the smallest (set_id, set_row) of
+    its rows, ``links`` per set and task, and the ``labels`` of the sets that have links."""
+    known = materialise(describe(docs, plan.words), "sets")
+    reps = known.groupBy("k1", "k2").agg(F.min(F.struct("doc", "row")).alias("own"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    reps = reps.select("k1", "k2", F.col("own.doc").alias("set_id"), F.col("own.row").alias("set_row"), "copies", "n", "tokens")
+    # Numbers that are written with their rows: unique, and the same at every reading.
+    reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
+    worded = reps.where("n > 0")
+    members = buckets(worded.select("rep", "tokens"), plan)
+    lists = members.groupBy("rep").agg(F.collect_list("bucket").alias("lists"))  # at most runs * branches^depth
+    joined = materialise(worded.select("rep", "tokens", "n", "copies").join(lists, "rep"), "bucket-lists")
+    tasks = materialise(_candidates(members, joined, plan), "candidates")
+    wanted = tasks.select("rep").distinct().join(reps.select("rep", "set_id", "k1", "k2"), "rep")
+    full = tasks.join(joined, "rep").join(_shingles(docs, wanted, plan.words), "rep")
+    links = materialise(_links(full, plan), "links")
+    return known, reps, links, groups(links.select("rep", "to").distinct())
+
+
 def similar_documents(docs: DataFrame, plan: ChosenPath = ChosenPath()) -> DataFrame:
     """Which documents have word-shingle sets of a Jaccard similarity of at least ``plan.threshold``?
 
@@ -346,20 +375,7 @@ def similar_documents(docs: DataFrame, plan: ChosenPath = ChosenPath()) -> DataF
     to equal texts. A null text is empty. A null doc_id counts as -2^63 and returns as null; rows of equal doc_id
     count as documents each, and share a class when one is their set's id. Extra columns are ignored; no rows give no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), "text")
-    known = materialise(describe(docs.select("doc", "text"), plan.words), "sets")
-    reps = known.groupBy("k1", "k2").agg(F.min("doc").alias("set_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    # Numbers that are written with their rows: unique, and the same at every reading.
-    reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
-    worded = reps.where("n > 0")
-    members = buckets(worded.select("rep", "tokens"), plan)
-    lists = members.groupBy("rep").agg(F.collect_list("bucket").alias("lists"))  # at most runs * branches^depth
-    joined = materialise(worded.select("rep", "tokens", "n", "copies").join(lists, "rep"), "bucket-lists")
-    tasks = materialise(_candidates(members, joined, plan), "candidates")
-    wanted = tasks.select("rep").distinct().join(reps.select("rep", "set_id", "k1", "k2"), "rep")
-    full = tasks.join(joined, "rep").join(_shingles(docs, wanted, plan.words), "rep")
-    links = materialise(_links(full, plan), "links")
-    labels = groups(links.select("rep", "to").distinct())
+    known, reps, links, labels = _linked_sets(_keyed(_numbered(docs.select("doc_id", "text"))), plan)
     ends = reps.select("rep", "set_id").join(labels, "rep").groupBy("label").agg(F.min("set_id").alias("class_id"))
     classes = labels.join(ends, "label").select("rep", "class_id")
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("copies").alias("linked"))
@@ -371,11 +387,13 @@ def similar_documents(docs: DataFrame, plan: ChosenPath = ChosenPath()) -> DataF
 
 
 def keep_one_each(docs: DataFrame, plan: ChosenPath = ChosenPath()) -> DataFrame:
-    """The columns of ``docs``, of each class of similar documents only the rows of the smallest doc_id.
+    """The columns of ``docs``, of each connected group of similar rows only one row: that of the smallest doc_id.
 
-    Rows that repeat that doc_id stay with it. A null doc_id is the smallest.
+    Rows are told apart by a number of their own, so of rows that repeat an id each goes by its text, and of rows that
+    repeat id and text one stays. A null doc_id is the smallest.
     """
-    null = F.lit(-(1 << 63))
-    found = similar_documents(docs, plan)
-    gone = found.select(F.coalesce("doc_id", null).alias("_gone"), "class_id").where("_gone <> class_id").select("_gone").distinct()
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), null) == F.col("_gone"), "left_anti")
+    numbered = _numbered(docs)
+    _, reps, _, labels = _linked_sets(_keyed(numbered), plan)
+    classes = reps.select("rep", "set_id", "set_row").join(labels, "rep", "left")
+    kept = classes.groupBy(F.coalesce("label", "rep")).agg(F.min(F.struct("set_id", "set_row")).alias("least"))
+    return numbered.join(kept.select(F.col("least.set_row").alias("_row")), "_row", "left_semi").select(docs.columns)

@@ -133,6 +133,17 @@ def test_set_join_odd_rows(spark):
     assert setjoin.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    words = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    other, third = "quite another text of some words here", "the third text resembles nothing else at all"
+    rows = [(3, words), (4, words), (4, other), (None, third), (None, third), (None, third), (None, words + " one"), (9, third), (5, ""), (5, ""), (5, None), (6, "one two"), (6, "one two")]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, row int").repartition(3)
+    kept = setjoin.keep_one_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(None, words + " one"), (4, other), (None, third), (5, ""), (6, "one two")], key=str)
+
+
 def test_chance_and_runs():
     plan = setjoin.ChosenPath()
     assert plan.runs >= 3 and setjoin.ChosenPath(recall=0.999999).runs > plan.runs and plan.least_shared < 0.8 * setjoin.SAMPLES
