@@ -78,7 +78,7 @@ class WordEncoder:
     Words can be encoded apart where the pre-tokenizer always splits before a space, or drops white space
     (``dropped_space``). An unknown word is cut by the pre-tokenizer's pattern, and the library's model encodes each
     piece. A text in which white space meets a space, or that holds a character which Python and the library class
-    differently as white space, goes through the library as a whole.
+    differently as white space or the sign of a first word, goes through the library as a whole.
     """
 
     def __init__(self, path: str, dropped_space: bool):
@@ -88,7 +88,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model, self.normalizer, self.letters = self.tokenizer.model, self.tokenizer.normalizer, byte_letters()
         self.dropped_space = dropped_space
-        self.odd = re.compile(r"[\x1c-\x1f]" if dropped_space else r"[\x1c-\x1f]|\s ").search
+        self.odd = re.compile(r"[\x1c-\x1f]" if dropped_space else r"[\0\x1c-\x1f]|\s ").search
         with open(path) as file:
             steps = json.load(file)["pre_tokenizer"]
         own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]

@@ -165,6 +165,17 @@ def test_words_apart_encode_as_the_whole(name, dropped):
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+@pytest.mark.parametrize("name, dropped", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_a_nul_starts_no_text(name, dropped):
+    encoder = WordEncoder(public_tokenizers.path(name), dropped)
+    rng = random.Random(4)
+    marks = ["a", "Bc", " ", "  ", "\n", "'s", "12", ".", "é", "\0", " \0", "\0\0", "!?"]
+    texts = ["a \0b", "\0b", " \0", "a\0 b", *("".join(rng.choices(marks, k=rng.randint(1, 20))) for _ in range(1_000))]
+    assert encoder.encode(texts) == encoder.whole(texts)
+    if not dropped:
+        assert np.frombuffer(encoder.encode(["a \0b"])[0], "<u4").tolist() == [64, 220, 188, 65]
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = WordEncoder(path, False)
