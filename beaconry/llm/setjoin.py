@@ -297,20 +297,15 @@ def _links(tasks: DataFrame, plan: ChosenPath) -> DataFrame:
 
 
 def _shingles(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(rep, shingles) of the wanted sets (rep, set_id, k1, k2), from the text of one of their documents."""
+    """(rep, shingles) of the wanted sets (rep, set_row), each from the text of the one row that its number names."""
     schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            texts = batch.column("text").to_pylist()
-            sets = shingle_sets(texts, words)
-            # Rows of one doc_id may have several texts; only that of the set counts.
-            keys = np.column_stack([batch.column("k1").to_numpy(), batch.column("k2").to_numpy()])
-            right = (set_keys(sets, texts) == keys).all(axis=1)
-            blobs = pa.array([s.tobytes() for s, ok in zip(sets, right, strict=True) if ok], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(right)), blobs], schema=schema)
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
-    chosen = docs.join(wanted, F.col("doc") == F.col("set_id")).select("rep", "k1", "k2", "text")
+    chosen = docs.join(wanted, F.col("row") == F.col("set_row")).select("rep", "text")
     return chosen.mapInArrow(made, "rep long, shingles binary")
 
 
@@ -356,7 +351,7 @@ def _linked_sets(docs: DataFrame, plan: ChosenPath) -> tuple[DataFrame, DataFram
     lists = members.groupBy("rep").agg(F.collect_list("bucket").alias("lists"))  # at most runs * branches^depth
     joined = materialise(worded.select("rep", "tokens", "n", "copies").join(lists, "rep"), "bucket-lists")
     tasks = materialise(_candidates(members, joined, plan), "candidates")
-    wanted = tasks.select("rep").distinct().join(reps.select("rep", "set_id", "k1", "k2"), "rep")
+    wanted = tasks.select("rep").distinct().join(reps.select("rep", "set_row"), "rep")
     full = tasks.join(joined, "rep").join(_shingles(docs, wanted, plan.words), "rep")
     links = materialise(_links(full, plan), "links")
     return known, reps, links, groups(links.select("rep", "to").distinct())

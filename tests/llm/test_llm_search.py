@@ -144,6 +144,22 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(got, key=str) == sorted([(None, words + " one"), (4, other), (None, third), (5, ""), (6, "one two")], key=str)
 
 
+def test_each_wanted_set_meets_one_text(spark, monkeypatch):
+    rng = random.Random(8)
+    near = [" ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame([(None, t + end) for t in near for end in ("", " tail")] + [(1, near[0])] * 20, "doc_id long, text string")
+    met, into = [], type(docs).mapInArrow
+
+    def counted(self, function, schema, *args, **named):
+        if schema == "rep long, shingles binary":
+            met.append(self.count())
+        return into(self, function, schema, *args, **named)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    got = setjoin.similar_documents(docs).collect()
+    assert met == [80] and sum(r.n_links for r in got) == 2 * (40 + 20 + 20) + 20 * 19
+
+
 def test_chance_and_runs():
     plan = setjoin.ChosenPath()
     assert plan.runs >= 3 and setjoin.ChosenPath(recall=0.999999).runs > plan.runs and plan.least_shared < 0.8 * setjoin.SAMPLES
