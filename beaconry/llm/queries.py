@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beaconry.llm import ann, fingerprint, linededup, packing, pieces, quality, setjoin, sharding, tokenfile, warc
+from beaconry.llm import ann, conversations, fingerprint, linededup, packing, pieces, quality, setjoin, sharding, tokenfile, warc
 
 # Bytes of text that one shard may hold.
 SHARD_BYTES = 16 << 20
@@ -77,6 +77,10 @@ def op10_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.similar_documents(_table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.damaged_and_repaired(_table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_quality, op2_warc, op3_line_dedup, op4_token_files, op5_vantage_trees, op6_fingerprints,
-        op7_extendible_shards, op8_sentencepiece, op9_harmonic_packing, op10_chosen_path_join, pipeline,
+        op7_extendible_shards, op8_sentencepiece, op9_harmonic_packing, op10_chosen_path_join,
+        op11_conversation_repair, pipeline,
     )
 }
 
@@ -136,4 +141,69 @@ FROM (
 )
 """
 
-ORACLE: dict[str, str] = {"op2_warc": _WARC, "op3_line_dedup": _LINE_DEDUP, "op7_extendible_shards": _SHARDS}
+
+def _crc32(key: str) -> str:
+    """Unsigned crc32 of a text, bit by bit."""
+    byte = f"CASE WHEN i % 8 = 0 THEN ('0x' || substr(hex(encode({key})), (i // 4 + 1)::BIGINT, 2))::BIGINT ELSE 0 END"
+    step = f"xor(xor(c, {byte}) >> 1, 3988292384 * (xor(c, {byte}) & 1))"
+    return f"xor(list_reduce(generate_series(0::BIGINT, 8 * strlen({key}) - 1), lambda c, i: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_CONVERSATIONS = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), marked AS (SELECT *, {_crc32("k")} % 20 AS fault FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM marked WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, trim(text, {_SPACE}) AS bare FROM damaged
+), judged AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+), faults AS (
+  SELECT *, NOT blank AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated FROM judged
+), inserts(s, w, c, t, said) AS (VALUES
+  (0, '', 0, 0, []), (0, 'I', 5, 2, ['user:']), (0, 'II', 10, 3, ['user:', 'assistant:']), (1, '', 0, 1, []), (1, 'I', 5, 2, ['user:']),
+  (1, 'II', 10, 3, ['user:', 'assistant:']), (2, '', 0, 2, []), (2, 'I', 5, 3, ['assistant:']), (3, '', 0, 3, []), (3, 'I', 5, 2, ['user:'])
+), keeps(s, initial, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+renames(s, t, named) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+ways AS (
+  SELECT conv_id, i, s.s, s.t, s.c + 2 AS c, s.w || 'D' AS w, s.said FROM faults, inserts s
+  UNION ALL SELECT conv_id, i, s.s, k.t, s.c + 5 * truncated::INTEGER, s.w || 'K', list_append(s.said, role || ':' || text)
+    FROM faults f, inserts s JOIN keeps k ON k.s = s.t WHERE NOT blank AND NOT duplicate AND k.initial = f.initial
+  UNION ALL SELECT conv_id, i, s.s, r.t, s.c + 1 + 5 * truncated::INTEGER, s.w || 'R', list_append(s.said, named || ':' || text)
+    FROM faults, inserts s JOIN renames r ON r.s = s.t WHERE NOT blank AND NOT duplicate
+), best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said FROM faults
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, said FROM (
+    SELECT b.conv_id, w.i, w.t AS state, b.cost + w.c AS cost, b.audit || w.w AS audit, list_concat(b.said, w.said) AS said,
+      row_number() OVER (PARTITION BY b.conv_id, w.t ORDER BY b.cost + w.c, b.audit || w.w) AS nth
+    FROM best b JOIN ways w ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND w.i = b.i + 1 AND w.s = b.state
+  ) WHERE nth = 1
+), sizes AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), closings(state, c, w, said) AS (VALUES (0, 0, '', []), (1, 10, 'II', ['user:', 'assistant:']), (2, 5, 'I', ['assistant:']), (3, 0, '', [])),
+done AS (
+  SELECT b.conv_id, b.cost + c.c AS cost, b.audit || c.w AS audit, list_concat(b.said, c.said) AS said, z.* EXCLUDE (conv_id),
+    row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + c.c, b.audit || c.w) AS nth
+  FROM best b JOIN sizes z ON z.conv_id IS NOT DISTINCT FROM b.conv_id AND z.n = b.i JOIN closings c USING (state)
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN (SELECT * FROM done WHERE nth = 1) d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_warc": _WARC, "op3_line_dedup": _LINE_DEDUP, "op7_extendible_shards": _SHARDS,
+    "op11_conversation_repair": _CONVERSATIONS,
+}

@@ -16,13 +16,13 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "embeddings"):
+    for t in ("documents", "pages", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     return con
 
 
 def test_all_are_registered():
-    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) and len(QUERIES) == 11
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) and len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
