@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from beaconry.llm import ann, conversations, fingerprint, linededup, packing, pieces, quality, setjoin, sharding, tokenfile, warc
+from beaconry.llm import ann, conversations, fingerprint, langid, linededup, packing, pieces, quality, setjoin, sharding, spelling, tokenfile, warc
+from beaconry.llm.store import materialise
 
 # Bytes of text that one shard may hold.
 SHARD_BYTES = 16 << 20
@@ -81,6 +82,18 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.damaged_and_repaired(_table(spark, folder, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.vocabulary(_table(spark, folder, "documents"), misspell=True)
+    return spelling.variants(materialise(words, "spelling-words"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    read = langid.predict(docs.select("doc_id", "text"), model)
+    return read.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_quality, op2_warc, op3_line_dedup, op4_token_files, op5_vantage_trees, op6_fingerprints,
         op7_extendible_shards, op8_sentencepiece, op9_harmonic_packing, op10_chosen_path_join,
-        op11_conversation_repair, pipeline,
+        op11_conversation_repair, op12_spelling_variants, op13_language_id, pipeline,
     )
 }
 
@@ -203,7 +216,36 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN (SELECT * FROM done WHERE nth = 1) d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+_SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS run
+  FROM documents
+), counted AS (SELECT d || ':' || run AS k, run, count(*) AS times FROM runs GROUP BY d, run),
+hashed AS (SELECT run, times, {_crc32("k")} AS h FROM counted),
+changed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, times FROM hashed
+), words AS (SELECT word, sum(times)::BIGINT AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+dels AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM dels a JOIN dels b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM words a JOIN dels b ON a.word = b.d
+  UNION SELECT b.word, a.word FROM words a JOIN dels b ON a.word = b.d
+), ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS nth
+  FROM near JOIN words o ON o.word = other
+), best AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) r ON r.word = w.word
+), climbed AS (
+  SELECT word, word AS top, 0 AS step FROM best
+  UNION ALL SELECT c.word, b.form, step + 1 FROM climbed c JOIN best b ON b.word = c.top WHERE b.form IS NOT NULL
+)
+SELECT best.word, form, top AS root, n, n_near, form_n FROM best JOIN (SELECT word, arg_max(top, step) AS top FROM climbed GROUP BY word) c ON c.word = best.word
+"""
+
 ORACLE: dict[str, str] = {
     "op2_warc": _WARC, "op3_line_dedup": _LINE_DEDUP, "op7_extendible_shards": _SHARDS,
-    "op11_conversation_repair": _CONVERSATIONS,
+    "op11_conversation_repair": _CONVERSATIONS, "op12_spelling_variants": _SPELLING,
 }
