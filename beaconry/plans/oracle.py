@@ -376,8 +376,12 @@ ENV = cte("envelopes", "e")
 STATEMENTS["parse_envelopes"] = f"""WITH {ENV}, w AS (SELECT *, '{{"path":"' || path || '","payload":' || payload || ',"ts":' || ts || '}}' AS whole, CASE WHEN seq % 31 = 0 THEN 1 WHEN seq % 37 = 0 THEN 2 WHEN seq % 41 = 0 THEN 3 ELSE 0 END AS bad FROM e WHERE seq % 43 <> 0)
   SELECT file_name, CASE WHEN bad = 0 THEN path END AS path, CASE WHEN bad = 0 THEN payload END AS payload, CASE WHEN bad = 0 THEN ts END AS ts,
   CASE bad WHEN 1 THEN 10 WHEN 2 THEN strlen(regexp_replace(whole, '"path":"[^"]*"', '"path":5', 'g')) WHEN 3 THEN strlen(whole) - length(ts::VARCHAR) + 6 ELSE strlen(whole) END AS size, bad = 0 AS accepted FROM w"""
+STATEMENTS["read_envelopes"] = STATEMENTS["parse_envelopes"].replace("bad = 0 AS accepted", "CASE bad WHEN 1 THEN 'json' WHEN 2 THEN 'path' WHEN 3 THEN 'ts' END AS reason")
+STATEMENTS["read_envelopes_since"] = f"SELECT file_name, path, ts FROM ({STATEMENTS['parse_envelopes']}) WHERE accepted AND file_name >= '{NOW_MS - 5 * 86_400_000}'"
 STATEMENTS["write_envelopes"] = f"""WITH {ENV} SELECT path, CASE path WHEN '/ingest/v1/logs' THEN replace(payload, '"password":"p"', '"password":"{R}"') WHEN '/ingest/v1/errors' THEN replace(payload, '"token":"t"', '"token":"{R}"')
   WHEN '/ingest/v1/sessions/start' THEN regexp_replace(payload, '"sessionId":"[^"]*"', '"sessionId":"{R}"') WHEN '/ingest/v1/sessions/end' THEN regexp_replace(payload, '"sessionId":"[^"]*"', '"sessionId":"{R}"') ELSE payload END AS payload, ts FROM e"""
+STATEMENTS["drain_stream"] = STATEMENTS["write_envelopes"] + """ WHERE seq % 31 <> 0 AND seq % 37 <> 0 AND seq % 41 <> 0 AND seq % 43 <> 0
+  AND path NOT LIKE '/ingest/v1/sessions/%' AND strlen(payload) % 3 = 2"""
 STATEMENTS["route_envelopes"] = f"WITH {ENV} SELECT envelope_id, CASE WHEN path = '/elsewhere' THEN 'unknown' ELSE path END AS route FROM e"
 _req = f"""WITH {ENV}, x AS (SELECT envelope_id, CASE WHEN path = '/ingest/v1/http-requests' THEN unnest(json_extract(payload, '$.requests[*]')) END AS r FROM e WHERE path = '/ingest/v1/http-requests')
   SELECT KEYS r->>'method' AS method, r->>'path' AS path, (r->>'statusCode')::INT AS status_code, r->>'traceId' AS trace_id FROM x"""

@@ -14,7 +14,7 @@ from beaconry.operators import (
 )
 from beaconry.plans import derive
 from beaconry.plans.derive import NOW_MS, RATE, SETTINGS, raw, table
-from beaconry.sources import envelopes as env
+from beaconry.sources import envelopes as env, spool
 from beaconry.streaming import sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -573,6 +573,41 @@ def parse_envelopes(spark, d):
     )
 
 
+def _spooled(spark, d):
+    """The same files on disk, one per envelope; others lie beside them."""
+    folder = shared_folder(spark) + "/spool"
+    name = F.when(F.col("file_name") == "notes.txt", F.concat(F.lit("notes-"), F.md5("value"), F.lit(".txt"))).otherwise(F.col("file_name"))
+    spool.write_files(_files(spark, d).withColumn("file_name", name), folder)
+    return folder
+
+
+@query
+def read_envelopes(spark, d):
+    """One file per envelope, written and read; rejected files are rows with a reason."""
+    rows = env.envelope_rows(spool.files(spark, _spooled(spark, d)))
+    return rows.select("file_name", "path", "payload", "ts", "size", "reason")
+
+
+@query
+def read_envelopes_since(spark, d):
+    """The files since a time: the filter on the name reaches the listing."""
+    good, _ = env.read_envelopes(spark, _spooled(spark, d))
+    return good.where(F.col("file_name") >= str(NOW_MS - 5 * 86_400_000)).select("file_name", "path", "ts")
+
+
+@query
+def drain_stream(spark, d):
+    """What is left in the spool after one replay: a third is accepted, a third refused, sessions are never sent."""
+    root = shared_folder(spark)
+
+    def deliver(batch):
+        code = F.when(F.octet_length("payload") % 3 == 0, 200).when(F.octet_length("payload") % 3 == 1, 400).otherwise(503)
+        return batch.select("envelope_id", "path", F.lit(0).alias("attempt"), code.alias("http_status"), F.lit(0).alias("at_ms"))
+
+    sinks.drain_stream(spark, _spooled(spark, d), deliver, f"{root}/left", f"{root}/checkpoint", SETTINGS, available_now=True).awaitTermination()
+    return env.read_spool(spark, f"{root}/left").select("path", "payload", "ts")
+
+
 @query
 def write_envelopes(spark, d):
     folder = shared_folder(spark) + "/spool"

@@ -9,48 +9,52 @@ from beaconry.functions.privacy import camel
 from beaconry.operators.redact import redact_json
 from beaconry.schemas import PATHS, ROW_ARRAYS, TABLES, record, wire
 from beaconry.settings import Settings
+from beaconry.sources import spool
 
 # Fixed value: names of envelope files.
 FILE_NAME = r"(?i)^[0-9]+-[0-9a-z]+\.json(?![\s\S])"
 
 
-def parse_envelopes(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split (file_name, value, size) rows into envelopes and rejected files.
+def envelope_rows(files: DataFrame) -> DataFrame:
+    """(file_name, value, size) rows with what they hold: path, payload, ts, and the ``reason`` why they hold none.
 
-    Files with other names are no envelopes and appear in neither. Rejected: unreadable JSON, a
-    ``path`` that is no text, a ``ts`` that is no number. File names in text order are age order.
+    Files with other names are no envelopes and don't appear. Reasons: ``unreadable`` (no text), ``json``, ``path``
+    (not text), ``ts`` (no number). File names in text order are age order.
     """
     named = files.where(F.col("file_name").rlike(FILE_NAME))
     tree = F.call_function("try_parse_json", F.col("value"))
-    kind = lambda at: F.call_function(
-        "schema_of_variant", F.call_function("try_variant_get", F.col("_tree"), F.lit(at), F.lit("variant"))
+    kind = lambda at: F.coalesce(
+        F.call_function("schema_of_variant", F.call_function("try_variant_get", F.col("_tree"), F.lit(at), F.lit("variant"))), F.lit("")
+    )
+    reason = (
+        F.when(F.col("value").isNull(), "unreadable").when(F.col("_tree").isNull(), "json").when(kind("$.path") != "STRING", "path")
+        .when(~kind("$.ts").rlike(r"^(BIGINT|DOUBLE|DECIMAL|INT|SMALLINT|TINYINT|FLOAT)"), "ts")
     )
-    number = kind("$.ts").rlike(r"^(BIGINT|DOUBLE|DECIMAL|INT|SMALLINT|TINYINT|FLOAT)")
-    ok = (kind("$.path") == "STRING") & number
-    body = F.from_json("value", "path STRING, payload STRING, ts DOUBLE")
-    read = named.withColumn("_tree", tree).withColumn("_ok", F.coalesce(ok, F.lit(False))).drop("_tree")
-    good = (
-        read.where("_ok")
-        .withColumn("_body", body)
-        .select("file_name", "_body.path", "_body.payload", F.floor("_body.ts").alias("ts"), "size")
+    read = named.withColumn("_tree", tree).withColumn("reason", reason).drop("_tree")
+    body = F.when(F.col("reason").isNull(), F.from_json("value", "path STRING, payload STRING, ts DOUBLE"))
+    return read.withColumn("_body", body).select(
+        "file_name", "_body.path", "_body.payload", F.floor("_body.ts").alias("ts"), "size", "value", "reason"
     )
-    return good, read.where("NOT _ok").select("file_name", "value", "size")
 
 
-def _files(reader, folder: str) -> DataFrame:
-    return reader.option("wholetext", True).option("pathGlobFilter", "*-*.json").text(folder).select(
-        F.col("_metadata.file_name").alias("file_name"), "value", F.col("_metadata.file_size").alias("size")
-    )
+def parse_envelopes(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`envelope_rows` as envelopes and rejected files."""
+    rows = envelope_rows(files)
+    good = rows.where(F.col("reason").isNull()).drop("value", "reason")
+    return good, rows.where(F.col("reason").isNotNull()).select("file_name", "value", "size", "reason")
+
 
+def read_envelopes(spark: SparkSession, folder: str, **options: str) -> tuple[DataFrame, DataFrame]:
+    """Envelopes and rejected files of a folder with one JSON document per file; filters on ``file_name`` prune files.
 
-def read_envelopes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Envelopes and rejected files of a folder with one JSON document per file."""
-    return parse_envelopes(_files(spark.read, folder))
+    Each of the two reads the folder; :func:`envelope_rows` of :func:`~beaconry.sources.spool.files` has both at once.
+    """
+    return parse_envelopes(spool.files(spark, folder, **options))
 
 
 def stream_envelopes(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The readable envelopes of the folder as a stream (``cleanSource`` and the like as options)."""
-    return parse_envelopes(_files(spark.readStream.options(**options), folder))[0]
+    """The readable envelopes of the folder as a stream in the order of file names."""
+    return parse_envelopes(spool.file_stream(spark, folder, **options))[0]
 
 
 def write_envelopes(df: DataFrame, folder: str, settings: Settings = Settings(), mode: str = "append") -> None:

@@ -80,11 +80,13 @@ def drain_stream(
     available_now: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Replay a folder of envelope files, oldest files first.
+    """Replay a folder of envelope files in the order of their names, which is their age.
 
     ``deliver`` takes the envelopes of a micro-batch and returns their attempts (envelope_id,
     attempt, http_status, at_ms, path). What is neither accepted nor refused for good goes to the
-    ``remaining`` spool. Session envelopes are never replayed.
+    ``remaining`` spool. Session envelopes are never replayed. Files leave the folder when the
+    micro-batch after theirs is planned (see :class:`~beaconry.sources.spool.EnvelopeStream`, also for ``options``).
+    A restart replays nothing that is done; a micro-batch that was cut short comes again with the same files.
     """
 
     def replay(batch: DataFrame, batch_id: int) -> None:
@@ -96,6 +98,6 @@ def drain_stream(
         finally:
             spool.unpersist()
 
-    source = stream_envelopes(spark, folder, latestFirst="false", **options)
+    source = stream_envelopes(spark, folder, **options)
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(replay)
     return _trigger(writer, available_now, every).start()

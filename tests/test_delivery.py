@@ -1,6 +1,7 @@
 """Envelope files, caps, retries, settlement, replay and the stream sinks."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from beaconry import schemas
 from beaconry.operators import delivery, outbound, releases, retention, sampling
 from beaconry.plans import derive
 from beaconry.settings import Settings
-from beaconry.sources import envelopes as env
+from beaconry.sources import envelopes as env, spool as files
 from beaconry.streaming import sinks, stateful
 
 ERR, START = "/ingest/v1/errors", "/ingest/v1/sessions/start"
@@ -95,6 +96,82 @@ def test_drain(spark, tmp_path):
     assert [(r.payload, r.ts) for r in left.collect()] == [('{"i":2}', 2)]
 
 
+def deliver_some(status):
+    def deliver(batch):
+        return batch.select("envelope_id", "path", F.lit(0).alias("attempt"), status.alias("http_status"), F.lit(0).alias("at_ms"))
+
+    return deliver
+
+
+def test_drain_goes_by_name_and_settles(spark, tmp_path):
+    """File times and names disagree, a file comes late, and a restart replays nothing that is settled."""
+    folder = spool(tmp_path, {f"{100 + i}-a.json": {"path": ERR, "payload": {"i": i}, "ts": i} for i in range(6)})
+    for i in range(6):
+        os.utime(f"{folder}/{100 + i}-a.json", (2_000_000 - i, 2_000_000 - i))
+    seen = []
+
+    def deliver(batch):
+        seen.append(sorted(r.file_name for r in batch.collect()))
+        return deliver_some(F.lit(503))(batch)
+
+    def drain(**options):
+        q = sinks.drain_stream(spark, folder, deliver, str(tmp_path / "left"), str(tmp_path / "cp"), **options)
+        q.processAllAvailable() if "every" in options else q.awaitTermination()
+        q.stop()
+
+    drain(every="0 seconds", max_files="2")
+    assert seen == [["100-a.json", "101-a.json"], ["102-a.json", "103-a.json"], ["104-a.json", "105-a.json"]]
+    (tmp_path / "spool" / "099-late.json").write_text(json.dumps({"path": ERR, "payload": {}, "ts": 0}))
+    (tmp_path / "spool" / "106-a.json").write_text(json.dumps({"path": ERR, "payload": {}, "ts": 6}))
+    drain(available_now=True)
+    drain(available_now=True)
+    assert seen[3:] == [["099-late.json", "106-a.json"]]
+    # The last micro-batch settles when the next one is planned.
+    assert sorted(f for f in os.listdir(folder) if f.endswith(".json")) == ["099-late.json", "106-a.json"]
+    assert len([f for f in os.listdir(f"{folder}/_settled") if f.endswith(".json")]) == 6
+    assert env.read_spool(spark, f"{tmp_path}/left").count() == 8
+
+
+def test_an_unfinished_batch_comes_again(spark, tmp_path):
+    folder = spool(tmp_path, {f"{100 + i}-a.json": {"path": ERR, "payload": {"i": i}, "ts": i} for i in range(3)})
+    seen = []
+
+    def deliver(batch):
+        seen.append(sorted(r.file_name for r in batch.collect()))
+        if len(seen) == 1:
+            (tmp_path / "spool" / "103-a.json").write_text(json.dumps({"path": ERR, "payload": {}, "ts": 3}))
+            raise OSError("no answer")
+        return deliver_some(F.lit(200))(batch)
+
+    for _ in range(3):
+        q = sinks.drain_stream(spark, folder, deliver, str(tmp_path / "left"), str(tmp_path / "cp"), available_now=True, settled="delete")
+        try:
+            q.awaitTermination()
+        except Exception as error:
+            assert "no answer" in str(error)
+    first = ["100-a.json", "101-a.json", "102-a.json"]
+    assert seen == [first, first, ["103-a.json"]]
+    assert [f for f in os.listdir(folder) if f.endswith(".json")] == ["103-a.json"] and not os.path.exists(f"{folder}/_settled")
+
+
+def test_envelope_source(spark, tmp_path):
+    folder = spool(tmp_path, {f"{1000 + i}-a.json": {"path": ERR, "payload": {"i": i}, "ts": i} for i in range(100)} | {"2000-x.json": "{", "notes.txt": "n"})
+    (tmp_path / "spool" / "2001-y.json").write_bytes(b"\xff\xfe")
+    rows = env.envelope_rows(files.files(spark, folder, partition_bytes=str(40 * (64 << 10))))
+    assert rows.rdd.getNumPartitions() == 3
+    got = {r.file_name: (r.ts, r.reason) for r in rows.collect()}
+    assert len(got) == 102 and got["2000-x.json"] == (None, "json") and got["2001-y.json"] == (None, "unreadable") and got["1005-a.json"] == (5, None)
+    good, bad = env.read_envelopes(spark, folder)
+    late = good.where((F.col("file_name") > "1090-a.json") & F.col("file_name").startswith("10") & (F.col("ts") > 0))
+    assert late.count() == 9 and bad.count() == 2
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(file_name,1090-a.json)" in plan and "StringStartsWith(file_name,10)" in plan
+    files.write_files(spark.createDataFrame([("7-a.json", "é"), ("7-a.json", "é"), ("8-b.json", None)], "file_name string, value string"), str(tmp_path / "new"))
+    assert sorted(os.listdir(tmp_path / "new")) == ["7-a.json", "8-b.json"] and (tmp_path / "new" / "7-a.json").read_text() == "é"
+    os.mkdir(tmp_path / "empty")
+    assert files.files(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_tables(spark, tmp_path):
     rows = [(ERR, '{"message":"m"}', 1), ("/ingest/v1/spans", '{"spans":[{"traceId":"a"},{"traceId":"b"}]}', 2), ("/x", "{}", 3), (ERR, "{ cut", 4), ("/ingest/v1/spans", "{}", None), (ERR, None, 5), (None, "[1]", 6)]
     spark.createDataFrame(rows, "path string, payload string, ts bigint").write.parquet(str(tmp_path / "in"))
