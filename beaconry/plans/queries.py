@@ -577,7 +577,7 @@ def _spooled(spark, d):
     """The same files on disk, one per envelope; others lie beside them."""
     folder = shared_folder(spark) + "/spool"
     name = F.when(F.col("file_name") == "notes.txt", F.concat(F.lit("notes-"), F.md5("value"), F.lit(".txt"))).otherwise(F.col("file_name"))
-    spool.write_files(_files(spark, d).withColumn("file_name", name), folder)
+    spool.write_files(_files(spark, d).withColumn("file_name", name).repartition("file_name"), folder)
     return folder
 
 

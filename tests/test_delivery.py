@@ -154,7 +154,7 @@ def test_an_unfinished_batch_comes_again(spark, tmp_path):
     assert [f for f in os.listdir(folder) if f.endswith(".json")] == ["103-a.json"] and not os.path.exists(f"{folder}/_settled")
 
 
-def test_envelope_source(spark, tmp_path):
+def test_envelope_source(spark, tmp_path, capsys):
     folder = spool(tmp_path, {f"{1000 + i}-a.json": {"path": ERR, "payload": {"i": i}, "ts": i} for i in range(100)} | {"2000-x.json": "{", "notes.txt": "n"})
     (tmp_path / "spool" / "2001-y.json").write_bytes(b"\xff\xfe")
     rows = env.envelope_rows(files.files(spark, folder, partition_bytes=str(40 * (64 << 10))))
@@ -164,7 +164,8 @@ def test_envelope_source(spark, tmp_path):
     good, bad = env.read_envelopes(spark, folder)
     late = good.where((F.col("file_name") > "1090-a.json") & F.col("file_name").startswith("10") & (F.col("ts") > 0))
     assert late.count() == 9 and bad.count() == 2
-    plan = late._jdf.queryExecution().executedPlan().toString()
+    late.explain("formatted")
+    plan = capsys.readouterr().out
     assert "GreaterThan(file_name,1090-a.json)" in plan and "StringStartsWith(file_name,10)" in plan
     files.write_files(spark.createDataFrame([("7-a.json", "é"), ("7-a.json", "é"), ("8-b.json", None)], "file_name string, value string"), str(tmp_path / "new"))
     assert sorted(os.listdir(tmp_path / "new")) == ["7-a.json", "8-b.json"] and (tmp_path / "new" / "7-a.json").read_text() == "é"
