@@ -354,7 +354,7 @@ SESSIONS = f"""{cte('session_events', 'se')},
     coalesce(b.final_status, CASE coalesce(r, 0) WHEN 0 THEN 'ok' WHEN 1 THEN 'errored' WHEN 2 THEN 'abnormal' ELSE 'crashed' END) AS status, b.seq IS NOT NULL AS ended
     FROM (SELECT session_id, s, e, r FROM st LEFT JOIN en USING (session_id) LEFT JOIN mx USING (session_id)) x JOIN se a ON a.seq = s LEFT JOIN se b ON b.seq = e)"""
 STATEMENTS["fold_sessions"] = f"""WITH {SESSIONS} SELECT session_id, release, environment, user_id, platform, started_ms, ended_ms, CASE WHEN ended THEN duration_ms END AS duration_ms, status, ended FROM fold"""
-STATEMENTS["stream_compacted_sessions"] = STATEMENTS["fold_sessions"]
+STATEMENTS["stream_compacted_sessions"] = STATEMENTS["close_sessions"] = STATEMENTS["fold_sessions"]
 STATEMENTS["stream_sessions"] = f"""WITH {SESSIONS} SELECT session_id, release, environment, user_id, started_ms, ended_ms, CASE WHEN ended THEN duration_ms END AS duration_ms, status, ended FROM fold"""
 STATEMENTS["session_start_rows"] = f"WITH {SESSIONS} SELECT session_id, release, environment, user_id, '{S.sdk_name}' AS sdk_name, '{S.sdk_version}' AS sdk_version, platform FROM fold WHERE release <> ''"
 STATEMENTS["session_end_rows"] = f"WITH {SESSIONS} SELECT session_id, duration_ms, status FROM fold WHERE release <> '' AND ended"

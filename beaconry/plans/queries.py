@@ -15,7 +15,7 @@ from beaconry.operators import (
 from beaconry.plans import derive
 from beaconry.plans.derive import NOW_MS, RATE, SETTINGS, raw, table
 from beaconry.sources import envelopes as env, spool
-from beaconry.streaming import sinks, stateful
+from beaconry.streaming import closing, sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -794,6 +794,23 @@ def stream_sessions(spark, d):
     return run_stream(stateful.stream_sessions(events), "update").drop("batch")
 
 
+def shuffled(df: DataFrame, parts: int, last: DataFrame | None = None) -> DataFrame:
+    """A table as a stream of ``parts`` micro-batches with its rows in no order, and a last one behind them."""
+    folder = shared_folder(df.sparkSession) + "/in"
+    df.repartition(parts, F.xxhash64(*df.columns)).write.parquet(folder)
+    if last is not None:
+        last.coalesce(1).write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def close_sessions(spark, d):
+    """All sessions, from events in no order: a last event without a session, years later, ends them."""
+    events = raw(spark, d, "session_events")
+    later = spark.range(1).select(*[(F.lit(NOW_MS + 10 * 366 * 86_400_000) if f.name == "at_ms" else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema.fields])
+    return run_stream(closing.close_sessions(shuffled(events, 3, later), "366 days"))
+
+
 @query
 def stream_compacted_sessions(spark, d):
     root = shared_folder(spark)

@@ -1,6 +1,7 @@
 """Session folding against a step-by-step model, in batch, compacted and streaming form."""
 
 import random
+import time
 
 import pytest
 
@@ -8,6 +9,7 @@ from beaconry.operators.sessions import (
     build_session_rows, compact_session_events, crash_free_rates, fold_sessions, reconcile_sessions,
 )
 from beaconry.schemas import raw
+from beaconry.streaming.closing import close_sessions
 from beaconry.streaming.stateful import stream_sessions
 
 
@@ -117,3 +119,31 @@ def test_reconcile(spark):
     ends = spark.createDataFrame([("a", 1, "ok"), ("b", 1, "crashed"), ("c", 1, "errored"), ("d", 1, "ok")], "session_id string, duration_ms bigint, status string")
     errs = spark.createDataFrame([("a", "error"), ("b", "error"), ("c", "fatal"), (None, "fatal")], "session_id string, level string")
     assert {r.session_id: r.status for r in reconcile_sessions(ends, errs).collect()} == {"a": "errored", "b": "crashed", "c": "crashed", "d": "ok"}
+
+
+def test_sessions_close_and_leave_the_state(spark, tmp_path):
+    """Events in any order and over micro-batches; a row comes out once, and the state ends with the sessions."""
+    rng = random.Random(4)
+    hour = 3_600_000
+    kinds = ["start", "error", "crash", "abnormal", "end", "other"]
+    rows = []
+    for s in range(40):
+        for i in range(rng.randint(1, 12)):
+            rows.append((f"s{s}", i, rng.choice(kinds), rng.choice([None, None, "ok"]), s * 60_000 + i * 1000, f"v{i}", "prod", None, "p"))
+    rng.shuffle(rows)
+    schema = raw("session_events")
+    parts = [rows[i::5] for i in range(5)]
+    # Sessions of the first micro-batches are over before the last ones arrive.
+    parts += [[("late", 1, "start", None, 50 * hour, "v", "prod", "u", "p")], [(None, None, None, None, 100 * hour, None, None, None, None)]]
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = close_sessions(stream, "1 hour", 600_000).writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+    q = q.format("parquet").option("path", str(tmp_path / "out")).start()
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = fold_sessions(spark.createDataFrame([r for p in parts for r in p if r[0]], schema))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+    held = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert max(held) > 40 and held[-1] == 0
