@@ -401,6 +401,7 @@ STATEMENTS["write_tables"] = f"""SELECT kind, v0, CASE WHEN kind <> 'logs' THEN
   UNION ALL SELECT 'rejected', path, reason FROM (WITH {ENV} SELECT path, CASE WHEN path = '/elsewhere' THEN 'path'
     WHEN path = '/ingest/v1/http-requests' AND json_extract(payload, '$.requests') IS NULL OR path = '/ingest/v1/spans' AND json_extract(payload, '$.spans') IS NULL
       OR path = '/ingest/v1/db' AND json_extract(payload, '$.queries') IS NULL THEN 'rows' END AS reason FROM e) WHERE reason IS NOT NULL"""
+STATEMENTS["write_live_tables"] = STATEMENTS["write_tables"]
 STATEMENTS["pack_batches"] = f"""WITH {ENV}, n AS (SELECT *, row_number() OVER (PARTITION BY spool, path ORDER BY seq) - 1 AS k FROM e),
   m AS (SELECT spool, path, k // 7 AS batch, k, CASE path WHEN '/ingest/v1/http-requests' THEN 'requests' WHEN '/ingest/v1/spans' THEN 'spans' ELSE 'queries' END AS field,
     regexp_extract(payload, '^.."?(?:requests|spans|queries)":\\[(.*)\\].$', 1) AS body FROM n WHERE path IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')),
@@ -419,6 +420,7 @@ _suffix = "sum(strlen(payload)) OVER (PARTITION BY spool ORDER BY file_name DESC
 STATEMENTS["cap_bytes"] = f"WITH {ENV} SELECT spool, file_name FROM e QUALIFY {_suffix} <= 20000"
 STATEMENTS["compact_spool"] = f"""WITH {ENV}, y AS (SELECT * FROM e WHERE ts >= {NOW_MS} - 864000000::BIGINT QUALIFY row_number() OVER (PARTITION BY spool ORDER BY file_name DESC) <= 120)
   SELECT spool, file_name FROM y QUALIFY {_suffix} <= 6000"""
+STATEMENTS |= {"stream_batches": STATEMENTS["pack_batches"], "keep_spool": STATEMENTS["compact_spool"], "keep_newest": STATEMENTS["cap_queue"]}
 
 # --- delivery -------------------------------------------------------------------------------------
 

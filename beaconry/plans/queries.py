@@ -15,7 +15,7 @@ from beaconry.operators import (
 from beaconry.plans import derive
 from beaconry.plans.derive import NOW_MS, RATE, SETTINGS, raw, table
 from beaconry.sources import envelopes as env, spool
-from beaconry.streaming import closing, sinks, stateful
+from beaconry.streaming import closing, kept, sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -834,11 +834,7 @@ def stream_scrubbed_documents(spark, d):
     return run_stream(redact.scrub_text(stream_of(spark, d, "documents"), ["text"]).select("doc_id", F.md5("text").alias("text_md5")))
 
 
-@query
-def write_tables(spark, d):
-    root = shared_folder(spark)
-    stream = derive.scalars(stream_of(spark, d, "events"), "envelopes")
-    sinks.write_tables(stream, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
+def _shown(read: Callable[[str], DataFrame]) -> DataFrame:
     shown = {
         "http_requests": ("method", "trace_id"), "spans": ("trace_id", "duration_ms"), "db_queries": ("normalized_query", "duration_ms"),
         "errors": ("exception_class", "message"), "releases": ("version", "environment"), "session_starts": ("session_id", "release"),
@@ -847,6 +843,62 @@ def write_tables(spark, d):
     out = None
     for name, columns in shown.items():
         values = [(F.col(c) if c else F.lit(None)).cast("string").alias(f"v{i}") for i, c in enumerate(columns)]
-        one = spark.read.parquet(f"{root}/tables/{name}").select(F.lit(name).alias("kind"), *values)
+        one = read(name).select(F.lit(name).alias("kind"), *values)
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query
+def write_tables(spark, d):
+    root = shared_folder(spark)
+    stream = derive.scalars(stream_of(spark, d, "events"), "envelopes")
+    sinks.write_tables(stream, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return _shown(lambda name: spark.read.parquet(f"{root}/tables/{name}"))
+
+
+def in_order(df: DataFrame, parts: int, order: str) -> DataFrame:
+    """A table as a stream of ``parts`` micro-batches that follow each other by ``order``."""
+    folder = shared_folder(df.sparkSession) + "/in"
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    for i in range(parts):
+        first, last = (low + (high - low + 1) * k // parts for k in (i, i + 1))
+        df.where((F.col(order) >= first) & (F.col(order) < last)).coalesce(1).write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def stream_batches(spark, d):
+    """Batches that fill over micro-batches, and what is left at the end."""
+    rows = raw(spark, d, "envelopes").select(F.col("spool").alias("queue_key"), "path", "seq", "payload")
+    root = shared_folder(spark)
+    kept.stream_batches(in_order(rows, 3, "seq"), root, f"{root}/checkpoint", max_batch=7, available_now=True).awaitTermination()
+    kept.flush_batches(spark, root, rows.schema, max_batch=7)
+    return kept.sent_batches(spark, root).select("queue_key", "path", "batch", "envelopes", "rows", F.md5("payload").alias("payload_md5"))
+
+
+@query
+def keep_spool(spark, d):
+    """Spools that every micro-batch caps by age, entries and bytes, from envelopes in no order."""
+    rows = _sized(spark, d).select("spool", "file_name", "ts", "size")
+    root = shared_folder(spark)
+    kept.keep_spool(shuffled(rows, 3), root, f"{root}/checkpoint", ["spool"], NOW_MS, 10 * 86_400_000, 120, 6_000, available_now=True).awaitTermination()
+    return kept.kept(spark, root, rows.schema).select("spool", "file_name")
+
+
+@query
+def keep_newest(spark, d):
+    """Queues that every micro-batch caps."""
+    rows = raw(spark, d, "envelopes").select("envelope_id", "spool", "path", "seq")
+    root = shared_folder(spark)
+    kept.keep_newest(shuffled(rows, 3), root, f"{root}/checkpoint", ["spool", "path"], ["seq"], 100, available_now=True).awaitTermination()
+    return kept.kept(spark, root, rows.schema).select("envelope_id", "spool", "path")
+
+
+@query
+def write_live_tables(spark, d):
+    """All tables of the sink after their small files were put together."""
+    rows = raw(spark, d, "envelopes").select("path", "payload", "ts", "seq")
+    root = shared_folder(spark)
+    sinks.write_live_tables(in_order(rows, 3, "seq"), root, f"{root}/checkpoint", available_now=True).awaitTermination()
+    sinks.compact_live_tables(spark, root)
+    return _shown(lambda name: sinks.read_live_table(spark, root, name))

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.functions.clock import DAY_MS
 from beaconry.operators.delivery import replay_remaining
 from beaconry.operators.sampling import non_persistable
 from beaconry.operators.sessions import compact_session_events
-from beaconry.schemas import TABLES
+from beaconry.schemas import TABLES, record
 from beaconry.settings import Settings
 from beaconry.sources.envelopes import flatten, rejection, stream_envelopes, write_envelopes
+from beaconry.streaming.tables import TARGET_BYTES, ManifestTable
 
 # Fixed value: flush interval.
 FLUSH = "2 seconds"
@@ -54,6 +55,57 @@ def write_tables(
     return _trigger(writer, available_now, every).start()
 
 
+def _live(spark: SparkSession, root: str, table: str) -> ManifestTable:
+    rejected = "path STRING, payload STRING, ts BIGINT, reason STRING"
+    schema = T.StructType.fromDDL(rejected) if table == "rejected" else T.StructType([T.StructField("ts", T.LongType()), *record(table).fields])
+    return ManifestTable(spark, f"{root}/{table}", T.StructType([*schema.fields, T.StructField("day", T.DateType())]), ["day"])
+
+
+def write_live_tables(
+    envelopes: DataFrame, root: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
+) -> StreamingQuery:
+    """:func:`write_tables` into tables of live files, which :func:`read_live_table` reads and :func:`compact_live_tables`
+    keeps few: readers see whole micro-batches, before, while and after files are put together. Only the record kinds
+    that a micro-batch holds are written."""
+    day = F.date_from_unix_date(F.floor(F.col("ts") / DAY_MS).cast("int"))
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumn("reason", rejection()).persist(StorageLevel.DISK_ONLY)
+        try:
+            kinds = batch.select(F.when(F.col("reason").isNull(), F.col("path")).alias("path")).distinct()
+            there = {r.path for r in kinds.collect()}  # the known paths and NULL at most
+            good = batch.where(F.col("reason").isNull())
+            for table, path in TABLES.items():
+                if path in there:
+                    _live(spark, root, table).add(flatten(good, table, ("ts",)).withColumn("day", day), batch_id)
+            if None in there:
+                _live(spark, root, "rejected").add(batch.where(F.col("reason").isNotNull()).withColumn("day", day), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(flush)
+    return _trigger(writer, available_now, every).start()
+
+
+def read_live_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of a record kind, or of ``rejected``; a filter on ``day`` skips files."""
+    return _live(spark, root, table).read()
+
+
+def compact_live_tables(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES, keep_seconds: float = DAY_MS / 1000) -> dict[str, int]:
+    """Put the small files of each day together, also while the stream writes; how many files less by table.
+
+    Files that are no longer live go after ``keep_seconds``, when no reader is at them any more.
+    """
+    fewer = {}
+    for table in [*TABLES, "rejected"]:
+        live = _live(spark, root, table)
+        fewer[table] = live.compact(target_bytes)
+        live.vacuum(keep_seconds)
+    return fewer
+
+
 def append_compacted_sessions(
     session_events: DataFrame, table: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
 ) -> StreamingQuery:
