@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from beaconry.functions.text import let
 from beaconry.llm.store import materialise
 
 # What a line key is stripped of, and the letters it lower-cases.
@@ -129,8 +130,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
         runs.drop()
     gone = dropped.groupBy("doc", "twin").agg(F.collect_set("pos").alias("gone"))
     split = F.split("body", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n"))
+
+    def rest(parts: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+
+    # The text is split once, however many of its lines stay.
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(let(split, rest))
     out = [(text if c == "text" else F.col("row").getField(c)).alias(c) for c in names if not (report and c in ("n_lines", "n_dropped"))]
     if report:
         out += [F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped")]

@@ -385,10 +385,13 @@ def keep_one_each(docs: DataFrame, plan: ChosenPath = ChosenPath()) -> DataFrame
     """The columns of ``docs``, of each connected group of similar rows only one row: that of the smallest doc_id.
 
     Rows are told apart by a number of their own, so of rows that repeat an id each goes by its text, and of rows that
-    repeat id and text one stays. A null doc_id is the smallest.
+    repeat id and text one stays. A null doc_id is the smallest. Columns of any name come back as they were.
     """
-    numbered = _numbered(docs)
-    _, reps, _, labels = _linked_sets(_keyed(numbered), plan)
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
+    numbered = materialise(docs.select(given, F.monotonically_increasing_id().alias("_row")), "numbered")
+    _, reps, _, labels = _linked_sets(_keyed(numbered.select("_row", "given.doc_id", "given.text")), plan)
     classes = reps.select("rep", "set_id", "set_row").join(labels, "rep", "left")
     kept = classes.groupBy(F.coalesce("label", "rep")).agg(F.min(F.struct("set_id", "set_row")).alias("least"))
-    return numbered.join(kept.select(F.col("least.set_row").alias("_row")), "_row", "left_semi").select(docs.columns)
+    return numbered.join(kept.select(F.col("least.set_row").alias("_row")), "_row", "left_semi").select(
+        *[F.col("given").getField(c).alias(c) for c in docs.columns]
+    )

@@ -127,7 +127,10 @@ class WaveletMatrix:
 
 def dump_shard(doc_ids: list[int | None], lengths: list[int], ids: bytes, bits: int) -> list[bytes]:
     """The parts of one file: a header, document ids and lengths, bit-planes and their ranks, each part compressed."""
-    values = np.frombuffer(ids, dtype="<u4").astype(np.uint16 if bits <= 16 else np.uint32)
+    whole = np.frombuffer(ids, dtype="<u4")
+    if len(whole) and int(whole.max()) >> bits:
+        raise ValueError(f"token id {whole.max()} does not fit {bits} bits")
+    values = whole.astype(np.uint16 if bits <= 16 else np.uint32)
     matrix = WaveletMatrix.build(values, bits)
     pack = zstandard.ZstdCompressor(level=1).compress
     known = np.array([d is not None for d in doc_ids], dtype=np.uint8)

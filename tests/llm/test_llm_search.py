@@ -199,3 +199,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert packed.doc_id.nunique() == 120
     result = corpus_pipeline.run(spark, folder).toPandas()
     assert set(result.doc_id) <= {*range(120), 160, 161, 162} and len(result)
+
+
+def test_columns_of_the_caller_stay(spark, tmp_path):
+    """Columns named as the stages name their own come back as they were, through the filtering stages."""
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{text} {i // 2}", 70 + i, "mine", "own") for i in range(6)] + [(None, None, 1, "none", None), (3, text + " 1", 2, "again", "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, quality_score string, given string")
+    kept = setjoin.keep_one_each(docs)
+    assert kept.columns == docs.columns
+    assert {(r._row, r.quality_score, r.given) for r in kept.collect()} == {(70, "mine", "own"), (1, "none", None)}
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))

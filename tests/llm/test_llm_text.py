@@ -1,5 +1,6 @@
 """Text operators against plain Python: quality, line dedup, fingerprints, packing, pieces, token files, shards."""
 
+import time
 import hashlib
 import random
 import zlib
@@ -304,3 +305,20 @@ def test_shingles():
     assert len(sets[0]) == 2 and (sets[0] == sets[1]).all() and len(sets[2]) == 1 and not sum(map(len, sets[3:6]))
     assert len(sets[6]) == 6 and set(sets[0]) <= set(sets[6])
     assert isinstance(pd.Series(sets[0]).iloc[0], np.uint64)
+
+
+def test_many_lines_of_one_text(spark):
+    """A text of 100,000 lines, half of them lost, takes a moment: it is split once."""
+    lines = [f"a line of its own {i}" for i in range(100_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines[::2])), (2, "\n".join(lines))], "doc_id long, text string")
+    start = time.time()
+    kept = {r.doc_id: r.text for r in linededup.dedup_lines(docs, batches=2).collect()}
+    assert kept == {1: "\n".join(lines[::2]), 2: "\n".join(lines[1::2])} and time.time() - start < 60
+
+
+def test_ids_that_do_not_fit_are_refused():
+    ids = np.array([1, 70_000], dtype="<u4").tobytes()
+    with pytest.raises(ValueError, match="70000"):
+        tokenfile.dump_shard([1], [2], ids, 16)
+    docs, lengths, matrix = tokenfile.load_shard(b"".join(tokenfile.dump_shard([1], [2], ids, 17)))
+    assert docs == [1] and list(lengths) == [2] and matrix.n == 2
