@@ -13,9 +13,16 @@ LEAST_QUALITY = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier doesn't reject; it learns from the labels of the table folder."""
-    scored = queries.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where(scored["quality_score"] >= LEAST_QUALITY).select(docs.columns)
+    """Documents that the compression classifier doesn't reject; it learns from the labels of the table folder.
+
+    A column ``quality_score`` that documents have already steps aside for the score and comes back as it was.
+    """
+    aside = "_given"
+    while aside in docs.columns:
+        aside += "_"
+    scored = queries.quality_scores(docs.withColumnRenamed("quality_score", aside), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    kept = scored.where(scored["quality_score"] >= LEAST_QUALITY)
+    return kept.select(*[kept[f"`{aside}`"].alias(c) if c == "quality_score" else kept[f"`{c}`"] for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
