@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from beaconry.functions.clock import iso_millis
-from beaconry.functions.privacy import camel
-from beaconry.operators.redact import redact_json
+from beaconry.functions.privacy import camel, json_cleaner, may_hold_sensitive_keys
 from beaconry.schemas import PATHS, ROW_ARRAYS, TABLES, record, wire
 from beaconry.settings import Settings
 from beaconry.sources import spool
@@ -58,8 +57,15 @@ def stream_envelopes(spark: SparkSession, folder: str, **options: str) -> DataFr
 
 
 def write_envelopes(df: DataFrame, folder: str, settings: Settings = Settings(), mode: str = "append") -> None:
-    """Persist envelopes after one more key redaction, one folder per path."""
-    redact_json(df.select("path", "payload", "ts"), "payload", (), settings).write.mode(mode).partitionBy("path").json(folder)
+    """Persist envelopes after one more key redaction, one folder per path.
+
+    Payloads without a sensitive key stay as they are and in the JVM; only the others are taken apart in Python. A
+    payload that can't be taken apart, unreadable or nested too deeply, is withheld: the mark of redaction stands for it.
+    """
+    payload = F.col("payload")
+    some = F.when(may_hold_sensitive_keys(payload, settings.vendor), payload)
+    clean = json_cleaner(settings.vendor, scrub=False, withhold=True)(some)
+    df.select("path", F.coalesce(clean, payload).alias("payload"), "ts").write.mode(mode).partitionBy("path").json(folder)
 
 
 def read_spool(spark: SparkSession, folder: str) -> DataFrame:

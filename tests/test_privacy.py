@@ -11,6 +11,7 @@ from beaconry.functions import privacy
 from beaconry.functions.privacy import REDACTED as R
 from beaconry.operators import redact
 from beaconry.settings import Settings
+from beaconry.sources import envelopes
 
 S = Settings(vendor="acme")
 LONG = "x" * 20_000 + " jane@example.com"
@@ -184,3 +185,37 @@ def test_depth_limit(spark):
     df = spark.createDataFrame([(json.dumps(deep),), (json.dumps(shallow),)], "payload string")
     got = [r.payload for r in redact.scrub_payload_json(df, settings=S).collect()]
     assert "a@b.cd" in got[0] and R in got[1]
+
+
+def test_sensitive_keys_are_seen_in_json_text(spark):
+    """The quick look agrees with the walk: what it lets pass, the walk would not change."""
+    rng = random.Random(9)
+    names = ["a", "token", "api_key", "my.secret", "notoken", "tokens", "x", ":", ",", "Cookie", "é", 'q"uote', "back\\slash", "pass\tword", "user.pwd", ":.password"]
+
+    def made(depth):
+        kind = rng.randint(0, 5)
+        if depth == 0 or kind < 2:
+            return rng.choice([1, 1.5, None, True, "v", "token", '":"', 'say "password": x', "\\", "a\nb", "[", ":"])
+        if kind == 2:
+            return [made(depth - 1) for _ in range(rng.randint(0, 3))]
+        return {rng.choice(names): made(depth - 1) for _ in range(rng.randint(0, 3))}
+
+    texts = [json.dumps(made(4), ensure_ascii=rng.random() < 0.5, separators=(",", ":")) for _ in range(400)]
+    texts += ["{ cut", "", '{"pass\\u0077ord":1}', '{"n" : {"token"\n: 1}}', "[" * 3000 + "]" * 3000, '{"s":"' + "\\n" * 50_000 + '"}', '{"s":"' + "\\n" * 50_000 + '","jwt":1}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    walk = privacy.json_cleaner("acme", scrub=False, withhold=True)
+    rows = df.select("t", privacy.may_hold_sensitive_keys(F.col("t"), "acme").alias("may"), walk(F.col("t")).alias("out")).collect()
+    assert all(r.may or json.loads(r.t) == json.loads(r.out) for r in rows)
+    exact = [r for r in rows[:400] if not any(n in r.t for n in ('q\\"', "back", "pass\\t"))]
+    assert all(r.may == (r.t != r.out) for r in exact if r.t.isascii()) and sum(r.may for r in exact) > 30 and sum(not r.may for r in exact) > 30
+    assert [(r.may, r.out[:12]) for r in rows[400:]] == [
+        (True, '"[REDACTED]"'), (True, '"[REDACTED]"'), (True, '{"password":'), (True, '{"n":{"token'), (True, "[[[[[[[[[[[["), (False, '{"s":"\\n\\n\\n'), (True, '{"s":"\\n\\n\\n'),
+    ]
+
+
+def test_envelopes_that_cannot_be_walked_are_withheld(spark, tmp_path):
+    deep = "[" * 100_000 + "]" * 100_000
+    rows = [("/a", '{"password":"p"', 1), ("/a", deep, 2), ("/a", None, 3), ("/a", '{"x": 1.50}', 4), ("/a", '{"x": {"jwt": [1]}}', 5)]
+    envelopes.write_envelopes(spark.createDataFrame(rows, "path string, payload string, ts bigint"), str(tmp_path / "out"))
+    got = {r.ts: r.payload for r in envelopes.read_spool(spark, str(tmp_path / "out")).collect()}
+    assert got == {1: '"[REDACTED]"', 2: '"[REDACTED]"', 3: None, 4: '{"x": 1.50}', 5: '{"x":{"jwt":"[REDACTED]"}}'}
