@@ -188,6 +188,8 @@ STATEMENTS["query_fingerprint_stats"] = f"""WITH {DBROWS}, g AS (SELECT normaliz
   round(quantile_cont(duration_ms, 0.5), 4) AS p50_ms, round(quantile_cont(duration_ms, 0.95), 4) AS p95_ms, max(duration_ms) AS max_ms, sum(duration_ms)::BIGINT AS total_ms,
   sum(greatest(rows_affected, 0))::BIGINT AS rows_affected, min(timestamp_millis) AS first_seen, max(timestamp_millis) AS last_seen FROM db GROUP BY 1, 2, 3)
   SELECT {hashed('normalized_query')} AS query_hash, * FROM g"""
+STATEMENTS["merge_daily_statements"] = f"""SELECT query_hash, normalized_query, query_type, database_type, calls, errors, rows_affected, max_ms, total_ms, first_seen, last_seen, true AS p95_close
+  FROM ({STATEMENTS["query_fingerprint_stats"]})"""
 STATEMENTS["rows_affected"] = """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 <> 0 THEN o_custkey % 2 END AS row_count,
     CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 3 END AS affected, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 5 END AS length FROM orders)
   SELECT o_orderkey, coalesce(row_count, -1)::BIGINT AS postgresql, coalesce(affected, length, -1)::BIGINT AS mysql, coalesce(affected, length, -1)::BIGINT AS sqlite FROM c"""
@@ -362,6 +364,9 @@ STATEMENTS["crash_free_rates"] = f"""WITH {SESSIONS}, x AS (SELECT *, ended AND
   SELECT release, environment, count(*) AS sessions, count(*) FILTER (crashed) AS crashed_sessions, count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (crashed) AS crashed_users,
   round(1 - count(*) FILTER (crashed) / count(*), 6) AS crash_free_sessions, CASE WHEN count(DISTINCT user_id) > 0 THEN round(1 - count(DISTINCT user_id) FILTER (crashed) / count(DISTINCT user_id), 6) END AS crash_free_users
   FROM x GROUP BY ROLLUP (release, environment)"""
+STATEMENTS["merge_daily_sessions"] = f"""WITH {SESSIONS}, x AS (SELECT *, ended AND status = 'crashed' AS crashed FROM fold WHERE release <> '')
+  SELECT release, environment, count(*) AS sessions, count(*) FILTER (crashed) AS crashed_sessions, round(1 - count(*) FILTER (crashed) / count(*), 6) AS crash_free_sessions, true AS users_close
+  FROM x GROUP BY 1, 2"""
 STATEMENTS["crash_free_rates_by_day"] = f"""WITH {SESSIONS}, x AS (SELECT *, ended AND status = 'crashed' AS crashed, strftime(make_timestamp(started_ms * 1000), '%Y-%m-%d') AS day FROM fold WHERE release <> '')
   SELECT release, day, count(*) AS sessions, count(*) FILTER (crashed) AS crashed_sessions, count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (crashed) AS crashed_users,
   round(1 - count(*) FILTER (crashed) / count(*), 6) AS crash_free_sessions, CASE WHEN count(DISTINCT user_id) > 0 THEN round(1 - count(DISTINCT user_id) FILTER (crashed) / count(DISTINCT user_id), 6) END AS crash_free_users
@@ -401,7 +406,7 @@ STATEMENTS["write_tables"] = f"""SELECT kind, v0, CASE WHEN kind <> 'logs' THEN
   UNION ALL SELECT 'rejected', path, reason FROM (WITH {ENV} SELECT path, CASE WHEN path = '/elsewhere' THEN 'path'
     WHEN path = '/ingest/v1/http-requests' AND json_extract(payload, '$.requests') IS NULL OR path = '/ingest/v1/spans' AND json_extract(payload, '$.spans') IS NULL
       OR path = '/ingest/v1/db' AND json_extract(payload, '$.queries') IS NULL THEN 'rows' END AS reason FROM e) WHERE reason IS NOT NULL"""
-STATEMENTS["write_live_tables"] = STATEMENTS["write_tables"]
+STATEMENTS["write_live_tables"] = STATEMENTS["write_live_tables_once"] = STATEMENTS["write_tables"]
 STATEMENTS["pack_batches"] = f"""WITH {ENV}, n AS (SELECT *, row_number() OVER (PARTITION BY spool, path ORDER BY seq) - 1 AS k FROM e),
   m AS (SELECT spool, path, k // 7 AS batch, k, CASE path WHEN '/ingest/v1/http-requests' THEN 'requests' WHEN '/ingest/v1/spans' THEN 'spans' ELSE 'queries' END AS field,
     regexp_extract(payload, '^.."?(?:requests|spans|queries)":\\[(.*)\\].$', 1) AS body FROM n WHERE path IN ('/ingest/v1/http-requests', '/ingest/v1/spans', '/ingest/v1/db')),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from beaconry.functions import privacy
 from beaconry.operators import (
-    batching, correlate, database, delivery, errors, logs, outbound, redact, releases, requests, retention, routes,
+    batching, correlate, daily, database, delivery, errors, logs, outbound, redact, releases, requests, retention, routes,
     sampling, scopes, sessions,
 )
 from beaconry.plans import derive
@@ -902,3 +902,51 @@ def write_live_tables(spark, d):
     sinks.write_live_tables(in_order(rows, 3, "seq"), root, f"{root}/checkpoint", available_now=True).awaitTermination()
     sinks.compact_live_tables(spark, root)
     return _shown(lambda name: sinks.read_live_table(spark, root, name))
+
+
+@query
+def write_live_tables_once(spark, d):
+    """A tenth of the envelopes comes a second and a third time, after all others: every row is there once."""
+    rows = raw(spark, d, "envelopes").select("path", "payload", "ts", "seq")
+    last = rows.agg(F.max("seq")).first()[0]
+    again = [rows.where(F.col("seq") % 10 == 3 + i).withColumn("seq", F.lit(last + 1 + i)) for i in range(2)]
+    twice = rows.where(F.col("seq") % 10 == 3).withColumn("seq", F.lit(last + 3))
+    every = rows.unionByName(again[0]).unionByName(again[1]).unionByName(twice)
+    root = shared_folder(spark)
+    sinks.write_live_tables(in_order(every, 3, "seq"), root, f"{root}/checkpoint", available_now=True, once=True, slot_ms=10 * 86_400_000).awaitTermination()
+    sinks.compact_live_tables(spark, root)
+    return _shown(lambda name: sinks.read_live_table(spark, root, name))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """A daily table, stored in the order of days, so that a range of days skips files, and read again."""
+    folder = shared_folder(df.sparkSession) + "/daily"
+    df.repartitionByRange("day").sortWithinPartitions("day").write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@query
+def merge_daily_statements(spark, d):
+    """Exact counts from merged days, and whether the 95th percentile's rank is within 3.4 %, twice the sketch's error."""
+    rows = db_rows(spark, d, hashed=False)
+    merged = daily.merge_statements(_stored(daily.daily_statements(rows)))
+    rank = rows.join(merged.select(*daily.STATEMENT, F.col("p95_ms").alias("_p")), daily.STATEMENT).groupBy(*daily.STATEMENT).agg(
+        F.count_if(F.col("duration_ms") < F.col("_p")).alias("_below"), F.count_if(F.col("duration_ms") <= F.col("_p")).alias("_upto")
+    )
+    slack, at = 0.034 * F.col("calls") + 1, 0.95 * F.col("calls")
+    close = (F.col("_below") - slack <= at) & (at <= F.col("_upto") + slack)
+    names = ["calls", "errors", "rows_affected", "max_ms", "total_ms", "first_seen", "last_seen"]
+    return merged.join(rank, daily.STATEMENT).select("query_hash", *daily.STATEMENT, *names, close.alias("p95_close"))
+
+
+@query
+def merge_daily_sessions(spark, d):
+    """Exact session counts from merged days, and whether users are within 6.4 %, four times the sketch's error."""
+    folded = sessions.fold_sessions(raw(spark, d, "session_events")).where(F.col("release") != "")
+    merged = daily.merge_sessions(_stored(daily.daily_sessions(folded)))
+    exact = sessions.session_rates(folded).select("release", "environment", F.col("users").alias("_users"), F.col("crashed_users").alias("_crashed"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.064 * F.col(b)
+    return merged.join(exact, ["release", "environment"]).select(
+        "release", "environment", "sessions", "crashed_sessions", F.round("crash_free_sessions", 6).alias("crash_free_sessions"),
+        (near("users", "_users") & near("crashed_users", "_crashed")).alias("users_close"),
+    )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.functions.clock import DAY_MS
@@ -61,16 +62,64 @@ def _live(spark: SparkSession, root: str, table: str) -> ManifestTable:
     return ManifestTable(spark, f"{root}/{table}", T.StructType([*schema.fields, T.StructField("day", T.DateType())]), ["day"])
 
 
+# What a record is known by where it has ids of its own; others by all of their columns.
+RECORD_IDS = {"http_requests": ("trace_id", "span_id"), "spans": ("trace_id", "span_id")}
+# The keys of delivered records lie in slots of so much of their envelope's time.
+SLOT_MS = 3_600_000
+
+
+def _seen(spark: SparkSession, root: str, table: str) -> ManifestTable:
+    return ManifestTable(spark, f"{root}/_seen/{table}", "slot BIGINT, h1 BIGINT, h2 BIGINT", ["slot"])
+
+
+def _new_rows(rows: DataFrame, seen: ManifestTable, ids: Sequence[str], slot_ms: int) -> DataFrame:
+    """The rows, each once, whose key is in no delivered slot, with ``slot``, ``h1`` and ``h2``."""
+    whole = F.to_json(F.struct(*rows.columns))
+    key = whole
+    if ids:
+        known = [F.col(i).isNotNull() for i in ids]
+        key = F.when(functools.reduce(Column.__and__, known), F.concat_ws("\x1f", *ids)).otherwise(whole)
+    keyed = rows.withColumn("slot", F.floor(F.col("ts") / slot_ms)).withColumn("_key", key)
+    keyed = keyed.withColumns({"h1": F.xxhash64("_key"), "h2": F.xxhash64(F.lit("second"), "_key")}).drop("_key")
+    once = keyed.dropDuplicates(["slot", "h1", "h2"])
+    # A replayed envelope carries its first time, so only the slots of this micro-batch are asked.
+    slots = [r.slot for r in keyed.select("slot").distinct().collect() if r.slot is not None]
+    there = seen.read().where(F.col("slot").isin(slots) | F.col("slot").isNull()).withColumnsRenamed({c: f"_{c}" for c in ("slot", "h1", "h2")})
+    return once.join(there, F.col("slot").eqNullSafe(F.col("_slot")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_anti")
+
+
 def write_live_tables(
-    envelopes: DataFrame, root: str, checkpoint: str, every: str = FLUSH, available_now: bool = False
+    envelopes: DataFrame, root: str, checkpoint: str, every: str = FLUSH, available_now: bool = False,
+    once: bool = False, slot_ms: int = SLOT_MS,
 ) -> StreamingQuery:
     """:func:`write_tables` into tables of live files, which :func:`read_live_table` reads and :func:`compact_live_tables`
     keeps few: readers see whole micro-batches, before, while and after files are put together. Only the record kinds
-    that a micro-batch holds are written."""
+    that a micro-batch holds are written.
+
+    With ``once`` an envelope that is delivered again, however late, leaves no second row. A record is known by its
+    trace and span ids, or by all of its columns where it has none, and the time of its envelope; the hashes of what
+    was delivered are kept, sorted, in slots of that time, and a micro-batch asks the slots that it touches. Choose
+    ``slot_ms`` so that a micro-batch of fresh envelopes touches a few; it must stay the same for a ``root``.
+    """
     day = F.date_from_unix_date(F.floor(F.col("ts") / DAY_MS).cast("int"))
 
+    def save(rows: DataFrame, table: str, batch_id: int) -> None:
+        live = _live(rows.sparkSession, root, table)
+        if not once:
+            live.add(rows.withColumn("day", day), batch_id)
+            return
+        seen = _seen(rows.sparkSession, root, table)
+        if seen.snapshot().has(batch_id):
+            return
+        new = _new_rows(rows, seen, RECORD_IDS.get(table, ()), slot_ms).persist(StorageLevel.DISK_ONLY)
+        try:
+            # Rows first: a micro-batch cut short in between finds its rows in, and adds their keys.
+            live.add(new.withColumn("day", day).repartitionByRange("day", "h1"), batch_id)
+            seen.add(new.select("slot", "h1", "h2").repartitionByRange("slot", "h1").sortWithinPartitions("slot", "h1"), batch_id)
+        finally:
+            new.unpersist()
+
     def flush(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.withColumn("reason", rejection()).persist(StorageLevel.DISK_ONLY)
         try:
             kinds = batch.select(F.when(F.col("reason").isNull(), F.col("path")).alias("path")).distinct()
@@ -78,9 +127,9 @@ def write_live_tables(
             good = batch.where(F.col("reason").isNull())
             for table, path in TABLES.items():
                 if path in there:
-                    _live(spark, root, table).add(flatten(good, table, ("ts",)).withColumn("day", day), batch_id)
+                    save(flatten(good, table, ("ts",)), table, batch_id)
             if None in there:
-                _live(spark, root, "rejected").add(batch.where(F.col("reason").isNotNull()).withColumn("day", day), batch_id)
+                save(batch.where(F.col("reason").isNotNull()).select("path", "payload", "ts", "reason"), "rejected", batch_id)
         finally:
             batch.unpersist()
 
@@ -103,6 +152,9 @@ def compact_live_tables(spark: SparkSession, root: str, target_bytes: int = TARG
         live = _live(spark, root, table)
         fewer[table] = live.compact(target_bytes)
         live.vacuum(keep_seconds)
+        seen = _seen(spark, root, table)
+        seen.compact(target_bytes)
+        seen.vacuum(keep_seconds)
     return fewer
 
 

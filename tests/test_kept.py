@@ -136,3 +136,21 @@ def test_live_tables(spark, tmp_path):
     assert fewer["spans"] > 0 and {t: read(t) for t in before} == before
     days = spark.read.parquet(str(tmp_path / "plain/spans")).select("day").distinct().count()
     assert len(sinks._live(spark, root, "spans").snapshot().files) == days
+
+
+def test_replays_leave_no_second_row(spark, tmp_path):
+    """Rows with ids, rows without, and rejected ones: in one micro-batch, in later ones, and merged anew."""
+    span = lambda i: f'{{"traceId":"t{i}","spanId":"s{i}","durationMs":{i}}}'
+    spans, logs = "/ingest/v1/spans", "/ingest/v1/logs"
+    first = [(spans, f'{{"spans":[{span(1)},{span(2)}]}}', 1000), (spans, f'{{"spans":[{span(2)}]}}', 1000), (logs, '{"message":"m"}', 1000), ("/x", "{}", 1000), (spans, "{ cut", None)]
+    later = [(spans, f'{{"spans":[{span(3)},{span(1)}]}}', 1000), (logs, '{"message":"m"}', 1000), (logs, '{"message":"m"}', 5000), ("/x", "{}", 1000), (spans, "{ cut", None)]
+    schema = "path string, payload string, ts bigint"
+    for part in (first, later, first):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.02)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "live")
+    sinks.write_live_tables(stream, root, str(tmp_path / "cp"), available_now=True, once=True).awaitTermination()
+    assert sorted(r.span_id for r in sinks.read_live_table(spark, root, "spans").collect()) == ["s1", "s2", "s3"]
+    assert sorted(r.ts for r in sinks.read_live_table(spark, root, "logs").collect()) == [1000, 5000]
+    assert sinks.read_live_table(spark, root, "rejected").count() == 2
