@@ -913,8 +913,7 @@ def write_live_tables_once(spark, d):
     twice = rows.where(F.col("seq") % 10 == 3).withColumn("seq", F.lit(last + 3))
     every = rows.unionByName(again[0]).unionByName(again[1]).unionByName(twice)
     root = shared_folder(spark)
-    sinks.write_live_tables(in_order(every, 3, "seq"), root, f"{root}/checkpoint", available_now=True, once=True, slot_ms=10 * 86_400_000).awaitTermination()
-    sinks.compact_live_tables(spark, root)
+    sinks.write_live_tables(in_order(every, 2, "seq"), root, f"{root}/checkpoint", available_now=True, once=True, slot_ms=10 * 86_400_000).awaitTermination()
     return _shown(lambda name: sinks.read_live_table(spark, root, name))
 
 
