@@ -78,7 +78,7 @@ def test_http_rows_and_spans(spark):
 
 
 def test_errors_with_scope(spark):
-    ctx = requests.resolve_trace_context(starts(spark, {}, url="/orders/42?secret=1"), S)
+    ctx = requests.resolve_trace_context(starts(spark, {}, url="/parcels/8?key=2"), S)
     errs = spark.createDataFrame([("0", None, "boom", "E: boom\n at x", 1), ("0", "T", None, None, 2)], raw("request_errors"))
     rows = errors.build_error_rows(ctx, errs, S).withColumnRenamed("request_key", "scope_key")
     fork = [("0", 0, None, {"t": "1", "k": "a"}, None, None, ["f"], "info"), ("0", 1, ("7", None), {"k": "b"}, {"secret": "x"}, None, None, None)]
@@ -87,11 +87,11 @@ def test_errors_with_scope(spark):
     assert (got[1].exception_class, got[1].stack_trace, got[2].exception_class, got[2].stack_trace) == ("Error", ["E: boom", " at x"], "T", [])
     assert (got[1].level, got[1].fingerprint, got[1].user_id) == ("info", ["f"], "7")
     assert got[1].metadata["tag.k"] == "b" and got[1].metadata["tag.t"] == "1" and got[1].metadata["extra.secret"] == "[REDACTED]"
-    assert got[1].metadata["httpPath"] == "/orders/42" and got[1].metadata["httpMethod"] == "get"
+    assert got[1].metadata["httpPath"] == "/parcels/8" and got[1].metadata["httpMethod"] == "get"
     other = errors.apply_scope(rows.withColumn("scope_key", F.lit(None).cast("string")), merged, S).collect()
     assert len(other) == 2 and all(r.level == "error" and r.user_id is None for r in other)
     crumb = errors.request_breadcrumbs(ctx).first()
-    assert (crumb.message, crumb.category, crumb.data["host"], crumb.timestamp) == ("GET /orders/42", "http.server", "svc", "1970-01-01T00:00:01.000Z")
+    assert (crumb.message, crumb.category, crumb.data["host"], crumb.timestamp) == ("GET /parcels/8", "http.server", "svc", "1970-01-01T00:00:01.000Z")
     given = spark.createDataFrame([("t", 5), (None, 5)], "timestamp string, at_ms bigint")
     assert [r.timestamp for r in errors.stamp_breadcrumbs(given).collect()] == ["t", "1970-01-01T00:00:00.005Z"]
 
@@ -124,7 +124,7 @@ def log(spark, min_level="info", **kw):
 
 
 def test_logs(spark):
-    assert log(spark, arg_text="contact bob@example.com now").message == "contact [REDACTED] now"
+    assert log(spark, arg_text="parcel for ann.lee@example.org is late").message == "parcel for [REDACTED] is late"
     err = ("TypeError", "boom", "TypeError: boom\n at 10.0.0.1")
     row = log(spark, level="error", arg_kind="error", error=err)
     assert row.message == "boom" and row.metadata["error.type"] == "TypeError"
