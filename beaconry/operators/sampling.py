@@ -91,23 +91,28 @@ def before_send(df: DataFrame, hook: Callable[[dict], dict | None]) -> DataFrame
     def fits(row: dict, schema: pa.Schema) -> bool:
         try:
             pa.RecordBatch.from_pylist([row], schema=schema)
-        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+        except Exception:
             return False
         return True
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            given, made = [], []
             for row in batch.to_pylist():
                 try:
                     # The hook may change what it gets, also deep inside; a failed one leaves the row as it was.
                     out = hook(copy.deepcopy(row))
-                    if out is not None and not fits(out, batch.schema):
-                        out = row
                 except Exception:
                     out = row
                 if out is not None:
-                    rows.append(out)
-            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+                    given.append(row)
+                    made.append(out)
+            try:
+                whole = pa.RecordBatch.from_pylist(made, schema=batch.schema)
+            except Exception:
+                # Some result has other types: row by row, to find which.
+                kept = [out if fits(out, batch.schema) else row for row, out in zip(given, made, strict=True)]
+                whole = pa.RecordBatch.from_pylist(kept, schema=batch.schema)
+            yield whole
 
     return df.mapInArrow(apply, df.schema)
