@@ -146,45 +146,39 @@ def stamp_breadcrumbs(crumbs: DataFrame, at_ms: str = "at_ms") -> DataFrame:
 
 
 def attach_breadcrumbs(
-    errors: DataFrame, crumbs: DataFrame, n: int = MAX_BREADCRUMBS, error_id: str = "error_id", width: int = WIDTH
+    errors: DataFrame, crumbs: DataFrame, n: int = MAX_BREADCRUMBS, width: int = WIDTH
 ) -> DataFrame:
     """Add the newest ``n`` breadcrumbs recorded in the error's scope before it, oldest first.
 
     Both inputs carry (scope_key, seq), ``seq`` unique in its scope. Crumbs are numbered per scope
     and packed into blocks of ``n``; an error that follows ``k`` crumbs needs at most the block of
-    crumb ``k`` and the one before, so no scope is ever collected whole. Without crumbs: NULL.
+    crumb ``k`` and the one before, so no scope is ever collected whole. Without crumbs: NULL. An error's row goes
+    along whole, so errors need no id.
     """
     fields = [c for c in crumbs.columns if c not in ("scope_key", "seq")]
-    both = crumbs.select("scope_key", "seq", F.struct(*fields).alias("_crumb"), F.lit(None).cast("string").alias("_error")).unionByName(
-        errors.select(
-            "scope_key", "seq",
-            F.lit(None).cast(crumbs.select(F.struct(*fields).alias("c")).schema["c"].dataType).alias("_crumb"),
-            F.col(error_id).cast("string").alias("_error"),
-        )
-    )
-    isa = F.when(F.col("_crumb").isNotNull(), 1).otherwise(0).cast("bigint")
-    # At equal seq a crumb comes before the error; the error id settles the rest of the order.
-    counted = running_total(
-        both.withColumn("_after", F.coalesce("_error", F.lit(""))), ["scope_key"], ["seq", "_after"], isa, "_k", width
-    )
+    names = [c for c in errors.columns if c != "breadcrumbs"]
+    row, crumb = F.struct(*names), F.struct(*fields)
+    shapes = [f.dataType for f in (errors.select(row.alias("r")).schema["r"], crumbs.select(crumb.alias("c")).schema["c"])]
+    scoped = errors.where(F.col("scope_key").isNotNull())
+    both = crumbs.where(F.col("scope_key").isNotNull()).select("scope_key", "seq", F.lit(0).alias("_after"), crumb.alias("_crumb"), F.lit(None).cast(shapes[0]).alias("_row"))
+    both = both.unionByName(scoped.select("scope_key", "seq", F.lit(1).alias("_after"), F.lit(None).cast(shapes[1]).alias("_crumb"), row.alias("_row")))
+    # At equal seq a crumb comes before the error.
+    counted = running_total(both, ["scope_key"], ["seq", "_after"], (1 - F.col("_after")).cast("bigint"), "_k", width)
     # Each crumb goes to its own block and, as history, to the next one: at most 2 n crumbs a block.
     block = F.floor((F.col("_k") - 1) / n)
     blocks = (
-        counted.where(F.col("_crumb").isNotNull())
+        counted.where("_after = 0")
         .select("scope_key", "_k", "_crumb", F.explode(F.array(block, block + 1)).alias("_block"))
         .groupBy("scope_key", "_block")
         .agg(F.collect_list(F.struct("_k", "_crumb")).alias("_list"))
     )
-    found = (
-        counted.where(F.col("_error").isNotNull() & (F.col("_k") > 0))
-        .select("scope_key", "_error", "_k", block.alias("_block"))
-        .join(blocks, ["scope_key", "_block"])
-    )
+    found = counted.where("_after = 1").select("scope_key", "_row", "_k", block.alias("_block")).join(blocks, ["scope_key", "_block"], "left")
     k = F.col("_k")
     kept = F.filter("_list", lambda e: (e["_k"] <= k) & (e["_k"] > k - n))
     ordered = F.array_sort(kept, lambda a, b: (a["_k"] - b["_k"]).cast("int"))
-    found = found.select(F.col("_error"), F.transform(ordered, lambda e: e["_crumb"]).alias("breadcrumbs"))
-    return errors.join(found, errors[error_id].cast("string") == found["_error"], "left").drop("_error")
+    with_crumbs = found.select("_row.*", F.transform(ordered, lambda e: e["_crumb"]).alias("breadcrumbs"))
+    nothing = F.lit(None).cast(with_crumbs.schema["breadcrumbs"].dataType).alias("breadcrumbs")
+    return with_crumbs.unionByName(errors.where(F.col("scope_key").isNull()).select(*names, nothing))
 
 
 def group_errors(errors: DataFrame) -> DataFrame:

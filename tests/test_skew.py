@@ -154,3 +154,11 @@ def test_calls(spark, width):
     assert (row.method, row.host, row.path, row.duration_ms) == ("POST", "downstream.svc", "/api/widgets", 5)
     span = outbound.build_client_spans(paired).where("tags['statusCode'] = '201'").first()
     assert span.description == "POST downstream.svc/api/widgets" and span.data == '{"host":"downstream.svc","port":"8080","path":"/api/widgets"}'
+
+
+def test_breadcrumbs_of_errors_that_share_an_id(spark):
+    errs = spark.createDataFrame([("s", 5, "e"), ("s", 2, "e"), ("s", 5, None), (None, 1, "e")], "scope_key string, seq bigint, error_id string")
+    crumbs = spark.createDataFrame([("s", 1, "a"), ("s", 4, "b"), ("s", 6, "c"), (None, 0, "d")], "scope_key string, seq bigint, message string")
+    rows = errors.attach_breadcrumbs(errs, crumbs).collect()
+    got = sorted((str(r.scope_key), r.seq, str(r.error_id), [c.message for c in r.breadcrumbs or []]) for r in rows)
+    assert got == [("None", 1, "e", []), ("s", 2, "e", ["a"]), ("s", 5, "None", ["a", "b"]), ("s", 5, "e", ["a", "b"])]
