@@ -4,6 +4,7 @@ import time
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -113,22 +114,48 @@ def test_likeness_follows_shared_pieces(spark):
     assert abs(near - 2 / 3) < 0.2
 
 
-def test_bins_are_full_or_a_power_of_two():
+@pytest.mark.parametrize("longest", [40, 64, 300])
+def test_bins_are_full_or_a_power_of_two(longest):
     rng = random.Random(2)
-    bins, sequences = packing.HarmonicBins(64), []
-    for doc in range(500):
-        length, start = rng.randint(1, 300), 0
-        for size in bins.cut(length):
-            done = bins.put(size, (doc, start, size))
-            start += size
-            sequences += [done] if done else []
-        assert start == length
-    sequences += list(bins.close())
-    for sequence in sequences:
-        total = sum(size for _, (_, _, size) in sequence)
-        assert total <= 64 and total & (total - 1) == 0
-        assert [o for o, _ in sequence] == list(np.cumsum([0, *[p[2] for _, p in sequence]])[:-1])
-    assert sum(size for s in sequences for _, (_, _, size) in s) == sum(p[2] for s in sequences for _, p in s)
+    lengths = [rng.randint(1, longest) for _ in range(3_000)]
+    bins, early = packing.HarmonicBins(64, spare_bins=4, waiting=8), []
+    for doc, length in enumerate(lengths):
+        early += bins.add(doc, length)
+        assert len(bins.full) <= 2 * 64 + 8 and bins.spared <= 4 * 64
+    late = list(bins.close())
+    assert all(sum(size for _, _, size in s) == 64 for s in early)
+    last = [sum(size for _, _, size in s) for s in late]
+    assert sum(total < 64 for total in last) <= 6 and all(total & (total - 1) == 0 and total <= 64 for total in last)
+    held = {}
+    for doc, start, size in (piece for s in early + late for piece in s):
+        held.setdefault(doc, []).append((start, size))
+    for doc, length in enumerate(lengths):
+        got = sorted(held[doc])
+        assert [start for start, _ in got] == [sum(size for _, size in got[:i]) for i in range(len(got))]
+        assert sum(size for _, size in got) == length
+    # One sequence starts or goes on with at most one document that it doesn't end.
+    assert all(sum(start + size < lengths[doc] for doc, start, size in s) <= 1 for s in early + late)
+
+
+def test_documents_that_fit_stay_whole():
+    """One document in ten is longer than a bin: its tokens fill the bins, and few others are cut."""
+    rng = random.Random(3)
+    lengths = [rng.randint(2_049, 9_000) if i % 10 == 0 else int(2_048 ** rng.random()) for i in range(2_000)]
+    bins, pieces_ = packing.HarmonicBins(2_048), Counter()
+    for doc, length in enumerate(lengths):
+        for s in bins.add(doc, length):
+            pieces_.update(d for d, _, _ in s)
+    for s in bins.close():
+        pieces_.update(d for d, _, _ in s)
+    fit = [doc for doc, length in enumerate(lengths) if length <= 2_048]
+    assert sum(pieces_[doc] > 1 for doc in fit) < 0.01 * len(fit)
+
+
+def test_a_bin_without_spares_takes_the_class_of_its_documents():
+    bins = packing.HarmonicBins(60)
+    assert [s for i in range(6) for s in bins.add(i, 20)] == [[(0, 0, 20), (1, 0, 20), (2, 0, 20)], [(3, 0, 20), (4, 0, 20), (5, 0, 20)]]
+    with pytest.raises(ValueError, match="positive"):
+        packing.HarmonicBins(0)
 
 
 def test_packing(docs, empty):
