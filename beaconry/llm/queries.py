@@ -61,7 +61,8 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.shard_documents(_table(spark, folder, "documents"), SHARD_BYTES, whole=False)
+    docs = _table(spark, folder, "documents")
+    return sharding.read_shards(spark, sharding.write_shards(sharding.shard_documents(docs, SHARD_BYTES)), ["doc_id"])
 
 
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +127,9 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY r, doc_id
 """
 
-_SHARDS = f"""
+
+def shards_sql(limit: int) -> str:
+    return f"""
 WITH hashed AS (
   SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents
@@ -135,13 +138,14 @@ WITH hashed AS (
   FROM hashed, generate_series(0, 60) AS g(d) GROUP BY 1, 2
 ), best AS (
   SELECT hashed.doc_id, n_bytes, h, min(s.d) AS depth FROM hashed
-  JOIN sums s ON s.p = h >> (60 - s.d) AND (s.shard_bytes <= {SHARD_BYTES} OR s.shard_rows = 1) GROUP BY ALL
+  JOIN sums s ON s.p = h >> (60 - s.d) AND (s.shard_bytes <= {limit} OR s.shard_rows = 1) GROUP BY ALL
 )
 SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(h >> (60 - depth)), 64, '0'), depth) END AS shard,
   depth AS shard_depth, n_bytes, shard_bytes, shard_rows
 FROM best JOIN sums ON sums.d = depth AND sums.p = h >> (60 - depth)
 """
 
+
 _WARC = """
 SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, payload_digest,
   CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
@@ -246,6 +250,6 @@ SELECT best.word, form, top AS root, n, n_near, form_n FROM best JOIN (SELECT wo
 """
 
 ORACLE: dict[str, str] = {
-    "op2_warc": _WARC, "op3_line_dedup": _LINE_DEDUP, "op7_extendible_shards": _SHARDS,
+    "op2_warc": _WARC, "op3_line_dedup": _LINE_DEDUP, "op7_extendible_shards": shards_sql(SHARD_BYTES),
     "op11_conversation_repair": _CONVERSATIONS, "op12_spelling_variants": _SPELLING,
 }

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from beaconry.llm.store import materialise
-from beaconry.operators.skew import numbered
+from beaconry.llm.store import materialise, shared_folder
 
 # Bits of a routing hash, the head of an MD5 sum.
 BITS = 60
@@ -54,17 +53,16 @@ def directory(sizes: DataFrame, limit: int, start_bits: int) -> tuple[DataFrame,
         bits = min(bits + ROUND, BITS)
 
 
-def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id", whole: bool = True) -> DataFrame:
+def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     """Deal documents to shards whose text bytes stay within ``limit``.
 
     Adds shard (text: the bits that its rows' hashes begin with, "" for an undivided table), shard_depth, n_bytes,
     shard_bytes and shard_rows; columns of these names are replaced. Documents of one key share a hash. Where they
     alone are over the limit, their shard goes on splitting by a hash of key and text (depth above BITS); equal
     rows, which no hash parts, are numbered and cut into chained shards ("bits+n"). A single document over the limit
-    is a shard of its own. A null key is an empty text, a null text has no bytes; no rows give no rows. ``whole``
-    keeps all columns, else only the key is kept.
+    is a shard of its own. A null key is an empty text, a null text has no bytes; no rows give no rows.
     """
-    names = [c for c in docs.columns if (whole or c == key) and c not in ("shard", "shard_depth", "n_bytes", "shard_bytes", "shard_rows")]
+    names = [c for c in docs.columns if c not in ("shard", "shard_depth", "n_bytes", "shard_bytes", "shard_rows")]
     keyed = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
     body = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.octet_length(body).cast("long").alias("bytes"), routing(keyed).alias("h"), F.md5(body).alias("twin"), keyed.alias("key"))
@@ -88,7 +86,7 @@ def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id", whole: boo
     dealt = dealt.unionByName(parted.where(F.col("depth").isNotNull()))
     if not over2.isEmpty():
         same = rest.join(over2.select(F.col("prefix").alias("hot")), F.col("h") == F.col("hot"), "left_semi")
-        same = numbered(same, ["h"], ["twin"], "n")
+        same = _numbered(same)
         per = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("bytes"))).cast("long")
         link = F.floor((F.col("n") - 1) / per)
         chained = same.withColumn("shard", F.concat("lead", F.lpad(F.bin("h"), BITS, "0"), F.lit("+"), link.cast("string")))
@@ -118,6 +116,46 @@ def _result(dealt: DataFrame, names: list[str]) -> DataFrame:
     return dealt.select(*kept, "shard", F.col("depth").alias("shard_depth"), F.col("bytes").alias("n_bytes"), "shard_bytes", "shard_rows")
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One Parquet folder per shard, each written by one task: a shard fits a task by its limit."""
-    sharded.repartition("shard").write.partitionBy("shard").parquet(path)
+def _numbered(same: DataFrame) -> DataFrame:
+    """Number the rows of each h from 1 as n, however many there are.
+
+    The rows are written once with the number that the writing task gave them, so a retried task sees the same. They
+    are counted within (h, writing task), and each such group starts where those of smaller tasks end.
+    """
+    same = materialise(same.withColumn("at", F.monotonically_increasing_id()), "shard-equals")
+    same = same.withColumn("task", F.shiftright("at", 33))
+    sizes = same.groupBy("h", "task").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("h").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("h", "task", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("h", "task").orderBy("at"))
+    return same.withColumn("n", within).join(starts, ["h", "task"]).withColumn("n", F.col("n") + F.col("start")).drop("at", "task", "start")
+
+
+# Folder names keep the bits apart from numbers, and from the empty text of an undivided table.
+_FOLDER, _SCHEMA = "shard-", "_schema"
+
+
+def write_shards(sharded: DataFrame, path: str | None = None) -> str:
+    """Write each shard of :func:`shard_documents` as a Parquet folder of its own, by one task; the folder of all.
+
+    A shard fits a task by its limit. ``path`` is by default a new folder below ``spark.checkpoint.dir``.
+    """
+    path = path or shared_folder(sharded.sparkSession, "shards")
+    named = sharded.withColumn("shard", F.concat(F.lit(_FOLDER), "shard")).drop("shard_bytes", "shard_rows")
+    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    # A table without rows has no shard that could tell its columns.
+    named.limit(0).write.parquet(f"{path}/{_SCHEMA}")
+    return path
+
+
+def read_shards(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The rows of written shards with n_bytes, shard_bytes and shard_rows as the files hold them.
+
+    ``columns``: those to return beside shard and the sizes (default all). A filter on shard reads its folder only.
+    """
+    rows = spark.read.schema(spark.read.parquet(f"{path}/{_SCHEMA}").schema).parquet(path)
+    rows = rows.withColumn("shard", F.substr("shard", F.lit(len(_FOLDER) + 1)))
+    rows = rows.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    own = [c for c in rows.columns if c not in ("shard", "shard_depth", "n_bytes") and (columns is None or c in columns)]
+    sizes = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows"))
+    return rows.select(*[F.col(f"`{c}`") for c in own], "shard", "shard_depth", "n_bytes").join(sizes, "shard").select(*[F.col(f"`{c}`") for c in own], "shard", "shard_depth", "n_bytes", "shard_bytes", "shard_rows")

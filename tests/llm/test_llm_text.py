@@ -1,8 +1,10 @@
 """Text operators against plain Python: quality, line dedup, fingerprints, packing, pieces, token files, shards."""
 
-import time
 import hashlib
 import random
+import re
+import struct
+import time
 import zlib
 from collections import Counter
 
@@ -10,9 +12,11 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from beaconry.llm import fingerprint, linededup, packing, pieces, quality, sharding, tokenfile
+from beaconry.llm.queries import shards_sql
 from beaconry.llm.words import WordEncoder, shingle_sets
 
 # Nulls, empties, ties, repeated rows, a very long text, and columns whose names the operators use inside.
@@ -114,6 +118,61 @@ def test_likeness_follows_shared_pieces(spark):
     assert abs(near - 2 / 3) < 0.2
 
 
+def _pieces_by_hand(paragraph):
+    """Runs of words that end with a word whose last character is a cut, or with the twelfth."""
+    out, run = [], []
+    for word in re.finditer(r"[^ \t\n\x0b\f\r]+", paragraph):
+        run.append(word)
+        last = ord(word.group()[-1])
+        if len(run) == fingerprint.LONGEST_PIECE or (0x21 <= last < 0x100 and last % 4 == 2):
+            out.append(run)
+            run = []
+    return [paragraph[r[0].start() : r[-1].end()] for r in [*out, *([run] if run else [])]]
+
+
+def _fingerprint_by_hand(text):
+    """Plain sums, without the packing of lanes: pieces, equal lanes, signed lanes."""
+    equal, lanes, n = [0] * fingerprint.EQUAL, [[0, 0, 0] for _ in range(fingerprint.LIKE)], 0
+    for paragraph in (text or "").split("\n"):
+        for i in range(fingerprint.EQUAL // 2):
+            h = xxhash.xxh64_intdigest(paragraph.encode(), xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+            for j, part in enumerate((h & 0xFFFFFFFF, h >> 32)):
+                equal[2 * i + j] = (equal[2 * i + j] + part) % 2**32
+        for piece in _pieces_by_hand(paragraph):
+            n, h = n + 1, xxhash.xxh64_intdigest(piece.encode(), 42)
+            for i in range(fingerprint.LIKE):
+                for j in range(3):
+                    lanes[i][j] += h >> (i + 21 * j) & 1
+    return n, equal, lanes
+
+
+def test_fingerprints_by_hand(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abnéöxyz.\u4e2d", k=rng.randint(1, 7)))
+    texts = ["\n".join("  ".join(word() for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(1, 30))) for _ in range(30)]
+    texts = [None, "", "  \n\t", "x " * 100, " lead and trail \n", *texts, *(t[: len(t) // 2] + texts[0] for t in texts)]
+    df = spark.createDataFrame(list(enumerate(zip(texts, texts[1:], strict=False))), "i int, t struct<a: string, b: string>")
+    fa, fb = fingerprint.fingerprint(F.col("t.a")), fingerprint.fingerprint(F.col("t.b"))
+    for r in df.select("t", fa.alias("fa"), fingerprint.likeness(fa, fb).alias("near")).collect():
+        (n, equal, lanes), (m, other, lanes2) = _fingerprint_by_hand(r.t.a), _fingerprint_by_hand(r.t.b)
+        assert r.fa[0] == n and r.fa[1 : 1 + len(equal)] == equal
+        assert r.fa[1 + len(equal) :] == [sum(c << (21 * j) for j, c in enumerate(three)) for three in lanes]
+        x, y = (np.array([2 * c - k for three in ls for c in three], dtype=float) for ls, k in ((lanes, n), (lanes2, m)))
+        norm = (x * x + y * y).sum()
+        want = 1 if (n, equal, lanes) == (m, other, lanes2) else min(1, max(0, 2 * (x * y).sum() / norm)) if norm else 0
+        assert abs(r.near - want) < 1e-9
+
+
+@pytest.mark.parametrize("at", [0, 1_000, 1_999])
+def test_one_word_more_is_a_near_copy(spark, at):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghilmnoprstuv", k=6)) for _ in range(2_000)]
+    df = spark.createDataFrame([(" ".join(words), " ".join([*words[:at], "inserted", *words[at:]]), " ".join(reversed(words)))], "a string, b string, c string")
+    a, b, c = (fingerprint.fingerprint(F.col(x)) for x in "abc")
+    row = df.select(fingerprint.likeness(a, b).alias("near"), fingerprint.likeness(a, c).alias("far")).first()
+    assert row.near >= 0.95 and row.far < 0.6
+
+
 @pytest.mark.parametrize("longest", [40, 64, 300])
 def test_bins_are_full_or_a_power_of_two(longest):
     rng = random.Random(2)
@@ -316,6 +375,45 @@ def test_shards(spark, empty):
     assert sharding.shard_documents(empty, 10_000).count() == 0
 
 
+def test_written_shards(spark, docs, empty, tmp_path):
+    """Nulls, repeated ids and clashing columns; every shard is one file that holds what the directory says."""
+    path = sharding.write_shards(sharding.shard_documents(docs, 100), str(tmp_path / "shards"))
+    got = sharding.read_shards(spark, path).toPandas()
+    assert set(docs.columns) | {"shard_depth", "n_bytes", "shard_bytes", "shard_rows"} == set(got.columns)
+    assert Counter(got.text.where(got.text.notna(), None)) == Counter(t for _, t in ROWS)
+    want = sharding.shard_documents(docs, 100).toPandas()
+    for c in ("shard", "shard_depth", "shard_bytes", "shard_rows"):
+        assert sorted(got[c]) == sorted(want[c])
+    folders = [f for f in (tmp_path / "shards").iterdir() if f.is_dir() and f.name != "_schema"]
+    assert len(folders) == got.shard.nunique() > 5 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+    one = sharding.read_shards(spark, path, ["doc_id"]).where(F.col("shard") == got.shard[0])
+    assert one.columns == ["doc_id", "shard", "shard_depth", "n_bytes", "shard_bytes", "shard_rows"]
+    assert one.count() == got.shard_rows[0]
+    none = sharding.read_shards(spark, sharding.write_shards(sharding.shard_documents(empty, 100), str(tmp_path / "none")))
+    assert none.count() == 0 and set(none.columns) == set(got.columns)
+    whole = sharding.write_shards(sharding.shard_documents(docs, 10**9), str(tmp_path / "whole"))
+    assert set(sharding.read_shards(spark, whole).toPandas().shard) == {""}
+
+
+def test_many_shards_by_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = con.execute(shards_sql(64 << 10)).df()
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    got = sharding.read_shards(spark, sharding.write_shards(sharding.shard_documents(table, 64 << 10)), ["doc_id"]).toPandas()
+    assert got.shard.nunique() >= 50
+    assert sorted(got[want.columns.tolist()].itertuples(index=False, name=None)) == sorted(want.itertuples(index=False, name=None))
+
+
+def test_equal_rows_are_numbered_without_gaps(spark):
+    rows = spark.range(1_000).repartition(7).selectExpr("id % 2 as h", "'same' as twin")
+    got = sharding._numbered(rows).toPandas()
+    assert [sorted(g.n) for _, g in got.groupby("h")] == [list(range(1, 501))] * 2
+
+
 def test_hot_keys_split_to_the_limit(spark):
     """One key with a third of the rows, most of them equal rows: second hash, then chained shards."""
     rows = [(i, "a" * 100, f"k{i}") for i in range(600)] + [(1, f"text {i} " + "b" * 90, "hot") for i in range(150)] + [(2, "c" * 99, "hot")] * 150
