@@ -12,6 +12,7 @@ subtracting their vectors. Its parts:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,8 +25,12 @@ ONES = sum(1 << (SLOT_BITS * i) for i in range(3))
 LANE = (1 << LANE_BITS) - 1
 FULL = ONES * LANE
 GUARD = ONES << LANE_BITS
-# A piece: so many words of a paragraph.
-PIECE = r"[^\s]+(?:[^\S\n]+[^\s]+){0,3}"
+# A piece: words of a paragraph up to one that ends in such a character, at most LONGEST_PIECE of them. Cuts depend on
+# the words alone, so an inserted or removed word changes its own piece and leaves the later ones as they are, up
+# to the next cut at most. Only words that end in Latin-1 characters cut; other scripts have strides of LONGEST_PIECE.
+LONGEST_PIECE = 12
+_CUT = "".join(re.escape(chr(c)) for c in range(0x21, 0x100) if c % 4 == 2 and not chr(c).isspace())
+PIECE = rf"(?:[^\s]*[^\s{_CUT}][^\S\n]+){{0,{LONGEST_PIECE - 1}}}[^\s]+"
 
 
 def _long(n: int) -> Column:
