@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -42,10 +43,11 @@ def _text(system: fs.FileSystem, path: str) -> str:
 
 
 def _write(system: fs.FileSystem, folder: str, name: str, data: bytes) -> None:
-    """The file is there whole or not at all; writing it again gives the same."""
-    with system.open_output_stream(f"{folder}/.{name}.part") as out:
+    """The file is there whole or not at all; of several that write it at the same time the last one stays."""
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as out:
         out.write(data)
-    system.move(f"{folder}/.{name}.part", f"{folder}/{name}")
+    system.move(part, f"{folder}/{name}")
 
 
 def _listed(system: fs.FileSystem, folder: str) -> list[tuple[str, int]]:
@@ -200,7 +202,7 @@ class EnvelopeStream(DataSourceStreamReader):
 
 @dataclass
 class EnvelopeWriter(DataSourceArrowWriter):
-    """One file per row (file_name, value); a repeated task writes the same files again."""
+    """One file per row (file_name, value), the last one of a name; a repeated task writes the same files again."""
 
     folder: str
 
@@ -210,7 +212,8 @@ class EnvelopeWriter(DataSourceArrowWriter):
         with ThreadPoolExecutor(THREADS) as pool:
             for batch in iterator:
                 names, values = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("file_name", "value"))
-                list(pool.map(lambda n, v: _write(system, path, n, (v or "").encode()), names, values))
+                last = dict(zip(names, values, strict=True))
+                list(pool.map(lambda n: _write(system, path, n, (last[n] or "").encode()), last))
         return WriterCommitMessage()
 
 
@@ -256,6 +259,6 @@ def file_stream(spark: SparkSession, folder: str, **options: str) -> DataFrame:
 
 
 def write_files(rows: DataFrame, folder: str) -> None:
-    """One file per row (file_name, value), each there whole or not at all."""
+    """One file per row (file_name, value), each there whole or not at all; rows of one name are one file."""
     register(rows.sparkSession)
     rows.select("file_name", "value").write.format(FORMAT).mode("append").save(folder)

@@ -36,6 +36,16 @@ def test_read(spark, tmp_path):
     assert sorted(r.file_name for r in bad.collect()) == ["102-c.json", "103-d.json", "104-e.json", "99-z.json"]
 
 
+def test_rows_of_one_name(spark, tmp_path):
+    """In one task, which writes them at the same time, and in several."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "notes-x.txt").otherwise(F.concat(F.lit("7-"), (F.col("id") % 5).cast("string"), F.lit(".json"))).alias("file_name"), F.lit("x" * 4000).alias("value"))
+    for parts in (1, 4):
+        folder = str(tmp_path / f"in{parts}")
+        files.write_files(rows.repartition(parts), folder)
+        assert sorted(os.listdir(folder)) == [*(f"7-{i}.json" for i in range(5)), "notes-x.txt"]
+        assert {r.value for r in files.files(spark, folder).collect()} == {"x" * 4000}
+
+
 def test_write_redacts(spark, tmp_path):
     df = spark.createDataFrame([(ERR, '{"password":"x","n":{"token":1}}', 1), (START, '{"k":"é"}', 2)], "path string, payload string, ts bigint")
     env.write_envelopes(df, str(tmp_path / "out"))
