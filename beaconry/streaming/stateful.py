@@ -7,10 +7,11 @@ time are the output of operators of their own.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -21,6 +22,7 @@ from beaconry.operators.requests import request_row
 from beaconry.operators.sampling import exclude_ingest_host
 from beaconry.operators.sessions import KIND_RANK, STATUSES
 from beaconry.settings import Settings
+from beaconry.streaming.buckets import BUCKETS, STATE, bucket, codes, firsts, gather, pack
 
 
 def _requests(ctx: DataFrame, ends: DataFrame, delay: str, within: str | None, how: str) -> DataFrame:
@@ -108,133 +110,139 @@ def stream_open_calls(
 _CALL_KINDS = {"at_ms": "BIGINT", "sampled": "BOOLEAN", "status_code": "INT"}
 _CALL_TYPES = [_CALL_KINDS.get(c, "STRING") for c in CALL_FIELDS]
 _CALL_ROW = ", ".join(f"{c} {t}" for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True))
-_CALL_STATE = f"waiting ARRAY<STRUCT<rank: ARRAY<BIGINT>, {_CALL_ROW.replace(' ', ': ').replace(',:', ',')}>>"
 _CALL_OUT = f"call_key STRING, {_CALL_ROW}, after_kind STRING, after_at BIGINT, after_code INT"
-_PANDAS = {"BIGINT": "Int64", "INT": "Int32", "BOOLEAN": "boolean", "STRING": "object"}
-_AT, _KIND, _CODE = (1 + CALL_FIELDS.index(c) for c in ("at_ms", "kind", "status_code"))
+_ARROW = {"BIGINT": pa.int64(), "INT": pa.int32(), "BOOLEAN": pa.bool_(), "STRING": pa.string()}
 
 
-def _call_events(batch: pd.DataFrame) -> Iterator[tuple]:
-    """(rank, fields of the call event) as plain Python values."""
-    columns = [[[int(x) for x in rank] for rank in batch["rank"]]]
-    for name, kind in zip(CALL_FIELDS, _CALL_TYPES, strict=True):
-        plain = {"STRING": str, "BOOLEAN": bool}.get(kind, int)
-        columns.append([None if pd.isna(v) else plain(v) for v in batch[name]])
-    return zip(*columns, strict=True)
+def _pair_calls(within_ms: int, ranks: int):
+    """Pair the events of a bucket of call keys that the watermark has passed.
 
-
-def _pair_calls(within_ms: int):
-    """Pair the events of one call key that the watermark has passed.
-
-    The state holds the events not passed yet, and the last passed one while it is a creation that may still be ended.
+    The state holds the events not passed yet, and of each key the last passed one while it is a creation that may
+    still be ended.
     """
+    order = [f"rank{i}" for i in range(ranks)]
+    kinds = [("call_key", pa.string()), *((c, pa.int64()) for c in order), *((c, _ARROW[t]) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True))]
+    schema = pa.schema(kinds)
 
     def pair(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting = [tuple(e) for e in state.get[0]] if state.exists else []
-        for batch in batches:
-            waiting += _call_events(batch)
-        waiting.sort(key=lambda e: (e[_AT], e[0]))
+        events = gather(batches, schema, state.get[0] if state.exists else None)
+        at, call = events["at_ms"].to_numpy("int64"), codes(events["call_key"])
+        places = np.lexsort((*(events[c].to_numpy("int64") for c in reversed(order)), at, call))
+        events, at, call = events.take(places), at[places], call[places]
+        create = (events["kind"] == "create").to_numpy(bool)
+        done = events["kind"].isin(COMPLETIONS).to_numpy(bool)
         mark = state.getCurrentWatermarkMs()
-        passed = [e for e in waiting if e[_AT] < mark]
-        rest = waiting[len(passed) :]
-        calls = [
-            (key[0], *a[1:], b[_KIND], b[_AT], b[_CODE])
-            for a, b in zip(passed, passed[1:])
-            if a[_KIND] == "create" and b[_KIND] in COMPLETIONS and b[_AT] - a[_AT] <= within_ms
-        ]
-        still = [e for e in passed[-1:] if e[_KIND] == "create" and e[_AT] + within_ms >= mark]
-        if still or rest:
-            state.update((still + rest,))
-            state.setTimeoutTimestamp(max(mark + 1, rest[0][_AT] if rest else still[0][_AT] + within_ms))
+        passed = at < mark
+        same = call[1:] == call[:-1]
+        ends = np.flatnonzero(same & create[:-1] & done[1:] & passed[1:] & (at[1:] - at[:-1] <= within_ms))
+        last = passed & np.r_[~(same & passed[1:]), np.ones(len(at[:1]), bool)]
+        still = last & create & (at + within_ms >= mark)
+        if (still | ~passed).any():
+            state.update((pack(events[still | ~passed], schema),))
+            state.setTimeoutTimestamp(max(mark + 1, int(np.r_[at[~passed], at[still] + within_ms].min())))
         elif state.exists:
             state.remove()
-        if calls:
-            kinds = ["STRING", *_CALL_TYPES, "STRING", "BIGINT", "INT"]
-            names = ["call_key", *CALL_FIELDS, "after_kind", "after_at", "after_code"]
-            yield pd.DataFrame({n: pd.Series(v, dtype=_PANDAS[t]) for n, v, t in zip(names, zip(*calls, strict=True), kinds, strict=True)})
+        if len(ends):
+            calls, after = events.iloc[ends].drop(columns=order).reset_index(drop=True), events.iloc[ends + 1]
+            yield calls.assign(after_kind=after["kind"].array, after_at=after["at_ms"].array, after_code=after["status_code"].array)
 
     return pair
 
 
 def stream_reused_calls(
-    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within_ms: int = 600_000, order: tuple[str, ...] = ("at_ms", "seq")
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within_ms: int = 600_000, order: tuple[str, ...] = ("at_ms", "seq"),
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Finished calls from a stream whose call keys may come again, paired as the batch form pairs them.
 
     Events wait until the watermark passes them (``delay`` is how late they may arrive) and are then taken in
     event order, so the arrival order does not show. ``within_ms`` is how long a call may take; a completion
     later than that ends nothing. ``order`` columns beside ``at_ms`` are whole numbers. The state of a key is what
-    arrived within the delay. :func:`stream_paired_calls` needs no Python where a key is created once.
+    arrived within the delay, held in ``buckets`` of keys (see :mod:`~beaconry.streaming.buckets`). :func:`stream_paired_calls` needs no Python where a key is created once.
     """
-    rank = F.array(*[F.col(c).cast("bigint") for c in order if c != "at_ms"]).cast("array<bigint>")
+    ranks = [F.coalesce(F.col(c).cast("bigint"), F.lit(-(2**63))).alias(f"rank{i}") for i, c in enumerate(c for c in order if c != "at_ms")]
     heard = heard_events(call_events, ingest_host).where(F.col("at_ms").isNotNull())
-    events = heard.select("call_key", rank.alias("rank"), *[F.col(c).cast(t) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True)])
+    events = heard.select("call_key", *ranks, *[F.col(c).cast(t) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True)])
     timed = events.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", delay)
-    calls = timed.groupBy("call_key").applyInPandasWithState(
-        _pair_calls(within_ms), _CALL_OUT, _CALL_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    calls = timed.withColumn("_bucket", bucket("call_key", buckets)).groupBy("_bucket").applyInPandasWithState(
+        _pair_calls(within_ms, len(ranks)), _CALL_OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     after = F.struct(F.col("after_kind").alias("kind"), F.col("after_at").alias("at_ms"), F.col("after_code").alias("status_code"))
     return finished_calls(calls.withColumn("_after", after))
 
 
-_SESSION_STATE = "start_seq BIGINT, start_ms BIGINT, release STRING, environment STRING, user_id STRING, rank INT, ended BOOLEAN"
 _SESSION_OUT = (
     "session_id STRING, release STRING, environment STRING, user_id STRING, started_ms BIGINT, ended_ms BIGINT, "
     "duration_ms BIGINT, status STRING, ended BOOLEAN"
 )
-
-
-_SESSION_NAMES = [c.split()[0] for c in _SESSION_OUT.split(", ")]
-_NOTHING = (None, None, None, None, None, 0, False)
+_SESSION_READ = ["seq", "kind", "at_ms", "final_status", "release", "environment", "user_id"]
+_SESSION_EVENT = pa.schema([("session_id", pa.string()), *((c, pa.int64() if c in ("seq", "at_ms") else pa.string()) for c in _SESSION_READ)])
+_SESSION_STATE = pa.schema([
+    ("session_id", pa.string()), ("seq", pa.int64()), ("at_ms", pa.int64()), ("release", pa.string()), ("environment", pa.string()),
+    ("user_id", pa.string()), ("rank", pa.int64()), ("ended", pa.bool_()),
+])
 
 
 def _fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Advance one session by one micro-batch. The state is seven scalars.
-
-    Of the batch only sequence numbers and ranks are held, plus the earliest start and the ends.
-    """
-    seq, start_ms, release, environment, user_id, rank, ended = state.get if state.exists else _NOTHING
-    if ended:
+    """Advance the sessions of a bucket by one micro-batch. The state of a session is seven scalars."""
+    known = gather([], _SESSION_STATE, state.get[0] if state.exists else None)
+    events = gather(batches, _SESSION_EVENT)
+    events = events[events["seq"].notna()]
+    of = codes(pd.concat([known["session_id"], events["session_id"]], ignore_index=True))
+    begun, of = of[: len(known)], of[len(known) :]
+    # One row per session, by its code: those of the state, then what starts in this micro-batch.
+    seq, kind = events["seq"].to_numpy("int64"), events["kind"].to_numpy(object)
+    new = np.flatnonzero((kind == "start") & ~np.isin(of, begun))
+    new = new[firsts(of[new], seq[new])]
+    began = events.iloc[new][["session_id", "seq", "at_ms", "release", "environment", "user_id"]].assign(rank=0, ended=False)
+    began = began.astype({"rank": "Int64", "ended": "boolean"})
+    sessions = pd.concat([known, began], ignore_index=True) if len(known) else began.reset_index(drop=True)
+    if not len(sessions):
+        return
+    place = np.full(max(begun.max(initial=-1), of.max(initial=-1)) + 1, -1)
+    place[np.r_[begun, of[new]]] = np.arange(len(sessions))
+    at = place[of]
+    ended = sessions["ended"].to_numpy(bool)
+    open_ = (at >= 0) & ~ended[at]
+    touched = np.unique(at[open_])
+    if not len(touched):
         return
-    begin, ends, ranked = None, [], []
-    for batch in batches:
-        for event in zip(*(batch[c].tolist() for c in _SESSION_READ)):
-            at, kind = event[0], event[1]
-            if kind == "start":
-                if seq is None and (begin is None or at < begin[0]):
-                    begin = event
-            elif kind == "end":
-                ends.append(event)
-            elif kind in KIND_RANK:
-                ranked.append((at, KIND_RANK[kind]))
-    if seq is None:
-        if begin is None:
-            return
-        seq, _, start_ms, _, release, environment, user_id = begin
-    end = min((e for e in ends if e[0] > seq), default=None, key=lambda e: e[0])
-    limit = math.inf if end is None else end[0]
-    rank = max([rank, *(r for at, r in ranked if seq < at < limit)])
-    status, ended_ms, duration = STATUSES[rank], None, None
-    if end is not None:
-        ended_ms, duration = end[2], max(0, end[2] - start_ms)
-        status = end[3] if isinstance(end[3], str) else status
-    state.update((seq, start_ms, release, environment, user_id, rank, end is not None))
-    row = (key[0], release, environment, user_id, start_ms, ended_ms, duration, status, end is not None)
-    yield pd.DataFrame({n: pd.Series([v], dtype=t) for n, v, t in zip(_SESSION_NAMES, row, _SESSION_TYPES)})
+    behind = open_ & (seq > sessions["seq"].to_numpy("int64")[at])
+    ends = np.flatnonzero(behind & (kind == "end"))
+    ends = ends[firsts(at[ends], seq[ends])]
+    limit = np.full(len(sessions), np.iinfo("int64").max)
+    limit[at[ends]] = seq[ends]
+    ranks = events["kind"].map(KIND_RANK).fillna(0).to_numpy("int64")
+    within = behind & (seq < limit[at])
+    rank = sessions["rank"].to_numpy("int64").copy()
+    np.maximum.at(rank, at[within], ranks[within])
+    ended = ended.copy()
+    ended[at[ends]] = True
+    sessions["rank"], sessions["ended"] = pd.array(rank, "Int64"), pd.array(ended, "boolean")
+    state.update((pack(sessions, _SESSION_STATE),))
+    end = events.iloc[ends].assign(_at=at[ends]).set_index("_at")
+    out = sessions.loc[touched, ["session_id", "release", "environment", "user_id", "ended"]].assign(started_ms=sessions["at_ms"])
+    out["ended_ms"] = end["at_ms"].reindex(touched)
+    took = (out["ended_ms"] - out["started_ms"]).fillna(0).clip(lower=0)
+    out["duration_ms"] = took.where(out["ended"].astype(bool))
+    status = pd.Series([STATUSES[r] for r in rank[touched]], index=touched, dtype=object)
+    final = end["final_status"].reindex(touched)
+    out["status"] = final.where(final.notna(), status)
+    yield out[_SESSION_NAMES].astype({"ended": bool})
 
 
-_SESSION_READ = ["seq", "kind", "at_ms", "final_status", "release", "environment", "user_id"]
-_SESSION_TYPES = ["object"] * 4 + ["Int64"] * 3 + ["object", "bool"]
+_SESSION_NAMES = [c.split()[0] for c in _SESSION_OUT.split(", ")]
 
 
-def stream_sessions(session_events: DataFrame) -> DataFrame:
+def stream_sessions(session_events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Current state of each session touched by a micro-batch (update mode).
 
-    Within a session the micro-batches must follow the event order; inside one, any order will do.
+    Within a session the micro-batches must follow the event order; inside one, any order will do. The sessions are
+    held in ``buckets`` (see :mod:`~beaconry.streaming.buckets`).
     """
-    events = session_events.select("session_id", *_SESSION_READ)
-    return events.groupBy("session_id").applyInPandasWithState(
-        _fold, _SESSION_OUT, _SESSION_STATE, "update", GroupStateTimeout.NoTimeout
+    events = session_events.select(bucket("session_id", buckets).alias("_bucket"), "session_id", *_SESSION_READ)
+    return events.groupBy("_bucket").applyInPandasWithState(
+        _fold, _SESSION_OUT, STATE, "update", GroupStateTimeout.NoTimeout
     )
 
 

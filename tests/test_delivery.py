@@ -256,6 +256,19 @@ def test_reused_calls(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 5
 
 
+def test_reused_calls_in_buckets(spark, tmp_path):
+    """Call keys of the same bucket do not pair with each other, also over micro-batches."""
+    call = lambda key, kind, at, seq: (key, kind, "http://h:80", "/p", "get", 200 if kind == "headers" else None, at, None, None, None, None, seq)
+    rows = [call(f"k{k}", "create" if (k + i) % 3 else "headers", 3_600_000 + (7 * k + 31 * i) % 50, None if k == 5 and i == 0 else i) for k in range(50) for i in range(6)]
+    schema = f"{schemas.raw('call_events').simpleString()[7:-1]}, seq bigint".replace(":", " ")
+    for part in (rows[::2], rows[1::2], [call("z", "create", 99 * 3_600_000, 0)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = run(stateful.stream_reused_calls(stream, "", "10 hours", 3_600_000, buckets=2), tmp_path, "bucketed")
+    want = outbound.pair_outbound_calls(spark.createDataFrame(rows, schema))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+
+
 def test_propagation(spark):
     df = spark.createDataFrame([("t", "s", "r", True, {"TRACEPARENT": "x"}), ("t", "s", "r", False, None)], "trace_id string, span_id string, request_id string, sampled boolean, headers map<string,string>")
     got = outbound.propagated_headers(df, settings=Settings(vendor="acme")).collect()
