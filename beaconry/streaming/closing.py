@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from beaconry.operators.sessions import KIND_RANK, STATUSES
+from beaconry.streaming.buckets import BUCKETS, STATE, bucket, codes, firsts, gather, pack
 
 _ROW = (
     "session_id STRING, release STRING, environment STRING, user_id STRING, platform STRING, started_ms BIGINT, "
@@ -16,21 +19,53 @@ _ROW = (
 )
 _READ = ["seq", "kind", "at_ms", "final_status", "release", "environment", "user_id", "platform"]
 _KINDS = [*KIND_RANK, "end"]
-_START = "seq BIGINT, at_ms BIGINT, release STRING, environment STRING, user_id STRING, platform STRING"
-_EVENT = "seq BIGINT, kind STRING, at_ms BIGINT, final_status STRING"
+_EVENT = pa.schema([("session_id", pa.string()), *((c, pa.int64() if c in ("seq", "at_ms") else pa.string()) for c in _READ)])
+_DUE = pa.schema([("session_id", pa.string()), ("due", pa.int64())])
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _plain(values: list) -> list:
-    return [None if pd.isna(v) else v for v in values]
+def _table(state, schema: pa.Schema) -> pd.DataFrame:
+    return gather([], schema, bytes(state.get()[0]) if state.exists() else None)
+
+
+def _needed(events: pd.DataFrame) -> pd.DataFrame:
+    """Of each session the earliest start, the first event of each kind behind it, and what lies ahead of it or has none."""
+    events = events[events["kind"].isin(_KINDS) | (events["kind"] == "start")]
+    of, kind, seq = codes(events["session_id"]), codes(events["kind"]), events["seq"].to_numpy("int64")
+    start = (events["kind"] == "start").to_numpy(bool)
+    starts = np.flatnonzero(start)
+    starts = starts[firsts(of[starts], seq[starts])]
+    begin = np.full(of.max(initial=-1) + 1, np.iinfo("int64").max)
+    begin[of[starts]] = seq[starts]
+    ahead = np.flatnonzero(~start & (seq <= begin[of]))
+    behind = np.flatnonzero(~start & (seq > begin[of]))
+    behind = behind[firsts(of[behind] * (len(_KINDS) + 1) + kind[behind], seq[behind])]
+    return events.iloc[np.sort(np.r_[starts, ahead, behind])]
+
+
+def _closed(events: pd.DataFrame) -> pd.DataFrame:
+    """The rows of sessions that are over, from what is needed of them."""
+    begin = events[events["kind"] == "start"].set_index("session_id")
+    later = events[events["kind"] != "start"]
+    later = later[later["session_id"].isin(begin.index)]
+    later = later[later["seq"].to_numpy("int64") > begin["seq"].reindex(later["session_id"]).to_numpy("int64")]
+    end = later[later["kind"] == "end"].set_index("session_id").reindex(begin.index)
+    limit = end["seq"].fillna(np.iinfo("int64").max).reindex(later["session_id"]).to_numpy("int64")
+    before = later[later["seq"].to_numpy("int64") < limit]
+    rank = before["kind"].map(KIND_RANK).fillna(0).groupby(before["session_id"]).max().reindex(begin.index).fillna(0).astype(int)
+    out = begin[["release", "environment", "user_id", "platform"]].assign(started_ms=begin["at_ms"], ended_ms=end["at_ms"])
+    out["duration_ms"] = (out["ended_ms"] - out["started_ms"]).clip(lower=0)
+    out["status"] = end["final_status"].where(end["final_status"].notna(), rank.map(dict(enumerate(STATUSES))))
+    return out.assign(ended=end["seq"].notna().astype(bool)).reset_index()[[c.split()[0] for c in _ROW.split(", ")]]
 
 
 class SessionCloser(StatefulProcessor):
-    """The state of a session: its earliest start, the first event of each kind behind it, and the events that came
-    before any start or lie ahead of it, for as long as an earlier start may still arrive.
+    """The state of a bucket of sessions: of each its earliest start, the first event of each kind behind it, and the
+    events that came before any start or lie ahead of it, for as long as an earlier start may still arrive.
 
-    Events may arrive in any order; ``seq`` is theirs. A timer stands ``idle_ms`` behind the last event. When the
-    watermark passes it, the session comes out, if it has a start, and all of its state goes.
+    Events may arrive in any order; ``seq`` is theirs. A session is due ``idle_ms`` behind its last event, and a timer
+    stands where the first of a bucket is due. When the watermark passes it, all sessions that are due come out, if
+    they have a start, and all of their state goes.
     """
 
     def __init__(self, idle_ms: int):
@@ -38,74 +73,50 @@ class SessionCloser(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.start = handle.getValueState("start", _START)
-        self.early = handle.getListState("early", _EVENT)
-        self.first = handle.getListState("first", _EVENT)
-        self.due = handle.getValueState("due", "at_ms BIGINT")
+        self.events = handle.getValueState("events", STATE)
+        self.due = handle.getValueState("due", STATE)
+        self.timer = handle.getValueState("timer", "at_ms BIGINT")
+
+    def _keep(self, events: pd.DataFrame, due: pd.DataFrame, old: int | None) -> None:
+        if len(events):
+            self.events.update((pack(events, _EVENT),))
+        else:
+            self.events.clear()
+        first = int(due["due"].min()) if len(due) else None
+        if len(due):
+            self.due.update((pack(due, _DUE),))
+        else:
+            self.due.clear()
+        if first == old:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if first is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(first)
+            self.timer.update((first,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        begin = tuple(self.start.get()) if self.start.exists() else None
-        started, latest, others = begin, None, []
-        first: dict[str, tuple] = {}
-
-        def after(event: tuple) -> None:
-            kind = event[1]
-            if kind not in first or event[0] < first[kind][0]:
-                first[kind] = event
-
+        events, due = _table(self.events, _EVENT), _table(self.due, _DUE)
         for batch in rows:
-            latest = max(int(batch["at_ms"].max()), latest or 0)
-            for seq, kind, at, final, *who in zip(*(_plain(batch[c].tolist()) for c in _READ), strict=True):
-                if kind == "start":
-                    if begin is None or seq < begin[0]:
-                        begin = (int(seq), int(at), *who)
-                elif kind in _KINDS:
-                    event = (int(seq), kind, int(at), final)
-                    # Of what lies behind the start known so far only the first of its kind counts.
-                    after(event) if begin and seq > begin[0] else others.append(event)
-        if self.first.exists():
-            for event in self.first.get():
-                after(tuple(event))
-        if begin != started:
-            if self.early.exists():
-                others += [tuple(e) for e in self.early.get()]
-            for event in others:
-                if event[0] > begin[0]:
-                    after(event)
-            ahead = [e for e in others if e[0] <= begin[0]]
-            self.start.update(begin)
-            self.early.put(ahead) if ahead else self.early.clear()
-        elif others:
-            self.early.appendList(others)
-        if first:
-            self.first.put(list(first.values()))
-        if latest is not None:
-            old = self.due.get()[0] if self.due.exists() else None
-            due = max(latest + self.idle_ms, old or 0)
-            if due != old:
-                if old is not None:
-                    self.handle.deleteTimer(old)
-                self.handle.registerTimer(due)
-                self.due.update((due,))
+            new = gather([batch], _EVENT)
+            due = pd.concat([due, new[["session_id"]].assign(due=new["at_ms"] + self.idle_ms)], ignore_index=True)
+            due = due.iloc[firsts(codes(due["session_id"]), -due["due"].to_numpy("int64"))]
+            events = _needed(pd.concat([events, new], ignore_index=True))
+        self._keep(events, due, self.timer.get()[0] if self.timer.exists() else None)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        begin = self.start.get() if self.start.exists() else None
-        first = {e[1]: tuple(e) for e in self.first.get()} if self.first.exists() else {}
-        for state in (self.start, self.early, self.first, self.due):
-            state.clear()
-        if begin is None:
-            yield pd.DataFrame()
-            return
-        _, at, release, environment, user_id, platform = begin
-        end = first.get("end")
-        rank = max([0, *(r for k, r in KIND_RANK.items() if k in first and (end is None or first[k][0] < end[0]))])
-        status = STATUSES[rank] if end is None or end[3] is None else end[3]
-        ended_ms, took = (end[2], max(0, end[2] - at)) if end else (None, None)
-        row = (key[0], release, environment, user_id, platform, at, ended_ms, took, status, end is not None)
-        kinds = ["object"] * 5 + ["Int64"] * 3 + ["object", "bool"]
-        names = [c.split()[0] for c in _ROW.split(", ")]
-        yield pd.DataFrame({n: pd.Series([v], dtype=t) for n, v, t in zip(names, row, kinds, strict=True)})
+        events, due = _table(self.events, _EVENT), _table(self.due, _DUE)
+        over = (due["due"] <= max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())).to_numpy(bool)
+        gone = events["session_id"].isin(due["session_id"][over]).to_numpy(bool)
+        # The timer that has expired is gone by itself.
+        self._keep(events[~gone], due[~over], None)
+        if over.all():
+            self.timer.clear()
+        closed = _closed(events[gone])
+        yield closed if len(closed) else pd.DataFrame()
 
     def close(self) -> None:
         pass
@@ -116,20 +127,20 @@ def keep_state_in_files(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
 
 
-def close_sessions(session_events: DataFrame, delay: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
+def close_sessions(session_events: DataFrame, delay: str = "10 minutes", idle_ms: int = 1_800_000, buckets: int = BUCKETS) -> DataFrame:
     """Each session once, as :func:`~beaconry.operators.sessions.fold_sessions` has it, when it is over.
 
     Events may come in any order, also over micro-batches, at most ``delay`` late by ``at_ms``. A session is over
     when the watermark has passed its last event by ``idle_ms``; its state is then gone, and a later event with its
     id begins another. Events without a session, a sequence number or a time take no part, but their time moves the
     watermark; a session without a start gives no row. Beside first events the state of a session holds what came
-    ahead of its start.
+    ahead of its start. Sessions are held in ``buckets`` (see :mod:`~beaconry.streaming.buckets`).
     """
     keep_state_in_files(session_events.sparkSession)
     timed = session_events.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", delay)
     # One condition on the clock as well, or the optimizer drops events ahead of the watermark that they should move.
     known = F.when(F.col("_at").isNotNull(), F.col("session_id").isNotNull() & F.col("seq").isNotNull())
-    events = timed.where(known).select("session_id", *_READ, "_at")
-    return events.groupBy("session_id").transformWithStateInPandas(
+    events = timed.where(known).select(bucket("session_id", buckets).alias("_bucket"), "session_id", *_READ, "_at")
+    return events.groupBy("_bucket").transformWithStateInPandas(
         statefulProcessor=SessionCloser(idle_ms), outputStructType=_ROW, outputMode="append", timeMode="eventTime"
     )

@@ -147,3 +147,42 @@ def test_sessions_close_and_leave_the_state(spark, tmp_path):
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
     held = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
     assert max(held) > 40 and held[-1] == 0
+
+
+def test_buckets_hold_many_sessions(spark, tmp_path):
+    """Sessions of the same bucket do not touch each other, those without an id or an end time included; a bucket is one state row."""
+    rng = random.Random(9)
+    kinds = ["start", "error", "crash", "abnormal", "end", "other"]
+    rows = []
+    for s in range(60):
+        for i in range(rng.randint(1, 9)):
+            at = None if rng.random() < 0.1 else s * 1000 + i
+            rows.append((f"s{s}" if s else None, 100 * s + i, rng.choice(kinds), rng.choice([None, "ok"]), at, f"v{i}", "prod", None, "p"))
+    schema = raw("session_events")
+    path, timed = str(tmp_path / "in"), [r for r in rows if r[0] and r[4] is not None]
+    for low, high in ((0, 3), (3, 6), (6, 99)):
+        part = [r for r in rows if low <= r[1] % 100 < high]
+        spark.createDataFrame(part[::-1], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    seen = {}
+
+    def keep(batch, batch_id):
+        seen.update({r.session_id: tuple(r) for r in batch.collect()})
+
+    q = stream_sessions(stream, buckets=3).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
+    q = q.trigger(availableNow=True).foreachBatch(keep).start()
+    q.awaitTermination()
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 3
+    names = ["session_id", "release", "environment", "user_id", "started_ms", "ended_ms", "duration_ms", "status", "ended"]
+    folded = fold_sessions(spark.createDataFrame([r for r in rows if r[0]], schema)).select(*names)
+    assert {k: v for k, v in seen.items() if k} == {r.session_id: tuple(r) for r in folded.collect()} and len(seen) > 20
+
+    spark.createDataFrame([(None, None, None, None, 99 * 3_600_000, None, None, None, None)], schema).coalesce(1).write.mode("append").parquet(path)
+    q = close_sessions(stream, "1 hour", 600_000, buckets=3).writeStream.option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True)
+    q = q.format("parquet").option("path", str(tmp_path / "out")).start()
+    q.awaitTermination()
+    got, want = spark.read.parquet(str(tmp_path / "out")), fold_sessions(spark.createDataFrame(timed, schema))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+    held = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert max(held) <= 3 * 6 and held[-1] == 0
