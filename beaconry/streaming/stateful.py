@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from beaconry.functions import sqltext
+from beaconry.functions import sqltext, url
 from beaconry.functions.privacy import Extras
 from beaconry.operators.outbound import CALL_FIELDS, COMPLETIONS, call_context, call_target, finished_calls, heard_events
 from beaconry.operators.requests import request_row
@@ -61,50 +61,133 @@ def stream_stray_ends(ctx: DataFrame, ends: DataFrame, delay: str = "10 minutes"
     return joined.where(F.col("_at").isNull()).select(F.col("_key").alias("request_key"), *[c for c in ends.columns if c != "request_key"])
 
 
-def _calls(call_events: DataFrame, ingest_host: str, delay: str, within: str | None, how: str) -> DataFrame:
-    creates = exclude_ingest_host(call_target(call_context(call_events.where(F.col("kind") == "create"))), ingest_host)
-    left = (
-        creates.where("sampled")
-        .select(
-            "call_key", F.col("at_ms").alias("started_ms"), "trace_id", "parent_span_id", "request_id", "span_id",
-            "method", "host", "port", "path",
+_PAYLOAD = ("origin", "path", "method", "trace_id", "parent_span_id", "request_id")
+# Kinds of call events as numbers; 0 is a creation.
+_KINDS = ["create", *COMPLETIONS]
+_EVENT_NUMBERS = ("at_ms", "until", "free", "kind", "status_code")
+_CALL_EVENT = pa.schema([("call_key", pa.string()), *((c, pa.int64()) for c in _EVENT_NUMBERS), *((c, pa.string()) for c in _PAYLOAD)])
+_CALL_DONE = pa.schema([("call_key", pa.string()), ("free", pa.int64())])
+_FIRST_OUT = f"call_key STRING, at_ms BIGINT, {', '.join(f'{c} STRING' for c in _PAYLOAD)}, after_kind BIGINT, after_at BIGINT, after_code BIGINT"
+
+
+def _beside(of: np.ndarray, at: np.ndarray, until: np.ndarray, create: np.ndarray, end: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of creations and of ends of their key in time: of each creation the next end, or (``back``) of each end the creation before it."""
+    places = np.flatnonzero(create | end)
+    places = places[np.lexsort((end[places], at[places], of[places]))]
+    begins, row = create[places], np.arange(len(places))
+    if back:
+        beside = np.maximum.accumulate(np.where(begins, row, -1))
+        row = np.flatnonzero(~begins & (beside >= 0))
+        starts, ends = places[beside[row]], places[row]
+    else:
+        beside = np.minimum.accumulate(np.where(begins, len(row), row)[::-1])[::-1]
+        row = np.flatnonzero(begins & (beside < len(beside)))
+        starts, ends = places[row], places[beside[row]]
+    near = (of[starts] == of[ends]) & (at[ends] <= until[starts])
+    return starts[near], ends[near]
+
+
+def _first_calls(finished: bool):
+    """Pair the call events of a bucket of keys as they come: finished calls, or the creations that nothing has ended in time.
+
+    The state holds the events that a later one may still be paired with and, for finished calls, the keys that
+    have given one, until ``free``: to the watermark, what a key can have had before then is all gone.
+    """
+
+    def pair(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        was_held, was_done = state.get if state.exists else (None, None)
+        known, done = gather([], _CALL_EVENT, was_held), gather([], _CALL_DONE, was_done)
+        # In order of arrival, inside a micro-batch of time.
+        events = pd.concat([known, gather(batches, _CALL_EVENT).sort_values("at_ms", kind="stable")], ignore_index=True)
+        new, mark = np.arange(len(events)) >= len(known), state.getCurrentWatermarkMs()
+        of = codes(pd.concat([events["call_key"], done["call_key"]], ignore_index=True))
+        of, over = of[: len(events)], of[len(events) :]
+        at, until, free, kind, _ = (events[c].to_numpy("int64") for c in _EVENT_NUMBERS)
+        create = kind == 0
+        # Ends that came in an earlier micro-batch, then those of this one.
+        turns = ((create & new, ~create & ~new), (create, ~create & new))
+        starts, ends = map(np.concatenate, zip(*(_beside(of, at, until, *turn, finished) for turn in turns), strict=True))
+        if finished:
+            ends = ends[~np.isin(of[ends], over)]
+            ends = ends[firsts(of[ends], ends)]
+            chosen = np.full(max(of.max(initial=-1), over.max(initial=-1)) + 1, -1)
+            chosen[of[ends]] = ends
+            end = chosen[of]
+            starts = np.flatnonzero(create & (end >= 0) & (at <= at[end]) & (at[end] <= until) & (new | new[end])) if len(ends) else ends
+            starts = starts[firsts(of[starts], starts)]
+            ends = end[starts]
+            done = pd.concat([done, events.iloc[starts][["call_key", "free"]]], ignore_index=True)
+            over, frees = np.r_[over, of[starts]], done["free"].to_numpy("int64")
+            floor = np.full(len(chosen), mark)
+            np.maximum.at(floor, over, frees)
+            keep, done = np.where(create, until, at) > floor[of], done[frees > mark]
+        else:
+            waits = create.copy()
+            waits[starts] = False
+            starts = np.flatnonzero(waits & (until < mark))
+            keep = np.where(create, waits & (until >= mark), at > mark)
+        if keep.any() or len(done):
+            state.update((pack(events[keep], _CALL_EVENT), pack(done, _CALL_DONE)))
+            due = np.r_[np.where(create, until, at)[keep], done["free"].to_numpy("int64") - 1]
+            state.setTimeoutTimestamp(max(mark, 1, int(due.min())))
+        elif state.exists:
+            state.remove()
+        if len(starts):
+            calls = events.iloc[starts][["call_key", "at_ms", *_PAYLOAD]].reset_index(drop=True)
+            yield calls.assign(**{f"after_{c}": x[ends] if finished else 0 for c, x in (("kind", kind), ("at", at), ("code", events["status_code"].to_numpy("int64")))})
+
+    return pair
+
+
+def _first_paired(call_events: DataFrame, ingest_host: str, delay: str, within: str | None, buckets: int, finished: bool) -> DataFrame:
+    creates = call_events.where((F.col("kind") == "create") & F.coalesce("sampled", F.lit(True)))
+    if ingest_host:
+        creates = exclude_ingest_host(creates.withColumn("host", url.parse_origin(F.col("origin"))["host"]), ingest_host)
+    ends = call_events.where(F.col("kind").isin(COMPLETIONS)).withColumns({c: F.lit(None).cast("string") for c in _PAYLOAD})
+
+    def timed(events: DataFrame) -> DataFrame:
+        """Creations and ends move a watermark each; the earlier one counts."""
+        kind = F.array_position(F.array(*map(F.lit, _KINDS)), F.col("kind")) - 1
+        return (
+            events.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", delay)
+            .select("call_key", F.col("at_ms").cast("bigint"), kind.alias("kind"), F.coalesce(F.col("status_code").cast("bigint"), F.lit(0)).alias("status_code"), *_PAYLOAD, "_at")
         )
-        .withColumn("_at", F.timestamp_millis("started_ms")).withWatermark("_at", delay)
-    )
-    right = (
-        call_events.where(F.col("kind").isin("headers", "error"))
-        .select(F.col("call_key").alias("_key"), F.col("kind").alias("_kind"), F.col("status_code").alias("_code"), F.col("at_ms").alias("ended_ms"))
-        .withColumn("_end", F.timestamp_millis("ended_ms")).withWatermark("_end", delay)
+
+    creates, ends = timed(creates), timed(ends).where(F.col("call_key").isNotNull())
+    if finished:
+        creates = creates.where(F.col("call_key").isNotNull())
+    # One condition on the clock; events without one are paired with nothing.
+    events = creates.unionByName(ends).where(F.col("_at").isNotNull())
+    until = F.col("_at") + F.expr(f"INTERVAL {within or delay}")
+    events = events.withColumns({"until": F.unix_millis(until), "free": F.unix_millis(until + F.expr(f"INTERVAL {delay}")), "_bucket": bucket("call_key", buckets)})
+    return events.groupBy("_bucket").applyInPandasWithState(
+        _first_calls(finished), _FIRST_OUT, "held BINARY, done BINARY", "append", GroupStateTimeout.EventTimeTimeout
     )
-    near = (F.col("_end") >= F.col("_at")) & (F.col("_end") <= F.col("_at") + F.expr(f"INTERVAL {within or delay}"))
-    return left.join(right, (F.col("call_key") == F.col("_key")) & near, how)
 
 
 def stream_paired_calls(
-    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
     """Finished calls from a stream of call events with one creation per call key.
 
-    Of several completions of one call the stream keeps the one that arrives first. ``delay`` and ``within`` as in
-    :func:`stream_http_rows`; creations without a completion come out of :func:`stream_open_calls`.
+    Of several completions of one call the stream keeps the one that arrives first, of those in one micro-batch the
+    earliest. ``delay`` and ``within`` as in :func:`stream_http_rows`; creations without a completion come out of
+    :func:`stream_open_calls`. The calls are held in ``buckets`` of keys (see :mod:`~beaconry.streaming.buckets`).
     """
-    code = F.when(F.col("_kind") == "error", 0).otherwise(F.coalesce("_code", F.lit(0)))
-    return (
-        _calls(call_events, ingest_host, delay, within, "inner")
-        .drop("_end")
-        .dropDuplicatesWithinWatermark(["call_key"])
-        .withColumn("status_code", code.cast("int"))
-        .withColumn("status", F.when((F.col("_kind") == "error") | (code >= 500), "error").otherwise("ok"))
-        .drop("_key", "_kind", "_code", "_at")
-    )
+    calls = _first_paired(call_events, ingest_host, delay, within, buckets, True)
+    kind = F.get(F.array(*map(F.lit, _KINDS)), F.col("after_kind").cast("int"))
+    after = F.struct(kind.alias("kind"), F.col("after_at").alias("at_ms"), F.col("after_code").cast("int").alias("status_code"))
+    return finished_calls(calls.withColumns({"_after": after, "sampled": F.lit(True)}))
 
 
 def stream_open_calls(
-    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None
+    call_events: DataFrame, ingest_host: str = "", delay: str = "10 minutes", within: str | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
     """The creations that no completion within the bound follows, once the watermark has passed it."""
-    joined = _calls(call_events, ingest_host, delay, within, "left")
-    return joined.where(F.col("_key").isNull()).drop("_key", "_kind", "_code", "_at", "_end", "ended_ms")
+    calls = _first_paired(call_events, ingest_host, delay, within, buckets, False)
+    return call_target(call_context(calls.withColumn("sampled", F.lit(True)))).select(
+        "call_key", F.col("at_ms").alias("started_ms"), "trace_id", "parent_span_id", "request_id", "span_id", "method", "host", "port", "path"
+    )
 
 
 _CALL_KINDS = {"at_ms": "BIGINT", "sampled": "BOOLEAN", "status_code": "INT"}
@@ -158,7 +241,8 @@ def stream_reused_calls(
     Events wait until the watermark passes them (``delay`` is how late they may arrive) and are then taken in
     event order, so the arrival order does not show. ``within_ms`` is how long a call may take; a completion
     later than that ends nothing. ``order`` columns beside ``at_ms`` are whole numbers. The state of a key is what
-    arrived within the delay, held in ``buckets`` of keys (see :mod:`~beaconry.streaming.buckets`). :func:`stream_paired_calls` needs no Python where a key is created once.
+    arrived within the delay, held in ``buckets`` of keys (see :mod:`~beaconry.streaming.buckets`). :func:`stream_paired_calls` gives a call out
+    at once where a key is created once.
     """
     ranks = [F.coalesce(F.col(c).cast("bigint"), F.lit(-(2**63))).alias(f"rank{i}") for i, c in enumerate(c for c in order if c != "at_ms")]
     heard = heard_events(call_events, ingest_host).where(F.col("at_ms").isNotNull())

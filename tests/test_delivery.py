@@ -269,6 +269,37 @@ def test_reused_calls_in_buckets(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
 
 
+def test_paired_calls_in_buckets(spark, tmp_path):
+    """Keys of one bucket stay apart over micro-batches, the state has a row for a bucket, and what has passed leaves it."""
+    hour, schema = 3_600_000, schemas.raw("call_events")
+    call = lambda key, kind, at, code=None: (key, kind, "http://h:80", "/p", "get", code, hour + at, None, None, None, None)
+    first = [call(f"k{k}", "create", k) for k in range(40)] + [call("early", "error", 9), call("early", "headers", 7, 200), call(None, "create", 1)]
+    # One key has two completions in a micro-batch and another later, one a completion ahead of its creation.
+    then = [call(f"k{k}", "headers", k + 5, 200) for k in range(0, 40, 2)] + [call("k0", "error", 2), call("early", "create", 3), call("k1", "headers", 0, 200), call(None, "headers", 2)]
+    last = [call("k0", "headers", 6, 503), call("k3", "headers", 2 * hour, 200), call("z", "create", 99 * hour), call("z", "headers", 99 * hour)]
+    for i, part in enumerate((first, then, last, [call("z", "error", 99 * hour + 1)], [call("k5", "headers", 8, 200)])):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for file in (tmp_path / "in").glob("*.parquet"):
+            os.utime(file, (1_000_000_000 + 100 * i,) * 2) if file.stat().st_mtime > 1_100_000_000 else None
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+    def drained(calls, name):
+        writer = calls.writeStream.option("checkpointLocation", str(tmp_path / f"{name}-cp")).trigger(availableNow=True)
+        query = writer.format("parquet").option("path", str(tmp_path / name)).start()
+        query.awaitTermination()
+        states = [p["stateOperators"] for p in query.recentProgress]
+        assert all(len(s) == 1 and s[0]["numRowsTotal"] <= 2 for s in states)
+        return spark.read.schema(calls.schema).parquet(str(tmp_path / name)).collect()
+
+    got = drained(stateful.stream_paired_calls(stream, "", "1 hour", buckets=2), "paired")
+    want = {(f"k{k}", hour + k + 5, 200) for k in range(2, 40, 2)} | {("k0", hour + 2, 0), ("z", 100 * hour, 0)}
+    early = [(r.ended_ms, r.status) for r in got if r.call_key == "early"]
+    assert {(r.call_key, r.ended_ms, r.status_code) for r in got if r.call_key != "early"} == want and len(got) == len(want) + 1
+    assert early in ([(hour + 9, "error")], [(hour + 7, "ok")])
+    got = drained(stateful.stream_open_calls(stream, "", "1 hour", buckets=2), "open")
+    assert sorted(str(r.call_key) for r in got) == sorted([f"k{k}" for k in range(1, 40, 2)] + ["None"])
+
+
 def test_propagation(spark):
     df = spark.createDataFrame([("t", "s", "r", True, {"TRACEPARENT": "x"}), ("t", "s", "r", False, None)], "trace_id string, span_id string, request_id string, sampled boolean, headers map<string,string>")
     got = outbound.propagated_headers(df, settings=Settings(vendor="acme")).collect()
