@@ -20,6 +20,11 @@ CACHE_WORDS = 1_000_000
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FIRST = "\0"
 MARKS = string.punctuation
+# Below this character all Unicode versions have the same letters.
+LATIN_END = "\u0250"
+# What a text that does not split safely holds: the sign of a first word, characters that count as white space for
+# Python only, and white space before a space.
+UNSAFE = [FIRST, *"\x1c\x1d\x1e\x1f", *(f"{c} " for c in map(chr, range(0x3001)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f")]
 # Texts that are handled at once; bounds the memory of a worker beside its Arrow batch.
 TEXTS_AT_ONCE = 512
 
@@ -72,6 +77,10 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
+def unsafe(text: str) -> bool:
+    return any(map(text.__contains__, UNSAFE))
+
+
 class WordEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers, equal to the library's own.
 
@@ -88,7 +97,8 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model, self.normalizer, self.letters = self.tokenizer.model, self.tokenizer.normalizer, byte_letters()
         self.dropped_space = dropped_space
-        self.odd = re.compile(r"[\x1c-\x1f]" if dropped_space else r"[\0\x1c-\x1f]|\s ").search
+        self.odd = re.compile(r"[\x1c-\x1f]").search if dropped_space else unsafe
+        self.byte_letters = dict(enumerate(self.letters))
         with open(path) as file:
             steps = json.load(file)["pre_tokenizer"]
         own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]
@@ -111,11 +121,18 @@ class WordEncoder:
             if (parts := self.marked(word)) and parts[1]:
                 return self.cache[parts[1]] + self.cache[parts[2]]
             return self.pieces(word)
-        if self.one_piece and word.isascii():
+        if self.one_piece and (word.isascii() or max(word) < LATIN_END):
             if word.isalpha():
-                return ids_bytes([t.id for t in self.model.tokenize(self.letters[32] + word)])
+                return self.letters_of(word, self.letters[32])
+            if word[:1] == FIRST and word[1:].isalpha():
+                return self.letters_of(word[1:])
+            # A line break between characters that are no white space is a piece, and what follows has no space before it.
+            if "\n" in word:
+                lines = word.split("\n")
+                if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
+                    return self.cache[FIRST + "\n"].join([self.cache[lines[0]], *[self.cache[FIRST + line] for line in lines[1:]]])
             head = word.rstrip(MARKS)
-            if head.isalpha() and head != word:
+            if head != word and head.removeprefix(FIRST).isalpha():
                 return self.cache[head] + self.cache[FIRST + word[len(head) :]]
         # A word takes the space before it along; the first of a text has a sign instead.
         if word[:1] == FIRST:
@@ -124,6 +141,11 @@ class WordEncoder:
             return self.cache[parts[1]] + self.cache[FIRST + parts[2]]
         return self.pieces(" " + word)
 
+    def letters_of(self, word: str, space: str = "") -> bytes:
+        """The ids of a word of letters, whose bytes become letters of the vocabulary, behind a space if one is given."""
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_letters)
+        return ids_bytes([t.id for t in self.model.tokenize(space + shown)])
+
     def pieces(self, text: str) -> bytes:
         letters, ids = self.letters, []
         for piece in self.cut(text):

@@ -263,6 +263,16 @@ def test_a_nul_starts_no_text(name, dropped):
         assert np.frombuffer(encoder.encode(["a \0b"])[0], "<u4").tolist() == [64, 220, 188, 65]
 
 
+def test_unknown_words_share_their_lines_and_letters():
+    """Words that a line break holds together are known apart, and words of Latin letters are cut by no pattern."""
+    encoder, cut = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), False), []
+    encoder.pieces, pieces = lambda text: cut.append(text) or pieces(text), encoder.pieces
+    texts = ["Été it.\nThis äöung ciónÑa,\nÜber", "\nit a\n\nb \nc d\n", "a\u0085\nb\n\u00a0c x\u00aa\n\u00b2y", "\n".join(["ab."] * 5_000)]
+    assert encoder.encode(texts) == encoder.whole(texts)
+    assert {"it.", "\0This", "äöung", "\0Über"} <= encoder.cache.keys()
+    assert not [text for text in cut if text.strip(" ").isalpha() or "This" in text]
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = WordEncoder(path, False)
