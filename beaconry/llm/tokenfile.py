@@ -14,12 +14,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from beaconry.llm.store import file_system, materialise, shared_folder, write_file
-from beaconry.llm.words import text_slices, word_encoder
+from beaconry.llm.words import large_slices, word_encoder
 
 MAGIC = b"WMTOKEN1"
 # Bits between two stored ranks of a plane.
 BLOCK = 512
 SHARD_TOKENS = 1 << 23
+# Tokens that are parted at once: their positions stay in a core's cache.
+STRETCH = 1 << 16
 MANIFEST = "part int, seq int, file string, bytes long, n_docs long, n_tokens long"
 
 
@@ -37,10 +39,22 @@ class WaveletMatrix:
             plane = np.packbits(ones)
             planes.append(plane)
             ranks.append(cls._ranks(plane))
-            # Taking by positions is several times quicker than by a mask.
-            values = np.concatenate([values[np.flatnonzero(~ones)], values[np.flatnonzero(ones)]])
+            if level:
+                values = cls._parted(values, ones, len(values) - int(ranks[-1][-1]))
         return cls(len(values), planes, ranks)
 
+    @staticmethod
+    def _parted(values: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+        """The values at zeros and then those at ones, both in order."""
+        parted, low, high = np.empty_like(values), 0, zeros
+        for at in range(0, len(values), STRETCH):
+            some, here = values[at : at + STRETCH], ones[at : at + STRETCH]
+            # Taking by positions is several times quicker than by a mask.
+            a, b = np.flatnonzero(~here), np.flatnonzero(here)
+            parted[low : low + len(a)], parted[high : high + len(b)] = some[a], some[b]
+            low, high = low + len(a), high + len(b)
+        return parted
+
     @staticmethod
     def _ranks(plane: np.ndarray) -> np.ndarray:
         """Ones before each block of a plane, and all ones."""
@@ -117,10 +131,14 @@ class WaveletMatrix:
         """All tokens in order: undo the parting from the last plane upwards."""
         values = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            zeros, above = self._zeros(level), np.empty_like(values)
-            above[np.flatnonzero(~ones)] = values[:zeros]
-            above[np.flatnonzero(ones)] = values[zeros:] | values.dtype.type(1 << (len(self.planes) - 1 - level))
+            low, high, above = 0, self._zeros(level), np.empty_like(values)
+            values[high:] |= values.dtype.type(1 << (len(self.planes) - 1 - level))
+            for at in range(0, self.n, STRETCH):
+                some = above[at : at + STRETCH]
+                ones = np.unpackbits(self.planes[level][at // 8 : (at + STRETCH) // 8], count=len(some)).view(bool)
+                a, b = np.flatnonzero(~ones), np.flatnonzero(ones)
+                some[a], some[b] = values[low : low + len(a)], values[high : high + len(b)]
+                low, high = low + len(a), high + len(b)
             values = above
         return values
 
@@ -193,7 +211,7 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, kinds.get(k, pa.int64())) for k in row]))
 
         tokens = 0
-        for batch in text_slices(batches):
+        for batch in large_slices(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             for doc_id, blob in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                 held.append(blob + end)

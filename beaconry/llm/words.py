@@ -8,9 +8,11 @@ import string
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 
@@ -19,14 +21,19 @@ CACHE_WORDS = 1_000_000
 # Fixed value: the pattern by which byte-level pre-tokenizers cut a text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FIRST = "\0"
+LINE_BREAK = f" {FIRST}\n {FIRST}"
 MARKS = string.punctuation
 # Below this character all Unicode versions have the same letters.
 LATIN_END = "\u0250"
-# What a text that does not split safely holds: the sign of a first word, characters that count as white space for
-# Python only, and white space before a space.
-UNSAFE = [FIRST, *"\x1c\x1d\x1e\x1f", *(f"{c} " for c in map(chr, range(0x3001)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f")]
+# White space that few texts hold, and the sign of a first word.
+RARE = [FIRST, *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
+# What a text that does not split safely holds besides: the sign of a first word, characters that count as white space
+# for Python only, and white space before a space.
+UNSAFE = [c if c in "\0\x1c\x1d\x1e\x1f" else f"{c} " for c in RARE]
 # Texts that are handled at once; bounds the memory of a worker beside its Arrow batch.
 TEXTS_AT_ONCE = 512
+# Bytes of texts whose words are looked up together: the more, the fewer look-ups for each word.
+BYTES_AT_ONCE = 8 << 20
 
 
 def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -36,6 +43,18 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, TEXTS_AT_ONCE)
 
 
+def large_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most BYTES_AT_ONCE bytes of text; a longer text stands alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 class WordCache(dict):
     """Values of words; ``work`` gives that of an unknown one. Restarts when it is full.
 
@@ -58,12 +77,15 @@ class WordCache(dict):
 
     def joined(self, words: list):
         """The values of words one after the other, with ``joint`` between them."""
+        return self.joint.join(self.values_of(words))
+
+    def values_of(self, words: list) -> list:
         if WordCache.owner_at_work is not self.owner:
             WordCache.owner_at_work = self.owner
             for cache in WordCache.made:
                 if cache.owner is not self.owner:
                     cache.clear()
-        return self.joint.join(map(self.__getitem__, words))
+        return list(map(self.__getitem__, words))
 
 
 def ids_bytes(ids: list[int]) -> bytes:
@@ -77,8 +99,12 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
+def rare(text: str) -> bool:
+    return any(map(text.__contains__, RARE))
+
+
 def unsafe(text: str) -> bool:
-    return any(map(text.__contains__, UNSAFE))
+    return "  " in text or "\n " in text or rare(text) and any(map(text.__contains__, UNSAFE))
 
 
 class WordEncoder:
@@ -98,7 +124,6 @@ class WordEncoder:
         self.model, self.normalizer, self.letters = self.tokenizer.model, self.tokenizer.normalizer, byte_letters()
         self.dropped_space = dropped_space
         self.odd = re.compile(r"[\x1c-\x1f]").search if dropped_space else unsafe
-        self.byte_letters = dict(enumerate(self.letters))
         with open(path) as file:
             steps = json.load(file)["pre_tokenizer"]
         own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", []) if s["type"] == "Split"]
@@ -123,10 +148,10 @@ class WordEncoder:
             return self.pieces(word)
         if self.one_piece and (word.isascii() or max(word) < LATIN_END):
             if word.isalpha():
-                return self.letters_of(word, self.letters[32])
+                return self.letters_of(" " + word)
             if word[:1] == FIRST and word[1:].isalpha():
                 return self.letters_of(word[1:])
-            # A line break between characters that are no white space is a piece, and what follows has no space before it.
+            # As in `lined`, in texts with other line breaks too.
             if "\n" in word:
                 lines = word.split("\n")
                 if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
@@ -141,10 +166,13 @@ class WordEncoder:
             return self.cache[parts[1]] + self.cache[FIRST + parts[2]]
         return self.pieces(" " + word)
 
-    def letters_of(self, word: str, space: str = "") -> bytes:
-        """The ids of a word of letters, whose bytes become letters of the vocabulary, behind a space if one is given."""
-        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_letters)
-        return ids_bytes([t.id for t in self.model.tokenize(space + shown)])
+    def letters_of(self, word: str) -> bytes:
+        """The ids of a piece of letters, which may have a space before it. Its bytes become letters of the vocabulary."""
+        if word.isascii():
+            shown = word.replace(" ", self.letters[32])
+        else:
+            shown = "".join([self.letters[b] for b in word.encode()])
+        return ids_bytes([t.id for t in self.model.tokenize(shown)])
 
     def pieces(self, text: str) -> bytes:
         letters, ids = self.letters, []
@@ -155,17 +183,30 @@ class WordEncoder:
         return ids_bytes(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if self.odd(text):
-                out += self.whole([text])
-            elif self.dropped_space:
-                out.append(self.cache.joined(text.split()))
-            else:
-                words = text.split(" ")
-                words[0] = FIRST + words[0]
-                out.append(self.cache.joined(words))
-        return out
+        if self.dropped_space:
+            return [self.whole([text])[0] if self.odd(text) else self.cache.joined(text.split()) for text in texts]
+        odd = [bool(self.odd(text)) for text in texts]
+        apart = iter(self.apart([text for text, whole in zip(texts, odd, strict=True) if not whole]))
+        return [self.whole([text])[0] if whole else next(apart) for text, whole in zip(texts, odd, strict=True)]
+
+    def apart(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that split safely, from one look-up for each of their distinct words."""
+        split = pc.split_pattern(pa.array([FIRST + self.lined(text) for text in texts], pa.large_string()), " ")
+        words = split.values.dictionary_encode()
+        known = self.cache.values_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(words.indices)
+        _, starts, held = ids.buffers()
+        # Where the words of each text start among the ids, and the end of the last.
+        places = np.frombuffer(starts, "<i8", len(ids) + 1)[split.offsets.to_numpy()].tolist() if texts else []
+        held = held or pa.py_buffer(b"")
+        return [held[start:end].to_pybytes() for start, end in pairwise(places)]
+
+    def lined(self, text: str) -> str:
+        """A text whose line breaks are words, if all of them stand between characters that are no white space: there
+        a break is a piece, and what follows has no space before it."""
+        if not self.one_piece or "\n" not in text or "\n" in (text[0], text[-1]) or "\n\n" in text or " \n" in text or rare(text):
+            return text
+        return text.replace("\n", LINE_BREAK)
 
 
 _encoders: dict[tuple[str, bool], WordEncoder] = {}

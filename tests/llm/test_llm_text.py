@@ -11,13 +11,14 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from beaconry.llm import fingerprint, linededup, packing, pieces, quality, sharding, tokenfile
 from beaconry.llm.queries import shards_sql
-from beaconry.llm.words import WordEncoder, shingle_sets
+from beaconry.llm.words import WordEncoder, large_slices, shingle_sets
 
 # Nulls, empties, ties, repeated rows, a very long text, and columns whose names the operators use inside.
 LONG = "\n".join(f"line number {i % 700} of a long text" for i in range(6_000))
@@ -273,6 +274,34 @@ def test_unknown_words_share_their_lines_and_letters():
     assert not [text for text in cut if text.strip(" ").isalpha() or "This" in text]
 
 
+def test_words_of_many_texts_are_looked_up_once():
+    """A line break between words joins no unknown word, and texts that are encoded together share their look-ups."""
+    encoder, asked = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), False), []
+    find = encoder.cache.values_of
+    encoder.cache.values_of = lambda words: asked.extend(words) or find(words)
+    texts = [f"the w{i}.\nThe w{j}\nthe" for i in range(30) for j in range(30)]
+    assert encoder.encode(texts) == encoder.whole(texts)
+    assert len(asked) == len(set(asked)) < 100 and [word for word in encoder.cache if "\n" in word] == ["\0\n"]
+    for some in ([], [""], ["", "\n", "a\n", "\na", "a\n\nb", "a \nb", "a\n b", "a\r\nb", "a\u2028\nb"], ["日本\n\u0301a\n.b's\n12"]):
+        assert encoder.encode(some) == encoder.whole(some)
+
+
+def test_large_slices(monkeypatch):
+    monkeypatch.setattr("beaconry.llm.words.BYTES_AT_ONCE", 4)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(8)), "text": ["ab", "é", "c", None, "long text", None, "", "abcd"]})
+    assert [s.column("doc_id").to_pylist() for s in large_slices([batch, batch.slice(0, 0)])] == [[0, 1], [2, 3], [4], [5, 6, 7]]
+
+
+def test_planes_are_parted_by_stretches(monkeypatch):
+    values = np.random.default_rng(5).integers(0, 1 << 9, 3_001).astype(np.uint16)
+    want = [np.packbits(values[np.argsort([int(f"{v:09b}"[:level][::-1] or "0", 2) for v in values], kind="stable")] >> 8 - level & 1) for level in range(9)]
+    for stretch in (64, 1 << 16):
+        monkeypatch.setattr(tokenfile, "STRETCH", stretch)
+        matrix = tokenfile.WaveletMatrix.build(values, 9)
+        assert all((plane == w).all() for plane, w in zip(matrix.planes, want, strict=True))
+        assert (matrix.decode() == values).all() and len(tokenfile.WaveletMatrix.build(values[:0], 9).decode()) == 0
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = WordEncoder(path, False)
