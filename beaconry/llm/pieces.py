@@ -7,17 +7,22 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from beaconry.llm.words import WordCache, ids_bytes, text_slices
+from beaconry.llm.words import TEXTS_AT_ONCE, WordCache, ids_bytes, large_slices
 
 # Fixed values of the model file: piece types, model types, the white-space marker.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
+# Texts that the library encodes as a whole at once.
+WHOLE_AT_ONCE = 64
+# Names of byte pieces: the decoder joins runs of them to characters.
+BYTE_NAME = re.compile("<0x[0-9A-Fa-f]{2}>").fullmatch
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -137,42 +142,76 @@ class PieceCodec:
         with open(path, "rb") as file:
             self.model = PieceModel.parse(file.read())
         self.tokenizer = rebuild(self.model)
+        self.tokenize = self.tokenizer.model.tokenize
         self.apart = self.model.apart()
-        self.odd = re.compile(r"\s | \s|^\s|\s$").search
+        self.changed = bool(self.model.charsmap) or self.model.trim
+        self.spaced = re.compile(r"\s | \s|^\s|\s$").search
         self.cache = WordCache(self.word, self)
-        self.words = WordCache(lambda ids: self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False), self, " ")
-        self.starts = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
+        # What each piece decodes to behind another; characters of byte pieces are decoded as they come.
+        self.bytes = np.array([bool(BYTE_NAME(p)) for p, _, _ in self.model.pieces])
+        self.going_on = np.array([bool(BYTE_NAME(p)) and int(p[3:5], 16) >> 6 == 2 for p, _, _ in self.model.pieces])
+        self.anchor = int(np.argmin(self.bytes))
+        self.head = len(self.text_of([[self.anchor]])[0])
+        self.texts = pa.array(self.texts_behind([[i] for i in range(len(self.bytes))]), pa.large_string())
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [ids_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # The library holds far more than the ids of a batch.
+        batches = (texts[at : at + WHOLE_AT_ONCE] for at in range(0, len(texts), WHOLE_AT_ONCE))
+        return [ids_bytes(e.ids) for batch in batches for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
 
     def word(self, word: str) -> bytes:
-        if MARK in word or self.model.charsmap or self.model.trim:
+        """The ids of a word and the marker before it."""
+        if self.changed:
             return self.whole([word])[0]
-        return ids_bytes([t.id for t in self.tokenizer.model.tokenize(MARK + word)])
+        return ids_bytes([t.id for t in self.tokenize(MARK + word)])
+
+    def odd(self, text: str) -> bool:
+        """Does a text not split safely? Other white space than spaces counts if the model changes texts."""
+        if not text or MARK in text:
+            return True
+        return bool(self.spaced(text)) if self.changed else "  " in text or " " in (text[0], text[-1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, little-endian unsigned 32-bit. Words apart where white space is single spaces."""
         if not self.apart:
             return self.whole(texts)
-        found = [None if not text or self.odd(text) else self.cache.joined(text.split(" ")) for text in texts]
-        rest = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
-            found[i] = ids
-        return found
+        odd = [self.odd(text) for text in texts]
+        apart = iter(self.cache.joined_each([text for text, whole in zip(texts, odd, strict=True) if not whole]))
+        rest = iter(self.whole([text for text, whole in zip(texts, odd, strict=True) if whole]))
+        return [next(rest if whole else apart) for whole in odd]
+
+    def text_of(self, ids: list[list[int]]) -> list[str]:
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
-    def text_of(self, ids: list[bytes]) -> list[str]:
-        return self.tokenizer.decode_batch([np.frombuffer(x, "<u4").tolist() for x in ids], skip_special_tokens=False)
+    def texts_behind(self, ids: list[list[int]]) -> list[str]:
+        """What ids decode to behind another piece, where no marker is dropped."""
+        return [text[self.head :] for text in self.text_of([[self.anchor, *x] for x in ids])]
 
     def decode(self, ids: list[bytes]) -> list[str]:
-        """Texts of whole id lists. Words apart: each begins with a marker, which decodes to the space before it."""
-        if not self.apart:
-            return self.text_of(ids)
-        out = []
-        for blob in ids:
-            cuts = 4 * np.flatnonzero(self.starts[np.frombuffer(blob, "<u4")])
-            edges = [0, *(c for c in cuts.tolist() if c), len(blob)]
-            out.append(self.words.joined([blob[a:b] for a, b in zip(edges, edges[1:], strict=False)]))
+        """Texts of whole id lists, put together of what their pieces and the characters of byte pieces decode to."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        edges = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        # A unit is a piece, or the byte pieces of one character.
+        held, first = self.bytes[flat], np.ones(len(flat) + 1, dtype=bool)
+        first[1:-1] = ~(self.going_on[flat[1:]] & held[:-1])
+        first[edges] = True
+        begins = np.flatnonzero(first[:-1])
+        units, of_bytes = flat[begins].astype(np.int64), held[begins]
+        starts = np.append(np.flatnonzero(first[:-1][held]), held.sum()).astype("<i8") * 4
+        buffers = [None, pa.py_buffer(starts), pa.py_buffer(flat[held].tobytes())]
+        chars = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, buffers).dictionary_encode()
+        units[of_bytes] = len(self.texts) + chars.indices.to_numpy()
+        known = self.texts_behind([np.frombuffer(char, "<u4").tolist() for char in chars.dictionary.to_pylist()])
+        texts = pa.concat_arrays([self.texts, pa.array(known, pa.large_string())]).take(pa.array(units))
+        _, starts, data = texts.buffers()
+        places = np.frombuffer(starts, "<i8", len(texts) + 1)[np.searchsorted(begins, edges)] if len(texts) else edges * 0
+        out = [str(data[start:end], "utf-8") if end > start else "" for start, end in pairwise(places.tolist())]
+        out = [text.removeprefix(" ") for text in out] if self.model.dummy_prefix else out
+        # Bytes that are no character spoil all byte pieces beside them, so such lists go through the library as a whole.
+        broken = np.zeros(len(self.texts) + len(known), dtype=bool)
+        broken[len(self.texts) :] = ["\ufffd" in text for text in known]
+        for i in np.unique(np.searchsorted(edges, begins[broken[units]], side="right") - 1).tolist():
+            out[i] = self.text_of([np.frombuffer(ids[i], "<u4").tolist()])[0]
         return out
 
 
@@ -201,15 +240,18 @@ def encode_pieces(docs: DataFrame, model_path: str, threads: int = 1, verify: bo
 
         codec = piece_codec(model_path, threads)
         checker = SentencePieceProcessor(model_file=model_path) if verify else None
-        for batch in text_slices(batches):
+        for batch in large_slices(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            ids = codec.encode(texts)
-            parity = [None] * len(texts)
-            if checker:
-                parity = [ids_bytes(x) == y for x, y in zip(checker.encode(texts, num_threads=threads), ids, strict=True)]
-            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
-            columns += [pa.array(codec.decode(ids), pa.string()), pa.array(parity, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "decoded", "parity"])
+            coded = codec.encode(texts)
+            for start in range(0, len(texts), TEXTS_AT_ONCE):
+                ids = coded[start : start + TEXTS_AT_ONCE]
+                parity = [None] * len(ids)
+                if checker:
+                    given = checker.encode(texts[start : start + TEXTS_AT_ONCE], num_threads=threads, out_type="numpy")
+                    parity = [x.astype("<u4", copy=False).tobytes() == y for x, y in zip(given, ids, strict=True)]
+                columns = [batch.column("doc_id").slice(start, len(ids)), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+                columns += [pa.array(codec.decode(ids), pa.string()), pa.array(parity, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "decoded", "parity"])
 
     kinds = "doc_id long, ids binary, n_tokens long, decoded string, parity boolean"
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(encoded, kinds)

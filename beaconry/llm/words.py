@@ -87,6 +87,18 @@ class WordCache(dict):
                     cache.clear()
         return list(map(self.__getitem__, words))
 
+    def joined_each(self, texts: Iterable[str]) -> list[bytes]:
+        """For each text the joined values of its words between single spaces, from one look-up for each distinct word."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = split.values.dictionary_encode()
+        known = self.values_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        values = pa.array(known, pa.large_binary()).take(words.indices)
+        _, starts, held = values.buffers()
+        # Where the words of each text start among the values, and the end of the last.
+        places = np.frombuffer(starts, "<i8", len(values) + 1)[split.offsets.to_numpy()].tolist() if len(split) else []
+        held = held or pa.py_buffer(b"")
+        return [held[start:end].to_pybytes() for start, end in pairwise(places)]
+
 
 def ids_bytes(ids: list[int]) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
@@ -190,16 +202,8 @@ class WordEncoder:
         return [self.whole([text])[0] if whole else next(apart) for text, whole in zip(texts, odd, strict=True)]
 
     def apart(self, texts: list[str]) -> list[bytes]:
-        """The ids of texts that split safely, from one look-up for each of their distinct words."""
-        split = pc.split_pattern(pa.array([FIRST + self.lined(text) for text in texts], pa.large_string()), " ")
-        words = split.values.dictionary_encode()
-        known = self.cache.values_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        ids = pa.array(known, pa.large_binary()).take(words.indices)
-        _, starts, held = ids.buffers()
-        # Where the words of each text start among the ids, and the end of the last.
-        places = np.frombuffer(starts, "<i8", len(ids) + 1)[split.offsets.to_numpy()].tolist() if texts else []
-        held = held or pa.py_buffer(b"")
-        return [held[start:end].to_pybytes() for start, end in pairwise(places)]
+        """The ids of texts that split safely."""
+        return self.cache.joined_each(FIRST + self.lined(text) for text in texts)
 
     def lined(self, text: str) -> str:
         """A text whose line breaks are words, if all of them stand between characters that are no white space: there

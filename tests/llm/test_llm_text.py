@@ -345,6 +345,58 @@ def test_pieces(docs, empty):
     assert pieces.encode_pieces(empty, path, verify=False).count() == 0
 
 
+# Line breaks at spaces and ends, markers, doubled spaces, white space beyond ASCII, and characters of one to four bytes.
+ODD_PIECES = [
+    "a\n b", "a \nb", "\n", "\na b\n", "  a", "a  b", " a ", " ", "a\tb \x1c c", "a\u3000b", "a▁b", "a▁ b", "▁", "▁a ▁▁b", "日本語 日本\n語",
+    "naïve ☃☃ 🙂🙂\n🙂", "<0x41> <s> <unk>", "\0 a\0", "ab\r\ncd", "Ünïcode ²½", "x" * 300, "",
+]
+
+
+def test_pieces_of_odd_texts(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [*enumerate(ODD_PIECES), (None, None), (7, " ".join(ODD_PIECES))]
+    coded = pieces.encode_pieces(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    # A marker in a text can't be told from a space.
+    assert Counter((r.doc_id, r.decoded) for r in coded) == Counter((d, (t or "").replace("▁", " ")) for d, t in rows)
+    assert all(r.parity for r in coded)
+
+
+def test_pieces_like_the_library():
+    codec = pieces.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(["a", "the", " ", " ", "\n", ".", "é", "日", "🙂", "\t", "▁", "Word"], k=rng.randint(0, 30))) for _ in range(2_000)]
+    whole = [e.ids for e in codec.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == whole
+    # Any ids: cut characters, control pieces, markers alone.
+    some = [*range(300), *rng.sample(range(300, 32_000), 200)]
+    lists = [*whole, [], *(rng.choices(some, k=rng.randint(0, 12)) for _ in range(2_000)), []]
+    lists += [[*rng.choices([*range(3, 259)], k=rng.randint(0, 3)), *rng.choice(whole)] for _ in range(1_000)]
+    assert codec.decode([pieces.ids_bytes(x) for x in lists]) == codec.tokenizer.decode_batch(lists, skip_special_tokens=False)
+    assert codec.decode([]) == codec.encode([]) == []
+
+
+def test_pieces_decode_each_piece_once(monkeypatch):
+    """The library decodes pieces and runs of bytes, not every word of a text."""
+    calls = Counter()
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(self.inner, name)
+
+    rebuild = pieces.rebuild
+    monkeypatch.setattr(pieces, "rebuild", lambda model: Counted(rebuild(model)))
+    codec = pieces.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [" ".join(f"w{i}x\ny{i}" for i in range(at, at + 100)) for at in range(0, 1_000, 100)]
+    ids = codec.encode(texts)
+    calls.clear()
+    assert codec.decode(ids) == texts
+    assert calls["decode"] + calls["decode_batch"] == 1
+
+
 def test_unigram_model():
     """A hand-made unigram model with byte fallback: known best segmentation, and bytes for what it lacks."""
     def number(n):
