@@ -4,16 +4,25 @@ File names in text order are age order. A read lists the folder once and packs m
 bytes; filters on ``file_name`` reach the listing. The stream takes files by name, not by file time: what a
 micro-batch delivers is written down as a manifest before it is planned, and its files leave the folder only after
 the batch is done.
+
+The driver never holds the names of a folder: they are sorted in runs on its disk and written to a list, a line for
+each partition, and a partition is a place in that list.
 """
 
 from __future__ import annotations
 
+import heapq
+import io
 import json
+import os
 import re
+import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -28,6 +37,8 @@ FORMAT = "envelope_files"
 NAME = re.compile(r"[0-9]+-[0-9a-z]+\.json", re.IGNORECASE)
 # Bytes of a partition, what opening a file counts as, files that a task reads at the same time, rows of an Arrow batch.
 PARTITION_BYTES, OPEN_BYTES, THREADS, ROWS = 32 << 20, 64 << 10, 8, 1024
+# Names that are sorted at once.
+RUN = 1 << 17
 READ = "file_name string, value string, size bigint"
 PROGRESS, SETTLED = "_progress", "_settled"
 
@@ -50,32 +61,88 @@ def _write(system: fs.FileSystem, folder: str, name: str, data: bytes) -> None:
     system.move(part, f"{folder}/{name}")
 
 
-def _listed(system: fs.FileSystem, folder: str) -> list[tuple[str, int]]:
-    """Names and sizes of the envelope files of a folder, oldest first."""
-    found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-    return sorted((f.base_name, f.size or 0) for f in found if f.type == fs.FileType.File and NAME.fullmatch(f.base_name))
+def _entries(system: fs.FileSystem, folder: str) -> Iterator[tuple[str, int]]:
+    """Names and sizes of the envelope files of a folder in no order; a local folder is gone through entry by entry."""
+    if not isinstance(system, fs.LocalFileSystem):
+        found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        yield from ((f.base_name, f.size or 0) for f in found if f.type == fs.FileType.File and NAME.fullmatch(f.base_name))
+        return
+    try:
+        entries = os.scandir(folder)
+    except FileNotFoundError:
+        return
+    with entries:
+        for entry in entries:
+            if NAME.fullmatch(entry.name):
+                try:
+                    if entry.is_file():
+                        yield entry.name, entry.stat().st_size
+                except FileNotFoundError:
+                    pass  # gone meanwhile
+
+
+def _lines(run: Iterable[str]) -> Iterator[tuple[str, int]]:
+    for line in run:
+        name, size = line.split()
+        yield name, int(size)
+
+
+def _listed(system: fs.FileSystem, folder: str, keep: Callable[[str], bool] = lambda name: True) -> Iterator[tuple[str, int]]:
+    """Names and sizes of the envelope files of a folder, oldest first. Sorted runs of names wait in files."""
+    found = (f for f in _entries(system, folder) if keep(f[0]))
+    runs: list[Iterable[tuple[str, int]]] = []
+    while len(run := sorted(islice(found, RUN))) == RUN:
+        file = tempfile.TemporaryFile("w+", encoding="utf-8")
+        file.writelines(f"{name} {size}\n" for name, size in run)
+        file.seek(0)
+        runs.append(_lines(file))
+    return heapq.merge(*runs, run)
+
+
+def _packed(files: Iterable[tuple[str, int]], most: int) -> Iterator[list[tuple[str, int]]]:
+    """Neighbouring files, so many that a partition has ``most`` bytes at most (or one file)."""
+    part: list[tuple[str, int]] = []
+    room = most
+    for name, size in files:
+        cost = size + OPEN_BYTES
+        if part and room < cost:
+            yield part
+            part, room = [], most
+        part.append((name, size))
+        room -= cost
+    if part:
+        yield part
+
+
+def _line(files: Sequence[tuple[str, int]]) -> bytes:
+    return json.dumps(files).encode() + b"\n"
 
 
 class Files(InputPartition):
-    """Names and sizes of files that one task reads."""
+    """Names and sizes of files that one task reads: a line of a list, or the line itself."""
 
-    def __init__(self, files: list[tuple[str, int]]):
+    def __init__(self, path: str = "", start: int = 0, length: int = 0, held: bytes = b""):
         super().__init__(None)
-        self.files = files
+        self.path, self.start, self.length, self.held = path, start, length, held
 
+    def files(self) -> list[tuple[str, int]]:
+        if not self.path:
+            return json.loads(zlib.decompress(self.held)) if self.held else []
+        system, path = _system(self.path)
+        with system.open_input_file(path) as file:
+            file.seek(self.start)
+            return json.loads(file.read(self.length))
 
-def _packed(files: Iterable[tuple[str, int]], most: int) -> list[Files]:
-    """Neighbouring files, so many that a partition has ``most`` bytes at most (or one file)."""
-    parts: list[Files] = []
-    room = -1
-    for name, size in files:
-        cost = size + OPEN_BYTES
-        if room < cost:
-            parts.append(Files([]))
-            room = most
-        parts[-1].files.append((name, size))
-        room -= cost
-    return parts or [Files([])]
+
+def _written(system: fs.FileSystem, folder: str, name: str, parts: Iterable[Sequence[tuple[str, int]]]) -> Iterator[tuple[int, int]]:
+    """Write a list, which is there whole or not at all; where its lines are."""
+    part, start = f"{folder}/.{name}.{uuid.uuid4().hex}.part", 0
+    with system.open_output_stream(part) as out:
+        for files in parts:
+            out.write(line := _line(files))
+            yield start, len(line)
+            start += len(line)
+    system.move(part, f"{folder}/{name}")
 
 
 def _read(folder: str, files: Sequence[tuple[str, int]]) -> Iterator[pa.RecordBatch]:
@@ -107,6 +174,7 @@ _TESTS: dict[type, Callable[[str, object], bool]] = {
 class EnvelopeReader(DataSourceReader):
     folder: str
     partition_bytes: int
+    lists: str
 
     def __post_init__(self) -> None:
         self.tests: list[tuple[type, object]] = []
@@ -119,24 +187,40 @@ class EnvelopeReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[InputPartition]:
-        files = _listed(*_system(self.folder))
-        return _packed([f for f in files if all(_TESTS[kind](f[0], v) for kind, v in self.tests)], self.partition_bytes)
+        files = _listed(*_system(self.folder), lambda name: all(_TESTS[kind](name, v) for kind, v in self.tests))
+        parts = _packed(files, self.partition_bytes)
+        if not self.lists:
+            return [Files(held=zlib.compress(_line(part))) for part in parts] or [Files()]
+        system, path = _system(self.lists)
+        system.create_dir(path, recursive=True)
+        name = uuid.uuid4().hex
+        return [Files(f"{self.lists}/{name}", *place) for place in _written(system, path, name, parts)] or [Files()]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        return _read(self.folder, partition.files)
+        return _read(self.folder, partition.files())
+
+
+def _without(files: Iterable[tuple[str, int]], names: Iterator[str]) -> Iterator[tuple[str, int]]:
+    """The files without those of the names; both in order."""
+    other = next(names, None)
+    for file in files:
+        while other is not None and other < file[0]:
+            other = next(names, None)
+        if other != file[0]:
+            yield file
 
 
 class EnvelopeStream(DataSourceStreamReader):
     """Files by name, each once. The offset is the number of the last manifest.
 
-    A manifest names the files that are new to the stream, oldest first, at most ``max_files``. It is written before
+    A manifest lists the files that are new to the stream, oldest first, at most ``max_files``. It is written before
     its number is known to the query, so a repeated batch delivers the same files; a file that comes late, with a
     name before others, is in a later manifest. A committed batch's files move to the folder ``_settled`` (or are
     deleted) when the query plans the next one, then its manifest goes. One stream at a time may drain a folder.
     """
 
     def __init__(self, folder: str, partition_bytes: int, max_files: int, delete: bool):
-        self.folder, self.partition_bytes, self.max_files, self.delete = folder, partition_bytes, max_files, delete
+        self.folder, self.partition_bytes, self.max_files, self.delete = folder.rstrip("/"), partition_bytes, max_files, delete
         self.system, self.path = _system(folder)
         self.progress = f"{self.path}/{PROGRESS}"
         self.system.create_dir(self.progress, recursive=True)
@@ -145,8 +229,12 @@ class EnvelopeStream(DataSourceStreamReader):
         names = [f.base_name for f in self.system.get_file_info(fs.FileSelector(self.progress))]
         return sorted(int(n) for n in names if n.isdecimal())
 
-    def _files(self, number: int) -> list[tuple[str, int]]:
-        return [tuple(f) for f in json.loads(_text(self.system, f"{self.progress}/{number}"))]
+    def _lines(self, number: int) -> Iterator[bytes]:
+        with self.system.open_input_stream(f"{self.progress}/{number}") as file, io.BufferedReader(file) as lines:
+            yield from lines
+
+    def _names(self, number: int) -> Iterator[str]:
+        return (name for line in self._lines(number) for name, _ in json.loads(line))
 
     def _last_settled(self) -> int:
         try:
@@ -160,29 +248,34 @@ class EnvelopeStream(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         numbers, settled = self._manifests(), self._last_settled()
         last = max([settled, *numbers])
-        waiting = {name for n in numbers if n > settled for name, _ in self._files(n)}
-        new = [f for f in _listed(self.system, self.path) if f[0] not in waiting]
-        if self.max_files:
-            new = new[: self.max_files]
-        if new:
+        waiting = heapq.merge(*(self._names(n) for n in numbers if n > settled))
+        new = _packed(islice(_without(_listed(self.system, self.path), waiting), self.max_files or None), self.partition_bytes)
+        first = next(new, None)
+        if first:
             last += 1
-            _write(self.system, self.progress, str(last), json.dumps(new).encode())
+            for _ in _written(self.system, self.progress, str(last), chain([first], new)):
+                pass
         return {"manifest": last}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         there = set(self._manifests())
-        numbers = [n for n in range(start["manifest"] + 1, end["manifest"] + 1) if n in there]
-        return _packed([f for n in numbers for f in self._files(n)], self.partition_bytes)
+        parts = []
+        for n in (n for n in range(start["manifest"] + 1, end["manifest"] + 1) if n in there):
+            at = 0
+            for line in self._lines(n):
+                parts.append(Files(f"{self.folder}/{PROGRESS}/{n}", at, len(line)))
+                at += len(line)
+        return parts or [Files()]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        return _read(self.folder, partition.files)
+        return _read(self.folder, partition.files())
 
-    def _settle(self, file: tuple[str, int]) -> None:
+    def _settle(self, name: str) -> None:
         try:
             if self.delete:
-                self.system.delete_file(f"{self.path}/{file[0]}")
+                self.system.delete_file(f"{self.path}/{name}")
             else:
-                self.system.move(f"{self.path}/{file[0]}", f"{self.path}/{SETTLED}/{file[0]}")
+                self.system.move(f"{self.path}/{name}", f"{self.path}/{SETTLED}/{name}")
         except FileNotFoundError:
             pass  # settled before the last stop
 
@@ -194,7 +287,9 @@ class EnvelopeStream(DataSourceStreamReader):
             self.system.create_dir(f"{self.path}/{SETTLED}", recursive=True)
         with ThreadPoolExecutor(THREADS) as pool:
             for n in numbers:
-                list(pool.map(self._settle, self._files(n)))
+                names = self._names(n)
+                while some := list(islice(names, ROWS)):
+                    list(pool.map(self._settle, some))
         _write(self.system, self.progress, "settled", str(numbers[-1]).encode())
         for n in numbers:
             self.system.delete_file(f"{self.progress}/{n}")
@@ -218,8 +313,9 @@ class EnvelopeWriter(DataSourceArrowWriter):
 
 
 class EnvelopeFiles(DataSource):
-    """Options: ``path``, ``partition_bytes``; for streams ``max_files`` a micro-batch (0: all) and ``settled``
-    (``archive`` or ``delete``)."""
+    """Options: ``path``, ``partition_bytes``; for reads ``lists``, a folder that every task can reach, for the list of
+    files (without it the names travel in the partitions); for streams ``max_files`` a micro-batch (0: all) and
+    ``settled`` (``archive`` or ``delete``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -232,7 +328,7 @@ class EnvelopeFiles(DataSource):
         return int(self.options.get("partition_bytes", PARTITION_BYTES))
 
     def reader(self, schema) -> EnvelopeReader:
-        return EnvelopeReader(self.options["path"], self._bytes())
+        return EnvelopeReader(self.options["path"], self._bytes(), self.options.get("lists", "").rstrip("/"))
 
     def streamReader(self, schema) -> EnvelopeStream:
         return EnvelopeStream(self.options["path"], self._bytes(), int(self.options.get("max_files", 0)), self.options.get("settled", "archive") == "delete")
@@ -249,7 +345,13 @@ def register(spark: SparkSession) -> SparkSession:
 
 
 def files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The envelope files of a folder: file_name, value (null: gone or no UTF-8), size. Other files don't appear."""
+    """The envelope files of a folder: file_name, value (null: gone or no UTF-8), size. Other files don't appear.
+
+    The list of files goes to ``spark.checkpoint.dir`` where there is one (option ``lists``).
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        options.setdefault("lists", f"{shared.rstrip('/')}/beaconry-lists")
     return register(spark).read.format(FORMAT).options(**options).load(folder)
 
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import pickle
 
 from pyspark.sql import functions as F
 
@@ -183,6 +184,34 @@ def test_envelope_source(spark, tmp_path, capsys):
     assert files.files(spark, str(tmp_path / "empty")).count() == 0
 
 
+def test_names_stay_out_of_the_driver(tmp_path, monkeypatch):
+    """What a read and a stream hand to the driver does not grow with the names; lists are in order over many sorted runs."""
+    monkeypatch.setattr(files, "RUN", 7, raising=False)
+    names = [f"{(37 * i) % 400 + 1000}-a.json" for i in range(400)]
+    folder = spool(tmp_path, dict.fromkeys([*names, "notes.txt"], "{}"))
+    read = lambda source, parts: [n for p in parts for b in source.read(p) for n in b.column(0).to_pylist()]
+
+    def few(parts):
+        assert len(parts) > 1 and max(len(pickle.dumps(p)) for p in parts) < 1_000
+        return parts
+
+    size = str(150 * (64 << 10))
+    for options in ({"lists": str(tmp_path / "lists")}, {}):
+        reader = files.EnvelopeFiles({"path": folder, "partition_bytes": size, **options}).reader(None)
+        assert read(reader, few(reader.partitions()) if options else reader.partitions()) == sorted(names)
+    stream = files.EnvelopeFiles({"path": folder, "partition_bytes": size, "max_files": "300"}).streamReader(None)
+    zero, one, two = stream.initialOffset(), stream.latestOffset(), stream.latestOffset()
+    assert read(stream, few(stream.partitions(zero, one))) == sorted(names)[:300]
+    assert read(stream, stream.partitions(one, two)) == sorted(names)[300:] and stream.latestOffset() == two
+    # A manifest as it was written before: all names in one line without an end.
+    (tmp_path / "spool" / "_progress" / "3").write_text(json.dumps([["999-a.json", 2], ["1005-a.json", 2]]))
+    (tmp_path / "spool" / "998-a.json").write_text("{}")
+    assert read(stream, stream.partitions(two, {"manifest": 3})) == ["999-a.json", "1005-a.json"]
+    assert stream.latestOffset() == {"manifest": 4}
+    stream.commit({"manifest": 4})
+    assert len(os.listdir(f"{folder}/_settled")) == 401 and sorted(os.listdir(folder)) == ["_progress", "_settled", "notes.txt"]
+
+
 def test_tables(spark, tmp_path):
     rows = [(ERR, '{"message":"m"}', 1), ("/ingest/v1/spans", '{"spans":[{"traceId":"a"},{"traceId":"b"}]}', 2), ("/x", "{}", 3), (ERR, "{ cut", 4), ("/ingest/v1/spans", "{}", None), (ERR, None, 5), (None, "[1]", 6)]
     spark.createDataFrame(rows, "path string, payload string, ts bigint").write.parquet(str(tmp_path / "in"))
