@@ -21,6 +21,7 @@ _READ = ["seq", "kind", "at_ms", "final_status", "release", "environment", "user
 _KINDS = [*KIND_RANK, "end"]
 _EVENT = pa.schema([("session_id", pa.string()), *((c, pa.int64() if c in ("seq", "at_ms") else pa.string()) for c in _READ)])
 _DUE = pa.schema([("session_id", pa.string()), ("due", pa.int64())])
+STORE_MB = 100
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -123,8 +124,13 @@ class SessionCloser(StatefulProcessor):
 
 
 def keep_state_in_files(spark: SparkSession) -> None:
-    """New streams of the session keep their state in RocksDB, which timers and states of several kinds ask for."""
+    """New streams of the session keep their state in RocksDB, which timers and states of several kinds ask for.
+
+    The stores of an executor share one bound of memory beside the heap.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STORE_MB))
 
 
 def close_sessions(session_events: DataFrame, delay: str = "10 minutes", idle_ms: int = 1_800_000, buckets: int = BUCKETS) -> DataFrame:

@@ -7,12 +7,13 @@ time are the output of operators of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from beaconry.functions import sqltext, url
@@ -22,7 +23,8 @@ from beaconry.operators.requests import request_row
 from beaconry.operators.sampling import exclude_ingest_host
 from beaconry.operators.sessions import KIND_RANK, STATUSES
 from beaconry.settings import Settings
-from beaconry.streaming.buckets import BUCKETS, STATE, bucket, codes, firsts, gather, pack
+from beaconry.streaming.buckets import BUCKETS, STATE, Packed, bucket, codes, firsts, gather, pack, parted, unpacked
+from beaconry.streaming.closing import keep_state_in_files
 
 
 def _requests(ctx: DataFrame, ends: DataFrame, delay: str, within: str | None, how: str) -> DataFrame:
@@ -61,12 +63,73 @@ def stream_stray_ends(ctx: DataFrame, ends: DataFrame, delay: str = "10 minutes"
     return joined.where(F.col("_at").isNull()).select(F.col("_key").alias("request_key"), *[c for c in ends.columns if c != "request_key"])
 
 
+class _CallBuckets(StatefulProcessor):
+    """Buckets of call keys, each worked on by parts of its keys.
+
+    ``part_of`` takes what the state holds of some keys, a table for each of the schemas, their new events and the
+    watermark. It gives the tables to hold on, when the watermark next changes something in them, and calls or None.
+    The state of a bucket has a row for each part: the tables, packed, and in the first one the time of the bucket's
+    timer and the number of parts.
+    """
+
+    def __init__(self, schemas: Sequence[pa.Schema], part_of: Callable[..., tuple[tuple[pd.DataFrame, ...], int, pd.DataFrame | None]]):
+        self.schemas, self.part_of = schemas, part_of
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        tables = ", ".join(f"held{i} BINARY" for i in range(len(self.schemas)))
+        self.state = handle.getMapState("calls", "part INT", f"{tables}, timer BIGINT, parts INT")
+
+    def _held(self, of: int, parts: int) -> Iterator[pd.DataFrame]:
+        for p in range(parts):
+            yield from unpacked(self.state.getValue((p,))[of])
+
+    def _advance(self, batches: Iterator[pd.DataFrame], mark: int, expired: bool) -> Iterator[pd.DataFrame]:
+        timer, parts = (self.state.getValue((0,)) if self.state.containsKey((0,)) else (None, 0))[-2:]
+        due, rows, first = _NEVER, 0, None
+        sources = [*((schema, self._held(i, parts)) for i, schema in enumerate(self.schemas)), (self.schemas[0], batches)]
+        # What is held has been read when the first part is given.
+        for tables in parted(sources, "call_key"):
+            kept, soon, calls = self.part_of(*tables, mark)
+            due = min(due, soon)
+            yield pd.DataFrame() if calls is None else calls
+            if any(map(len, kept)):
+                row = []
+                for schema, table in zip(self.schemas, kept, strict=True):
+                    packed = Packed(schema)
+                    packed.add(table)
+                    row.append(packed.value())
+                if rows:
+                    self.state.updateValue((rows,), (*row, None, None))
+                else:
+                    first = row
+                rows += 1
+        for p in range(rows, parts):
+            self.state.removeKey((p,))
+        if timer is not None and not expired:
+            self.handle.deleteTimer(timer)
+        if rows:
+            timer = max(mark + 1, due)
+            self.state.updateValue((0,), (*first, timer, rows))
+            self.handle.registerTimer(timer)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._advance(rows, timerValues.getCurrentWatermarkInMs(), False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance(iter(()), timerValues.getCurrentWatermarkInMs(), True)
+
+    def close(self) -> None:
+        pass
+
+
 _PAYLOAD = ("origin", "path", "method", "trace_id", "parent_span_id", "request_id")
 # Kinds of call events as numbers; 0 is a creation.
 _KINDS = ["create", *COMPLETIONS]
 _EVENT_NUMBERS = ("at_ms", "until", "free", "kind", "status_code")
 _CALL_EVENT = pa.schema([("call_key", pa.string()), *((c, pa.int64()) for c in _EVENT_NUMBERS), *((c, pa.string()) for c in _PAYLOAD)])
 _CALL_DONE = pa.schema([("call_key", pa.string()), ("free", pa.int64())])
+_NEVER = np.iinfo("int64").max
 _FIRST_OUT = f"call_key STRING, at_ms BIGINT, {', '.join(f'{c} STRING' for c in _PAYLOAD)}, after_kind BIGINT, after_at BIGINT, after_code BIGINT"
 
 
@@ -94,12 +157,10 @@ def _first_calls(finished: bool):
     have given one, until ``free``: to the watermark, what a key can have had before then is all gone.
     """
 
-    def pair(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        was_held, was_done = state.get if state.exists else (None, None)
-        known, done = gather([], _CALL_EVENT, was_held), gather([], _CALL_DONE, was_done)
+    def part_of(known: pd.DataFrame, done: pd.DataFrame, come: pd.DataFrame, mark: int) -> tuple[tuple[pd.DataFrame, ...], int, pd.DataFrame | None]:
         # In order of arrival, inside a micro-batch of time.
-        events = pd.concat([known, gather(batches, _CALL_EVENT).sort_values("at_ms", kind="stable")], ignore_index=True)
-        new, mark = np.arange(len(events)) >= len(known), state.getCurrentWatermarkMs()
+        events = pd.concat([known, come.sort_values("at_ms", kind="stable")], ignore_index=True)
+        new = np.arange(len(events)) >= len(known)
         of = codes(pd.concat([events["call_key"], done["call_key"]], ignore_index=True))
         of, over = of[: len(events)], of[len(events) :]
         at, until, free, kind, _ = (events[c].to_numpy("int64") for c in _EVENT_NUMBERS)
@@ -126,20 +187,18 @@ def _first_calls(finished: bool):
             waits[starts] = False
             starts = np.flatnonzero(waits & (until < mark))
             keep = np.where(create, waits & (until >= mark), at > mark)
-        if keep.any() or len(done):
-            state.update((pack(events[keep], _CALL_EVENT), pack(done, _CALL_DONE)))
-            due = np.r_[np.where(create, until, at)[keep], done["free"].to_numpy("int64") - 1]
-            state.setTimeoutTimestamp(max(mark, 1, int(due.min())))
-        elif state.exists:
-            state.remove()
+        due = np.r_[np.where(create, until, at)[keep], done["free"].to_numpy("int64") - 1]
+        calls = None
         if len(starts):
             calls = events.iloc[starts][["call_key", "at_ms", *_PAYLOAD]].reset_index(drop=True)
-            yield calls.assign(**{f"after_{c}": x[ends] if finished else 0 for c, x in (("kind", kind), ("at", at), ("code", events["status_code"].to_numpy("int64")))})
+            calls = calls.assign(**{f"after_{c}": x[ends] if finished else 0 for c, x in (("kind", kind), ("at", at), ("code", events["status_code"].to_numpy("int64")))})
+        return (events[keep], done), int(due.min(initial=_NEVER)), calls
 
-    return pair
+    return part_of
 
 
 def _first_paired(call_events: DataFrame, ingest_host: str, delay: str, within: str | None, buckets: int, finished: bool) -> DataFrame:
+    keep_state_in_files(call_events.sparkSession)
     creates = call_events.where((F.col("kind") == "create") & F.coalesce("sampled", F.lit(True)))
     if ingest_host:
         creates = exclude_ingest_host(creates.withColumn("host", url.parse_origin(F.col("origin"))["host"]), ingest_host)
@@ -160,8 +219,8 @@ def _first_paired(call_events: DataFrame, ingest_host: str, delay: str, within:
     events = creates.unionByName(ends).where(F.col("_at").isNotNull())
     until = F.col("_at") + F.expr(f"INTERVAL {within or delay}")
     events = events.withColumns({"until": F.unix_millis(until), "free": F.unix_millis(until + F.expr(f"INTERVAL {delay}")), "_bucket": bucket("call_key", buckets)})
-    return events.groupBy("_bucket").applyInPandasWithState(
-        _first_calls(finished), _FIRST_OUT, "held BINARY, done BINARY", "append", GroupStateTimeout.EventTimeTimeout
+    return events.groupBy("_bucket").transformWithStateInPandas(
+        _CallBuckets((_CALL_EVENT, _CALL_DONE), _first_calls(finished)), outputStructType=_FIRST_OUT, outputMode="append", timeMode="eventTime"
     )
 
 
@@ -207,29 +266,25 @@ def _pair_calls(within_ms: int, ranks: int):
     kinds = [("call_key", pa.string()), *((c, pa.int64()) for c in order), *((c, _ARROW[t]) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True))]
     schema = pa.schema(kinds)
 
-    def pair(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        events = gather(batches, schema, state.get[0] if state.exists else None)
+    def part_of(known: pd.DataFrame, come: pd.DataFrame, mark: int) -> tuple[tuple[pd.DataFrame, ...], int, pd.DataFrame | None]:
+        events = pd.concat([known, come], ignore_index=True)
         at, call = events["at_ms"].to_numpy("int64"), codes(events["call_key"])
         places = np.lexsort((*(events[c].to_numpy("int64") for c in reversed(order)), at, call))
         events, at, call = events.take(places), at[places], call[places]
         create = (events["kind"] == "create").to_numpy(bool)
         done = events["kind"].isin(COMPLETIONS).to_numpy(bool)
-        mark = state.getCurrentWatermarkMs()
         passed = at < mark
         same = call[1:] == call[:-1]
         ends = np.flatnonzero(same & create[:-1] & done[1:] & passed[1:] & (at[1:] - at[:-1] <= within_ms))
         last = passed & np.r_[~(same & passed[1:]), np.ones(len(at[:1]), bool)]
         still = last & create & (at + within_ms >= mark)
-        if (still | ~passed).any():
-            state.update((pack(events[still | ~passed], schema),))
-            state.setTimeoutTimestamp(max(mark + 1, int(np.r_[at[~passed], at[still] + within_ms].min())))
-        elif state.exists:
-            state.remove()
+        due, calls = np.r_[at[~passed], at[still] + within_ms], None
         if len(ends):
             calls, after = events.iloc[ends].drop(columns=order).reset_index(drop=True), events.iloc[ends + 1]
-            yield calls.assign(after_kind=after["kind"].array, after_at=after["at_ms"].array, after_code=after["status_code"].array)
+            calls = calls.assign(after_kind=after["kind"].array, after_at=after["at_ms"].array, after_code=after["status_code"].array)
+        return (events[still | ~passed],), int(due.min(initial=_NEVER)), calls
 
-    return pair
+    return schema, part_of
 
 
 def stream_reused_calls(
@@ -245,11 +300,15 @@ def stream_reused_calls(
     at once where a key is created once.
     """
     ranks = [F.coalesce(F.col(c).cast("bigint"), F.lit(-(2**63))).alias(f"rank{i}") for i, c in enumerate(c for c in order if c != "at_ms")]
+    keep_state_in_files(call_events.sparkSession)
     heard = heard_events(call_events, ingest_host).where(F.col("at_ms").isNotNull())
+    # A call has the payload of its creation.
+    heard = heard.withColumns({c: F.when(F.col("kind") == "create", F.col(c)) for c in _PAYLOAD})
     events = heard.select("call_key", *ranks, *[F.col(c).cast(t) for c, t in zip(CALL_FIELDS, _CALL_TYPES, strict=True)])
     timed = events.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", delay)
-    calls = timed.withColumn("_bucket", bucket("call_key", buckets)).groupBy("_bucket").applyInPandasWithState(
-        _pair_calls(within_ms, len(ranks)), _CALL_OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    schema, part_of = _pair_calls(within_ms, len(ranks))
+    calls = timed.withColumn("_bucket", bucket("call_key", buckets)).groupBy("_bucket").transformWithStateInPandas(
+        _CallBuckets((schema,), part_of), outputStructType=_CALL_OUT, outputMode="append", timeMode="eventTime"
     )
     after = F.struct(F.col("after_kind").alias("kind"), F.col("after_at").alias("at_ms"), F.col("after_code").alias("status_code"))
     return finished_calls(calls.withColumn("_after", after))

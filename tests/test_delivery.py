@@ -4,6 +4,7 @@ import json
 import os
 import pickle
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from beaconry import schemas
@@ -11,7 +12,7 @@ from beaconry.operators import delivery, outbound, releases, retention, sampling
 from beaconry.plans import derive
 from beaconry.settings import Settings
 from beaconry.sources import envelopes as env, spool as files
-from beaconry.streaming import sinks, stateful
+from beaconry.streaming import buckets, sinks, stateful
 
 ERR, START = "/ingest/v1/errors", "/ingest/v1/sessions/start"
 
@@ -329,6 +330,48 @@ def test_paired_calls_in_buckets(spark, tmp_path):
     assert sorted(str(r.call_key) for r in got) == sorted([f"k{k}" for k in range(1, 40, 2)] + ["None"])
 
 
+class Bucket:
+    """A bucket's state and timers without a stream."""
+
+    def __init__(self):
+        self.rows, self.timers = {}, set()
+        self.getMapState = lambda *_: self
+        self.containsKey, self.getValue, self.removeKey = self.rows.__contains__, self.rows.get, self.rows.pop
+        self.updateValue, self.registerTimer, self.deleteTimer = self.rows.__setitem__, self.timers.add, self.timers.remove
+
+
+def test_a_large_bucket_goes_by_parts(monkeypatch):
+    """No more rows than a part has are one table, all of them are paired, and the state is in rows of parts."""
+    n, within = 3_000, 3_600_000
+    keys = [None if k == 7 else f"k{k}" for k in range(n)]
+    schema, pair = stateful._pair_calls(within, 1)
+    names = schema.names
+    event = lambda key, kind, at: dict.fromkeys(names) | {"call_key": key, "rank0": at, "at_ms": at, "kind": kind, "status_code": 200}
+    come = [event(k, kind, 1_000 + i + 5 * (kind != "create")) for kind in ("headers", "create") for i, k in enumerate(keys)]
+    first = dict.fromkeys(stateful._CALL_EVENT.names, None)
+    arrived = [first | {"call_key": e["call_key"], "at_ms": e["at_ms"], "until": e["at_ms"] + within, "free": e["at_ms"] + 2 * within, "kind": 0 if e["kind"] == "create" else 2, "status_code": 200} for e in come]
+    for part in (1 << 20, 600):
+        monkeypatch.setattr(buckets, "PART", part)
+        for schemas_, work, rows, waits in (((schema,), pair, come, True), ((stateful._CALL_EVENT, stateful._CALL_DONE), stateful._first_calls(True), arrived, False)):
+            seen, bucket = [], Bucket()
+
+            def counted(*tables):
+                seen.append(sum(len(t) for t in tables[:-1]))
+                return work(*tables)
+
+            processor = stateful._CallBuckets(schemas_, counted)
+            processor.init(bucket)
+            clock = type("Clock", (), {"mark": 0, "getCurrentWatermarkInMs": lambda self: self.mark})()
+            batches = [pd.DataFrame(rows[i : i + 500]).astype({"call_key": object}) for i in range(0, len(rows), 500)]
+            out = [len(t) for t in processor.handleInputRows((0,), iter(batches), clock)]
+            assert sum(out) == (0 if waits else n) and len(bucket.timers) == 1 and (len(bucket.rows) > 1) == (part < n)
+            assert max(seen) <= max(part, 2 * n if part > n else 0) and sum(seen) == 2 * n
+            clock.mark = 10 * within
+            bucket.timers.clear()
+            out = [len(t) for t in processor.handleExpiredTimer((0,), clock, None)]
+            assert sum(out) == (n if waits else 0) and not bucket.rows and not bucket.timers
+
+
 def test_propagation(spark):
     df = spark.createDataFrame([("t", "s", "r", True, {"TRACEPARENT": "x"}), ("t", "s", "r", False, None)], "trace_id string, span_id string, request_id string, sampled boolean, headers map<string,string>")
     got = outbound.propagated_headers(df, settings=Settings(vendor="acme")).collect()
